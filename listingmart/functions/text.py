@@ -26,10 +26,16 @@ _RUNS = r"(\p{L}+|[^\p{L}]+)"
 _WS = r"(?U)\s+"
 
 
+def _title_first(ch: Column) -> Column:
+    # Title case of one character: as upper case, except the sharp s whose
+    # title form is "Ss" (Java's upper case gives "SS").
+    return F.when(ch == "ß", F.lit("Ss")).otherwise(F.upper(ch))
+
+
 def _title_run(run: Column) -> Column:
     return F.when(
         run.rlike(r"^\p{L}"),
-        F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substring(run, 2, 1 << 30))),
+        F.concat(_title_first(F.substring(run, 1, 1)), F.lower(F.substring(run, 2, 1 << 30))),
     ).otherwise(run)
 
 
@@ -47,9 +53,9 @@ def title_case(c) -> Column:
 
 
 def capitalize(c) -> Column:
-    """first character upper case, the rest lower case."""
+    """first character in title case, the rest lower case."""
     c = as_col(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(_title_first(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
 
 
 def french_titlecase(c) -> Column:
@@ -129,7 +135,7 @@ def unicode_repair(c) -> Column:
     escaped = F.regexp_extract_all(c, F.lit(r"(" + pair + r"|\\u[0-9a-fA-F]{4}|[^\\]+|\\)"), 1)
     escaped_fixed = F.array_join(
         F.transform(escaped, lambda t: (
-            F.when(F.length(t) == 12,
+            F.when(t.rlike("^" + pair + "$"),
                    _decode_utf16(F.concat(F.substring(t, 3, 4), F.substring(t, 9, 4))))
             .when(t.rlike(r"^\\u[0-9a-fA-F]{4}$"), _decode_utf16(F.substring(t, 3, 4)))
             .otherwise(t))),
