@@ -35,6 +35,17 @@ def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def iso_date(c):
+    """Dates leave the registered queries as ISO text, so any engine's compare agrees."""
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def with_iso_dates(df: DataFrame) -> DataFrame:
+    from pyspark.sql import types as T
+    return df.select(*[iso_date(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DateType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 # ---------------------------------------------------------------------------
 # 2.10 scalar, array and map functions
 # ---------------------------------------------------------------------------
@@ -218,3 +229,796 @@ SELECT event_id, epoch_us(ts) // 1000 AS ts_ms FROM events""")
 def q_epoch_millis(spark, sf):
     """timestamp -> milliseconds since the epoch."""
     return tbl(spark, sf, "events").select("event_id", D.epoch_millis("ts").alias("ts_ms"))
+
+
+# ---------------------------------------------------------------------------
+# 2.3 projections, filters, predicates
+# ---------------------------------------------------------------------------
+
+from listingmart.operators import checks as CK  # noqa: E402
+from listingmart.operators import dedup as DD  # noqa: E402
+from listingmart.operators import delta as DL  # noqa: E402
+from listingmart.operators import keys as KY  # noqa: E402
+from listingmart.operators import lookup as LK  # noqa: E402
+from listingmart.operators import merge as MG  # noqa: E402
+from listingmart.operators import paging as PG  # noqa: E402
+from listingmart.plans import gold as GD  # noqa: E402
+
+EVENTS_DS = "2024-01-20"
+ORDERS_DS = "1998-08-02"
+
+
+@query("select_rename", r"""
+SELECT o_orderkey AS job_id, o_orderpriority AS _function, o_orderstatus AS _state FROM orders""")
+def q_select_rename(spark, sf):
+    """Selection with aliases, reserved names repaired with a leading underscore."""
+    return tbl(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"),
+                                           F.col("o_orderpriority").alias("_function"),
+                                           F.col("o_orderstatus").alias("_state"))
+
+
+@query("typed_cast", r"""
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+       CAST(user_id AS INTEGER) AS user_id, event_type = 'purchase' AS is_purchase FROM events""")
+def q_typed_cast(spark, sf):
+    """P2 + F33: typed casts (ANSI) of a JSON field, a timestamp, an id and a flag."""
+    e = tbl(spark, sf, "events")
+    return e.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
+                    iso_date(F.col("ts").cast("date")).alias("day"), F.col("user_id").cast("int").alias("user_id"),
+                    (F.col("event_type") == "purchase").alias("is_purchase"))
+
+
+@query("date_filter", r"""
+SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-20'""")
+def q_date_filter(spark, sf):
+    """Rows of one run date."""
+    e = tbl(spark, sf, "events")
+    return e.where(F.to_date("ts") == F.lit(EVENTS_DS).cast("date")).select("event_id", "user_id")
+
+
+@query("before_date_filter", r"""
+SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-08-02'
+GROUP BY o_orderstatus""")
+def q_before_date_filter(spark, sf):
+    """History strictly before the run date (pushed to the scan)."""
+    o = tbl(spark, sf, "orders")
+    return (o.where(F.col("o_orderdate") < F.lit(ORDERS_DS).cast("timestamp_ntz"))
+            .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("not_null_filter", r"""
+SELECT DISTINCT nullif(c_mktsegment, 'HOUSEHOLD') AS segment FROM customer
+WHERE nullif(c_mktsegment, 'HOUSEHOLD') IS NOT NULL""")
+def q_not_null_filter(spark, sf):
+    """P5: NULL members dropped before a dimension insert."""
+    c = tbl(spark, sf, "customer").select(F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("segment"))
+    return c.where(A.not_null("segment")).distinct()
+
+
+@query("coalesce_unknown", r"""
+SELECT c_custkey, coalesce(nullif(c_mktsegment, 'HOUSEHOLD'), 'Inconnu') AS segment FROM customer""")
+def q_coalesce_unknown(spark, sf):
+    """NULL scalar -> unknown label."""
+    c = tbl(spark, sf, "customer")
+    return c.select("c_custkey", A.coalesce_unknown(F.nullif("c_mktsegment", F.lit("HOUSEHOLD"))).alias("segment"))
+
+
+_ARR_SQL = r"""(SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN [NULL]::VARCHAR[]
+   WHEN 2 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS arr FROM part)"""
+
+
+def _arr(spark, sf):
+    p = tbl(spark, sf, "part")
+    arr = (F.when(F.col("p_size") % 4 == 0, F.lit(None).cast("array<string>"))
+           .when(F.col("p_size") % 4 == 1, F.array(F.lit(None).cast("string")))
+           .when(F.col("p_size") % 4 == 2, F.array().cast("array<string>"))
+           .otherwise(F.split("p_name", " ")))
+    return p.select("p_partkey", arr.alias("arr"))
+
+
+@query("coalesce_unknown_array", r"""
+SELECT p_partkey,
+  array_to_string(CASE WHEN arr IS NULL OR arr = [NULL]::VARCHAR[] THEN ['Inconnu'] ELSE arr END, '|') AS keep_empty,
+  array_to_string(CASE WHEN arr IS NULL OR arr = [NULL]::VARCHAR[] OR len(arr) = 0 THEN ['Inconnu'] ELSE arr END, '|')
+    AS empty_too
+FROM """ + _ARR_SQL)
+def q_coalesce_unknown_array(spark, sf):
+    """NULL or [NULL] -> [unknown]; optionally [] too."""
+    a = _arr(spark, sf)
+    return a.select("p_partkey",
+                    F.array_join(A.coalesce_unknown_array("arr"), "|").alias("keep_empty"),
+                    F.array_join(A.coalesce_unknown_array("arr", empty_too=True), "|").alias("empty_too"))
+
+
+@query("require_columns", r"""SELECT c_custkey, c_name FROM customer""")
+def q_require_columns(spark, sf):
+    """Fail early when a named column is absent (driver-side, no job)."""
+    c = tbl(spark, sf, "customer")
+    CK.require_columns(c, ["c_custkey", "c_name"])
+    return c.select("c_custkey", "c_name")
+
+
+@query("atomic_columns", r"""SELECT vec_id, label FROM embeddings""")
+def q_atomic_columns(spark, sf):
+    """The de-duplication columns are the non-nested ones."""
+    e = tbl(spark, sf, "embeddings")
+    return e.select(*DD.atomic_columns(e))
+
+
+def _items(spark, sf):
+    p = tbl(spark, sf, "part")
+    items = F.array(
+        F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("label"),
+                 F.when(F.col("p_size") > 25, "en").otherwise("fr").alias("lang")),
+        F.struct(F.col("p_brand").alias("id"), F.col("p_brand").alias("label"),
+                 F.when(F.col("p_retailprice") > 1500, "en").otherwise("fr").alias("lang")))
+    items = F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(items)
+    return p.select("p_partkey", "p_name", "p_brand", items.alias("items"))
+
+
+@query("all_in_language", r"""
+SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN true ELSE (p_size <= 25 AND p_retailprice <= 1500) END AS in_fr
+FROM part""")
+def q_all_in_language(spark, sf):
+    """Every element in French; NULL lists count as true."""
+    return _items(spark, sf).select("p_partkey", A.all_in_language("items", "fr").alias("in_fr"))
+
+
+@query("flagged_split", r"""
+SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN '' WHEN (p_size <= 25 AND p_retailprice <= 1500)
+  THEN p_name || '|' || p_brand ELSE 'lookup:' || p_partkey || '|' || p_brand END AS value
+FROM part""")
+def q_flagged_split(spark, sf):
+    """One conditional column instead of splitting rows by a flag."""
+    it = _items(spark, sf)
+    flag = A.all_in_language("items", "fr")
+    labels = F.coalesce(F.array_join(A.struct_labels("items"), "|"), F.lit(""))
+    ids = F.concat(F.lit("lookup:"), F.array_join(A.struct_labels("items", "id"), "|"))
+    return it.select("p_partkey", F.when(flag, labels).otherwise(ids).alias("value"))
+
+
+@query("membership_filter", r"""
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def q_membership_filter(spark, sf):
+    """Values not in a key set (left anti join)."""
+    c, o = tbl(spark, sf, "customer"), tbl(spark, sf, "orders")
+    return c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+
+
+@query("set_differs", r"""
+SELECT p_partkey, list_sort(list_distinct([p_brand, p_type])) <>
+  list_sort(list_distinct([p_type, 'Brand#' || (p_size % 25 + 1)])) AS differs FROM part""")
+def q_set_differs(spark, sf):
+    """Two lists differ as sets."""
+    p = tbl(spark, sf, "part")
+    b = F.array("p_type", F.concat(F.lit("Brand#"), (F.col("p_size") % 25 + 1).cast("string")))
+    return p.select("p_partkey", A.set_differs(F.array("p_brand", "p_type"), b).alias("differs"))
+
+
+@query("nonempty_gate", r"""
+SELECT count(*) > 0 AS has_rows FROM (SELECT 1 FROM lineitem LIMIT 1)""")
+def q_nonempty_gate(spark, sf):
+    """The batch has rows (reads at most one row)."""
+    li = tbl(spark, sf, "lineitem")
+    return li.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows"))
+
+
+@query("positive_filter", r"""
+SELECT user_id, strftime(min(CAST(ts AS DATE)) FILTER (WHERE value > 50), '%Y-%m-%d') AS first_high_day
+FROM events GROUP BY user_id""")
+def q_positive_filter(spark, sf):
+    """Filtered minimum inside an aggregate."""
+    e = tbl(spark, sf, "events")
+    return e.groupBy("user_id").agg(iso_date(F.min(F.when(F.col("value") > 50, F.to_date("ts"))))
+                                    .alias("first_high_day"))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 joins
+# ---------------------------------------------------------------------------
+
+@query("fact_dim_join", r"""
+SELECT o_orderkey, c_custkey, n_name FROM orders
+JOIN customer ON c_name = 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+JOIN nation ON c_nationkey = n_nationkey""")
+def q_fact_dim_join(spark, sf):
+    """Snapshot rows joined to two dimensions by label (inner)."""
+    o, c, n = tbl(spark, sf, "orders"), tbl(spark, sf, "customer"), tbl(spark, sf, "nation")
+    snap = o.select("o_orderkey", F.format_string("Customer#%09d", "o_custkey").alias("company"))
+    j = snap.join(LK.small_side(c.select("c_name", "c_custkey", "c_nationkey")),
+                  snap["company"] == c["c_name"], "inner")
+    return j.join(LK.small_side(n.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"),
+                  "inner").select("o_orderkey", "c_custkey", "n_name")
+
+
+def _type_dim(spark, sf):
+    p = tbl(spark, sf, "part")
+    return KY.assign_keys(DD.distinct_members(p, ["p_type"]), ["p_type"], "type_id")
+
+
+@query("bridge_join", r"""
+WITH dim AS (SELECT p_type, row_number() OVER (ORDER BY p_type) AS type_id FROM (SELECT DISTINCT p_type FROM part))
+SELECT DISTINCT l_orderkey, type_id FROM lineitem JOIN part ON l_partkey = p_partkey
+JOIN dim ON part.p_type = dim.p_type""")
+def q_bridge_join(spark, sf):
+    """(order, member id) pairs through a label join, distinct."""
+    li, p = tbl(spark, sf, "lineitem"), tbl(spark, sf, "part")
+    snap = li.join(p.select("p_partkey", "p_type"), li.l_partkey == p.p_partkey).select(
+        F.col("l_orderkey").alias("job_id"), "p_type")
+    dim = _type_dim(spark, sf)
+    j = snap.join(LK.small_side(dim), "p_type", "inner")
+    return j.select(F.col("job_id").alias("l_orderkey"), "type_id").distinct()
+
+
+@query("bridge_location_join", r"""
+WITH m AS (SELECT DISTINCT c_mktsegment, n_name, r_name FROM customer
+           JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+dim AS (SELECT *, row_number() OVER (ORDER BY c_mktsegment, n_name, r_name) AS location_id FROM m)
+SELECT DISTINCT c_custkey, location_id FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+JOIN dim USING (c_mktsegment, n_name, r_name)""")
+def q_bridge_location_join(spark, sf):
+    """Three-column key join to a keyed place dimension."""
+    c, n, r = tbl(spark, sf, "customer"), tbl(spark, sf, "nation"), tbl(spark, sf, "region")
+    snap = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        "c_custkey", "c_mktsegment", "n_name", "r_name")
+    keys = ["c_mktsegment", "n_name", "r_name"]
+    dim = KY.assign_keys(DD.distinct_members(snap, keys), keys, "location_id")
+    return snap.join(LK.small_side(dim), keys, "inner").select("c_custkey", "location_id").distinct()
+
+
+@query("bridge_dim_prejoin", r"""
+SELECT l_orderkey, l_suppkey, s_name, s_nationkey
+FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) br JOIN supplier ON l_suppkey = s_suppkey""")
+def q_bridge_dim_prejoin(spark, sf):
+    """A bridge pre-joined to its dimension."""
+    br = tbl(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    s = tbl(spark, sf, "supplier")
+    return br.join(LK.small_side(s.select("s_suppkey", "s_name", "s_nationkey")),
+                   br.l_suppkey == s.s_suppkey, "inner").select("l_orderkey", "l_suppkey", "s_name", "s_nationkey")
+
+
+@query("metrics_location_join", r"""
+SELECT k1, k2, l_linenumber FROM (SELECT l_orderkey AS k1, l_linestatus AS k2, l_linenumber FROM lineitem) l
+JOIN (SELECT o_orderkey AS k1, nullif(o_orderstatus, 'P') AS k2 FROM orders) o USING (k1, k2)""")
+def q_metrics_location_join(spark, sf):
+    """Inner join USING several columns; NULL key parts never match."""
+    li = tbl(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k1"), F.col("l_linestatus").alias("k2"),
+                                           "l_linenumber")
+    o = tbl(spark, sf, "orders").select(F.col("o_orderkey").alias("k1"),
+                                        F.nullif("o_orderstatus", F.lit("P")).alias("k2"))
+    return li.join(o, ["k1", "k2"], "inner").select("k1", "k2", "l_linenumber")
+
+
+@query("active_history_join", r"""
+SELECT o_orderkey FROM orders h WHERE o_orderdate < TIMESTAMP '1998-08-02'
+AND EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate >= TIMESTAMP '1998-08-02' AND t.o_custkey = h.o_custkey)""")
+def q_active_history_join(spark, sf):
+    """History rows of keys also seen today (semi join: no fan-out)."""
+    o = tbl(spark, sf, "orders")
+    cut = F.lit(ORDERS_DS).cast("timestamp_ntz")
+    hist = o.where(F.col("o_orderdate") < cut)
+    today = o.where(F.col("o_orderdate") >= cut).select("o_custkey")
+    return hist.join(today, "o_custkey", "left_semi").select("o_orderkey")
+
+
+@query("delta_left_join", r"""
+WITH t AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1998-08-02' GROUP BY 1),
+h AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-08-02' GROUP BY 1)
+SELECT t.o_custkey, coalesce(t.n - h.n, t.n) AS delta FROM t LEFT JOIN h USING (o_custkey)""")
+def q_delta_left_join(spark, sf):
+    """today's values left-joined to history totals."""
+    o = tbl(spark, sf, "orders")
+    cut = F.lit(ORDERS_DS).cast("timestamp_ntz")
+    t = o.where(F.col("o_orderdate") >= cut).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    h = o.where(F.col("o_orderdate") < cut).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("h"))
+    return t.join(h, "o_custkey", "left").select(
+        "o_custkey", F.coalesce(F.col("n") - F.col("h"), F.col("n")).alias("delta"))
+
+
+@query("view_join", r"""
+SELECT l_orderkey AS job_id, l_partkey AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
+FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) JOIN part ON l_partkey = p_partkey""")
+def q_view_join(spark, sf):
+    """A bridge view (bridge joined to its dimension)."""
+    br = tbl(spark, sf, "lineitem").select(F.col("l_orderkey").alias("job_id"),
+                                           F.col("l_partkey").alias("p_partkey")).distinct()
+    return GD.bridge_view(br, tbl(spark, sf, "part"), "p_partkey")
+
+
+@query("metrics_fact_join", r"""
+SELECT o_orderstatus, l_returnflag, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+GROUP BY o_orderstatus, l_returnflag""")
+def q_metrics_fact_join(spark, sf):
+    """Daily rows joined to the fact on the key (planner picks the strategy)."""
+    li, o = tbl(spark, sf, "lineitem"), tbl(spark, sf, "orders")
+    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+            .groupBy("o_orderstatus", "l_returnflag").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("lookup_left_join", r"""
+SELECT o_orderkey, c_name AS customer_name FROM orders LEFT JOIN customer ON nullif(o_custkey, 7) = c_custkey""")
+def q_lookup_left_join(spark, sf):
+    """Ids replaced by labels (left join; repeated lookup ids do not fan out, T24)."""
+    o = tbl(spark, sf, "orders").select("o_orderkey", F.nullif("o_custkey", F.lit(7)).alias("cust_id"))
+    c = tbl(spark, sf, "customer").select("c_custkey", "c_name")
+    lookup = c.unionByName(c)  # every id twice
+    return LK.replace_ids(o, lookup, "cust_id", "c_custkey", "c_name", "customer_name")
+
+
+@query("values_outer_join", r"""
+SELECT a.v AS brand_a, b.v AS brand_b FROM (SELECT DISTINCT nullif(p_brand, 'Brand#25') AS v FROM part) a
+FULL OUTER JOIN (SELECT DISTINCT 'Brand#' || nullif(n_nationkey, 0) AS v FROM nation) b
+ON a.v IS NOT DISTINCT FROM b.v""")
+def q_values_outer_join(spark, sf):
+    """Full outer match of two value lists; NULL matches NULL as in the reference."""
+    from listingmart.operators.standardise import outer_match
+    a = tbl(spark, sf, "part").select(F.nullif("p_brand", F.lit("Brand#25")).alias("brand_a")).distinct()
+    b = tbl(spark, sf, "nation").select(
+        F.concat(F.lit("Brand#"), F.nullif("n_nationkey", F.lit(0)).cast("string")).alias("brand_b")).distinct()
+    return outer_match(a, b, "brand_a", "brand_b")
+
+
+# ---------------------------------------------------------------------------
+# 2.5 aggregations
+# ---------------------------------------------------------------------------
+
+@query("dim_members", r"""
+SELECT DISTINCT nullif(p_type, 'PROMO') AS p_type FROM part WHERE nullif(p_type, 'PROMO') IS NOT NULL""")
+def q_dim_members(spark, sf):
+    """A1: distinct non-NULL members of one column."""
+    p = tbl(spark, sf, "part").select(F.nullif("p_type", F.lit("PROMO")).alias("p_type"))
+    return DD.distinct_members(p, ["p_type"])
+
+
+@query("location_members", r"""
+SELECT c_mktsegment, n_name, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey
+GROUP BY c_mktsegment, n_name, n_regionkey""")
+def q_location_members(spark, sf):
+    """A2: distinct member tuples (GROUP BY without aggregates)."""
+    c, n = tbl(spark, sf, "customer"), tbl(spark, sf, "nation")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    return DD.distinct_members(j, ["c_mktsegment", "n_name", "n_regionkey"])
+
+
+@query("first_per_key", r"""
+SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER
+  (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
+def q_first_per_key(spark, sf):
+    """A3: DISTINCT ON (key) with an explicit total order."""
+    o = tbl(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return DD.first_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@query("first_per_key_ordered", r"""
+SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
+  ORDER BY CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END ASC NULLS LAST, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1""")
+def q_first_per_key_ordered(spark, sf):
+    """A4: first per key by a nullable date, NULLs last (T5)."""
+    o = tbl(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderdate")).alias("d"))
+    return DD.first_per_key(o, ["o_custkey"], [F.col("d").asc_nulls_last(), "o_orderkey"]).select(
+        "o_custkey", "o_orderkey")
+
+
+@query("drop_exact_duplicates", r"""
+SELECT doc_id, n_chars FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) AS rn
+  FROM documents) WHERE rn = 1""")
+def q_drop_exact_duplicates(spark, sf):
+    """A5: keep the first of the rows equal on the compared columns."""
+    d = tbl(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    return DD.drop_exact_duplicates(d, ["doc_id"], ["text", "lang"]).select("doc_id", "n_chars")
+
+
+@query("drop_duplicate_keys", r"""
+SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source""")
+def q_drop_duplicate_keys(spark, sf):
+    """First row per key."""
+    d = tbl(spark, sf, "documents").select("source", "doc_id")
+    return DD.first_per_key(d, ["source"], ["doc_id"])
+
+
+@query("merge_duplicates", r"""
+SELECT md5(text) AS text_key, lang, arg_min(source, doc_id) FILTER (WHERE source IS NOT NULL) AS source,
+  coalesce(sum(n_chars), 0) AS n_chars, count(*) AS dup_count
+FROM (SELECT text, nullif(lang, 'de') AS lang, nullif(source, 'src0') AS source, n_chars, doc_id FROM documents)
+GROUP BY text, lang""")
+def q_merge_duplicates(spark, sf):
+    """One row per key (NULL a group): first non-NULL per column, sums, count."""
+    d = tbl(spark, sf, "documents").select(
+        "text", F.nullif("lang", F.lit("de")).alias("lang"), F.nullif("source", F.lit("src0")).alias("source"),
+        "n_chars", "doc_id")
+    m = DD.merge_duplicates(d, ["text", "lang"], ["n_chars"], "doc_id", count_col="dup_count")
+    return m.select(F.md5("text").alias("text_key"), "lang", "source", "n_chars", "dup_count")
+
+
+@query("duplicate_report", r"""
+WITH d AS (SELECT text, nullif(lang, 'de') AS lang, source FROM documents),
+k AS (SELECT count(*) AS n FROM d GROUP BY text, lang)
+SELECT (SELECT count(*) FROM d) AS rows_before,
+  (SELECT count(*) FROM d) - (SELECT count(*) FROM (SELECT 1 FROM d GROUP BY text, lang, source)) AS exact_duplicates,
+  (SELECT count(*) FROM k) AS rows_after_merge,
+  (SELECT CAST(coalesce(sum(n), 0) - count(*) AS BIGINT) FROM k WHERE n > 1) AS merged_duplicates""")
+def q_duplicate_report(spark, sf):
+    """Rows before, exact duplicates, rows after merge, merged duplicates."""
+    d = tbl(spark, sf, "documents").select("text", F.nullif("lang", F.lit("de")).alias("lang"), "source")
+    return DD.duplicate_report(d, ["text", "lang"], ["text", "lang", "source"])
+
+
+@query("regroup_array", r"""
+SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '),
+  lambda x: CASE WHEN x = 'red' THEN 'NULL' ELSE upper(x) END), ' ') AS regrouped FROM part""")
+def q_regroup_array(spark, sf):
+    """Exploded values collected back in position order, NULL elements kept."""
+    p = tbl(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("toks"))
+    ex = p.select("p_partkey", F.posexplode("toks").alias("pos", "tok"))
+    ex = ex.withColumn("tok", F.when(F.col("tok") == "red", F.lit(None)).otherwise(F.upper("tok")))
+    rg = LK.regroup_array(ex, ["p_partkey"], "pos", "tok", "toks")
+    return rg.select("p_partkey", F.array_join("toks", " ", "NULL").alias("regrouped"))
+
+
+def _daily_events(spark, sf):
+    """Daily counters per (user, event type): the analogue of a daily metric fact."""
+    e = tbl(spark, sf, "events")
+    return e.groupBy("user_id", "event_type", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).cast("int").alias("cnt"))
+
+
+@query("history_totals", r"""
+WITH d AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(count(*) AS INTEGER) AS cnt FROM events
+           GROUP BY ALL)
+SELECT user_id, event_type, CAST(sum(cnt) AS BIGINT) AS cnt_total FROM d
+WHERE day < DATE '2024-01-20' AND (user_id, event_type) IN
+  (SELECT (user_id, event_type) FROM d WHERE day = DATE '2024-01-20')
+GROUP BY user_id, event_type""")
+def q_history_totals(spark, sf):
+    """A10: sums of earlier daily values, only for keys seen on the run date."""
+    d = _daily_events(spark, sf)
+    today = d.where(F.col("day") == F.lit(EVENTS_DS).cast("date"))
+    t = DL.history_totals(d, today, ["user_id", "event_type"], ["cnt"], "day", EVENTS_DS)
+    return t.select("user_id", "event_type", F.col("_cnt_total").alias("cnt_total"))
+
+
+def _daily_user(spark, sf):
+    e = tbl(spark, sf, "events")
+    return e.groupBy(F.col("user_id").alias("job_id"), F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).cast("int").alias("nb_views"),
+        F.count_if(F.col("event_type") == "purchase").cast("int").alias("nb_applicants"))
+
+
+_DAILY_USER_SQL = r"""(SELECT user_id AS job_id, CAST(ts AS DATE) AS date, CAST(count(*) AS INTEGER) AS nb_views,
+  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS INTEGER) AS nb_applicants FROM events GROUP BY 1, 2)"""
+
+
+@query("job_performance_summary", r"""
+SELECT job_id, CAST(sum(nb_views) AS BIGINT) AS total_views, CAST(sum(nb_applicants) AS BIGINT) AS total_applicants,
+  strftime(min(date), '%Y-%m-%d') AS first_active_day, strftime(max(date), '%Y-%m-%d') AS last_active_day
+FROM """ + _DAILY_USER_SQL + " GROUP BY job_id")
+def q_job_performance_summary(spark, sf):
+    """A11 (flagship): per key totals and first / last active day from daily rows."""
+    return with_iso_dates(GD.job_performance_summary(_daily_user(spark, sf)))
+
+
+@query("first_last_application_days", r"""
+WITH f AS (SELECT user_id AS job_id, min(ts) AS datetime_published FROM events GROUP BY 1)
+SELECT p.job_id,
+  CAST(date_diff('day', CAST(f.datetime_published AS DATE), min(p.date) FILTER (WHERE p.nb_applicants > 0)) AS INTEGER)
+    AS days_to_first_applicant,
+  CAST(date_diff('day', CAST(f.datetime_published AS DATE), max(p.date) FILTER (WHERE p.nb_applicants > 0)) AS INTEGER)
+    AS days_to_last_applicant
+FROM """ + _DAILY_USER_SQL + r""" p JOIN f ON f.job_id = p.job_id GROUP BY p.job_id, f.datetime_published""")
+def q_first_last_application_days(spark, sf):
+    """J9 + A12: days from publication to the first / last day with applicants."""
+    e = tbl(spark, sf, "events")
+    fact = e.groupBy(F.col("user_id").alias("job_id")).agg(F.min("ts").alias("datetime_published"))
+    return GD.first_last_application_days(_daily_user(spark, sf), fact)
+
+
+@query("distinct_rows", r"""SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders""")
+def q_distinct_rows(spark, sf):
+    """Distinct rows."""
+    return tbl(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").dropDuplicates()
+
+
+@query("flag_count", r"""
+SELECT o_orderstatus, count(*) FILTER (WHERE o_totalprice > 100000) AS n_flagged FROM orders GROUP BY 1""")
+def q_flag_count(spark, sf):
+    """Number of rows failing a flag."""
+    o = tbl(spark, sf, "orders")
+    return o.groupBy("o_orderstatus").agg(F.count_if(F.col("o_totalprice") > 100000).alias("n_flagged"))
+
+
+@query("duplicate_check", r"""
+SELECT p_name, count(*) AS n FROM part GROUP BY p_name HAVING count(*) > 1""")
+def q_duplicate_check(spark, sf):
+    """Keys occurring more than once."""
+    return CK.check_unique(tbl(spark, sf, "part"), ["p_name"])
+
+
+# ---------------------------------------------------------------------------
+# 2.6 windows: cumulative counters -> daily changes
+# ---------------------------------------------------------------------------
+
+def _cumulative(spark, sf):
+    """Cumulative per-(user, type) counts by day, with holes (NULL) on some days."""
+    from pyspark.sql import Window
+    d = _daily_events(spark, sf)
+    w = Window.partitionBy("user_id", "event_type").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    cum = F.sum("cnt").over(w).cast("int")
+    hole = ((F.col("user_id") + F.dayofmonth("day")) % 7) == 0
+    return d.select("user_id", "event_type", "day", F.when(hole, F.lit(None)).otherwise(cum).alias("cnt"))
+
+
+_CUM_SQL = r"""(SELECT user_id, event_type, day, CASE WHEN (user_id + dayofmonth(day)) % 7 = 0 THEN NULL
+  ELSE CAST(sum(cnt) OVER (PARTITION BY user_id, event_type ORDER BY day ROWS UNBOUNDED PRECEDING) AS INTEGER)
+  END AS cnt
+  FROM (SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS cnt FROM events GROUP BY ALL))"""
+
+
+@query("counter_to_delta_full", r"""
+SELECT user_id, event_type, day, CAST(cnt - coalesce(lag(cnt IGNORE NULLS) OVER
+  (PARTITION BY user_id, event_type ORDER BY day), 0) AS INTEGER) AS cnt FROM """ + _CUM_SQL)
+def q_counter_to_delta_full(spark, sf):
+    """change = value - last earlier non-NULL value, over the whole history."""
+    return DL.counter_delta_full(_cumulative(spark, sf), ["user_id", "event_type"], "day", ["cnt"])
+
+
+@query("counter_to_delta_incremental", r"""
+WITH c AS """ + _CUM_SQL + r""",
+hist AS (SELECT user_id, event_type, day, cnt - coalesce(lag(cnt IGNORE NULLS) OVER
+  (PARTITION BY user_id, event_type ORDER BY day), 0) AS cnt FROM c WHERE day < DATE '2024-01-20'),
+today AS (SELECT * FROM c WHERE day = DATE '2024-01-20'),
+tot AS (SELECT user_id, event_type, sum(cnt) AS total FROM hist WHERE (user_id, event_type) IN
+  (SELECT (user_id, event_type) FROM today) GROUP BY 1, 2),
+pub AS (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY 1)
+SELECT t.user_id, t.event_type, DATE '2024-01-20' AS day, CAST(coalesce(t.cnt - tot.total, t.cnt) AS INTEGER) AS cnt,
+  CAST(date_diff('day', CAST(pub.first_ts AS DATE), DATE '2024-01-20') AS INTEGER) AS days_since_published
+FROM today t LEFT JOIN tot USING (user_id, event_type) JOIN pub USING (user_id)""")
+def q_counter_to_delta_incremental(spark, sf):
+    """W2 (+J6, A10, J7, W4): today's change from today's cumulative value and stored history."""
+    cum = _cumulative(spark, sf)
+    ds = F.lit(EVENTS_DS).cast("date")
+    history = DL.counter_delta_full(cum.where(F.col("day") < ds), ["user_id", "event_type"], "day", ["cnt"])
+    pub = tbl(spark, sf, "events").groupBy("user_id").agg(F.min("ts").alias("published"))
+    today = cum.where(F.col("day") == ds).join(pub, "user_id")
+    return DL.counter_delta(today, history, ["user_id", "event_type"], ["cnt"], EVENTS_DS, "day", "published")
+
+
+@query("days_since_published", r"""
+SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') AS INTEGER) AS days
+FROM orders""")
+def q_days_since_published(spark, sf):
+    """Run date - publication date in days."""
+    o = tbl(spark, sf, "orders")
+    return o.select("o_orderkey", D.days_between(F.lit(ORDERS_DS), "o_orderdate").alias("days"))
+
+
+# ---------------------------------------------------------------------------
+# 2.7 sort and paging, 2.8 set operations
+# ---------------------------------------------------------------------------
+
+@query("sort_values", r"""SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey""")
+def q_sort_values(spark, sf):
+    """O2: total sort."""
+    return PG.sort_values(tbl(spark, sf, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"])
+
+
+@query("page_limit", r"""SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 200""")
+def q_page_limit(spark, sf):
+    """Page 3 of 100 rows (the limit is the feature)."""
+    return PG.page(tbl(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 100, 3)
+
+
+@query("sorted_join", r"""
+SELECT p_partkey, array_to_string(list_sort(string_split(p_name || ' ' || p_type, ' ')), ', ') AS joined FROM part""")
+def q_sorted_join(spark, sf):
+    """Sorted list -> one string."""
+    p = tbl(spark, sf, "part")
+    return p.select("p_partkey", A.sorted_join(F.split(F.concat_ws(" ", "p_name", "p_type"), " ")).alias("joined"))
+
+
+@query("conformed_union", r"""
+SELECT label, row_number() OVER (ORDER BY label) AS label_id FROM
+  (SELECT p_type AS label FROM part UNION SELECT upper(c_mktsegment) FROM customer)""")
+def q_conformed_union(spark, sf):
+    """Members of two sources unioned, then keyed once."""
+    a = tbl(spark, sf, "part").select(F.col("p_type").alias("label"))
+    b = tbl(spark, sf, "customer").select(F.upper("c_mktsegment").alias("label"))
+    members = DD.distinct_members(a.unionByName(b), ["label"])
+    return KY.assign_keys(members, ["label"], "label_id")
+
+
+@query("element_set_union", r"""
+SELECT p_partkey, array_to_string(list_sort(list_distinct(list_concat(string_split(p_name, ' '),
+  [p_brand, split_part(p_name, ' ', 1)]))), ', ') AS union_str FROM part""")
+def q_element_set_union(spark, sf):
+    """Set union of two token lists."""
+    p = tbl(spark, sf, "part")
+    u = A.set_union(F.split("p_name", " "), F.array("p_brand", F.element_at(F.split("p_name", " "), 1)))
+    return p.select("p_partkey", A.sorted_join(u).alias("union_str"))
+
+
+# ---------------------------------------------------------------------------
+# 2.9 merge, keys and constraints
+# ---------------------------------------------------------------------------
+
+_UPSERT_T = r"""(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+  WHERE o_orderdate < TIMESTAMP '1998-01-01')"""
+_UPSERT_S = r"""(SELECT o_orderkey, o_custkey + 1 AS o_custkey, 'X' || o_orderstatus AS o_orderstatus,
+  o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1997-06-01')"""
+
+
+def _upsert_inputs(spark, sf):
+    o = tbl(spark, sf, "orders")
+    t = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    s = o.where(F.col("o_orderdate") >= F.lit("1997-06-01").cast("timestamp_ntz")).select(
+        "o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"),
+        F.concat(F.lit("X"), "o_orderstatus").alias("o_orderstatus"),
+        (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return t, s
+
+
+def _upsert_sql(update: list[str]) -> str:
+    cols = []
+    for c in ["o_custkey", "o_orderstatus", "o_totalprice"]:
+        if c in update:
+            cols.append(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            cols.append(f"CASE WHEN t.o_orderkey IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
+    return ("SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, " + ", ".join(cols)
+            + f" FROM {_UPSERT_T} t FULL OUTER JOIN {_UPSERT_S} s ON t.o_orderkey = s.o_orderkey")
+
+
+@query("upsert", _upsert_sql(["o_orderstatus"]))
+def q_upsert(spark, sf):
+    """M1: insert new keys, overwrite only the listed columns of existing keys."""
+    t, s = _upsert_inputs(spark, sf)
+    return MG.upsert(t, s, ["o_orderkey"], ["o_orderstatus"])
+
+
+@query("upsert_fact_a", _upsert_sql(["o_orderstatus", "o_custkey"]))
+def q_upsert_fact_a(spark, sf):
+    """M4: fact upsert with source A's update list (kept columns stay)."""
+    t, s = _upsert_inputs(spark, sf)
+    return MG.upsert(t, s, ["o_orderkey"], ["o_orderstatus", "o_custkey"])
+
+
+@query("upsert_fact_b", _upsert_sql(["o_orderstatus", "o_custkey", "o_totalprice"]))
+def q_upsert_fact_b(spark, sf):
+    """M5: fact upsert with source B's longer update list."""
+    t, s = _upsert_inputs(spark, sf)
+    return MG.upsert(t, s, ["o_orderkey"], ["o_orderstatus", "o_custkey", "o_totalprice"])
+
+
+@query("insert_if_absent", r"""
+SELECT DISTINCT 'Brand#' || s_nationkey AS p_brand FROM supplier
+WHERE 'Brand#' || s_nationkey NOT IN (SELECT p_brand FROM part)""")
+def q_insert_if_absent(spark, sf):
+    """Only members whose key is not yet in the target."""
+    target = tbl(spark, sf, "part").select("p_brand")
+    src = tbl(spark, sf, "supplier").select(F.concat(F.lit("Brand#"), F.col("s_nationkey").cast("string"))
+                                            .alias("p_brand"))
+    return MG.insert_if_absent(target, src, ["p_brand"])
+
+
+_LOC_DIM_SQL = r"""(SELECT n_nationkey AS location_id, n_name AS city, 'S' || n_regionkey AS state,
+  r_name AS country, 'Inconnu' AS region FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+_LOC_MEMBERS_SQL = r"""(SELECT CASE WHEN c_custkey % 3 = 0 THEN n_name ELSE n_name || '-' || (c_custkey % 3) END AS city,
+  'S' || n_regionkey AS state, r_name AS country, c_mktsegment AS region
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+@query("upsert_location_region", r"""
+WITH m AS (SELECT city, state, country, coalesce(max(region) FILTER (WHERE region <> 'Inconnu'), max(region), 'Inconnu')
+  AS region FROM """ + _LOC_MEMBERS_SQL + r""" GROUP BY city, state, country)
+SELECT d.location_id, city, state, country, m.region FROM """ + _LOC_DIM_SQL + r""" d JOIN m USING (city, state, country)
+UNION ALL
+SELECT NULL::BIGINT, city, state, country, region FROM m
+WHERE (city, state, country) NOT IN (SELECT (city, state, country) FROM """ + _LOC_DIM_SQL + ")")
+def q_upsert_location_region(spark, sf):
+    """M3: place upsert where the region is overwritten and two regions resolve to the max."""
+    n, r, c = tbl(spark, sf, "nation"), tbl(spark, sf, "region"), tbl(spark, sf, "customer")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+    dim = nr.select(F.col("n_nationkey").cast("long").alias("location_id"), F.col("n_name").alias("city"),
+                    F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("state"),
+                    F.col("r_name").alias("country"), F.lit("Inconnu").alias("region"))
+    m = c.join(nr, c.c_nationkey == nr.n_nationkey).select(
+        F.when(F.col("c_custkey") % 3 == 0, F.col("n_name"))
+        .otherwise(F.concat("n_name", F.lit("-"), (F.col("c_custkey") % 3).cast("string"))).alias("city"),
+        F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("state"),
+        F.col("r_name").alias("country"), F.col("c_mktsegment").alias("region"))
+    updated, new = MG.upsert_location_region(dim, m, overwrite_region=True)
+    return updated.unionByName(new.withColumn("location_id", F.lit(None).cast("long")))
+
+
+@query("upsert_daily_metrics", r"""
+WITH d AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(count(*) AS INTEGER) AS cnt FROM events
+  GROUP BY ALL),
+t AS (SELECT *, CAST(dayofmonth(day) AS INTEGER) AS days_since FROM d WHERE day <= DATE '2024-01-20'),
+s AS (SELECT user_id, event_type, day, cnt * 2 AS cnt, CAST(-1 AS INTEGER) AS days_since FROM d
+  WHERE day >= DATE '2024-01-15')
+SELECT coalesce(s.user_id, t.user_id) AS user_id, coalesce(s.event_type, t.event_type) AS event_type,
+  coalesce(s.day, t.day) AS day, CASE WHEN s.user_id IS NOT NULL THEN s.cnt ELSE t.cnt END AS cnt,
+  CASE WHEN t.user_id IS NOT NULL THEN t.days_since ELSE s.days_since END AS days_since
+FROM t FULL OUTER JOIN s ON t.user_id = s.user_id AND t.event_type = s.event_type AND t.day = s.day""")
+def q_upsert_daily_metrics(spark, sf):
+    """M6: on (key, date) update the metric, keep days_since."""
+    d = _daily_events(spark, sf)
+    t = d.where(F.col("day") <= F.lit(EVENTS_DS).cast("date")).withColumn(
+        "days_since", F.dayofmonth("day").cast("int"))
+    s = d.where(F.col("day") >= F.lit("2024-01-15").cast("date")).select(
+        "user_id", "event_type", "day", (F.col("cnt") * 2).alias("cnt"), F.lit(-1).cast("int").alias("days_since"))
+    return MG.upsert(t, s, ["user_id", "event_type", "day"], ["cnt"])
+
+
+@query("surrogate_keys", r"""
+SELECT p_brand, p_type, row_number() OVER (ORDER BY p_brand, p_type) AS member_id
+FROM (SELECT DISTINCT p_brand, p_type FROM part)""")
+def q_surrogate_keys(spark, sf):
+    """M7: dense, repeatable keys by natural key, computed in parallel."""
+    m = DD.distinct_members(tbl(spark, sf, "part"), ["p_brand", "p_type"])
+    return KY.assign_keys(m, ["p_brand", "p_type"], "member_id")
+
+
+@query("unknown_member", r"""
+SELECT -1 AS brand_id, 'Inconnu' AS p_brand
+UNION ALL SELECT row_number() OVER (ORDER BY p_brand), p_brand FROM (SELECT DISTINCT p_brand FROM part)""")
+def q_unknown_member(spark, sf):
+    """M8: a keyed dimension with its unknown member (-1, Inconnu)."""
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("brand_id", T.LongType(), False),
+                           T.StructField("p_brand", T.StringType(), False)])
+    m = KY.assign_keys(DD.distinct_members(tbl(spark, sf, "part"), ["p_brand"]), ["p_brand"], "brand_id")
+    return KY.seed_unknown(spark, schema).unionByName(m.select("brand_id", "p_brand"))
+
+
+@query("job_key", r"""
+SELECT p_partkey, lower(split_part(p_name, ' ', 1)) || '-' ||
+  substr(md5(p_name || coalesce(nullif(p_brand, 'Brand#1'), 'None') || p_type), 1, 8) AS job_id FROM part""")
+def q_job_key(spark, sf):
+    """M10 (F7, F8, F9): first title word + 8 hex digits of md5 over the key columns as text."""
+    p = tbl(spark, sf, "part").select("p_partkey", F.col("p_name").alias("title"),
+                                      F.nullif("p_brand", F.lit("Brand#1")).alias("company"),
+                                      F.col("p_type").alias("datetime_published"))
+    return KY.job_key(p).select("p_partkey", "job_id")
+
+
+@query("check_unique", r"""
+SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2 HAVING count(*) > 1""")
+def q_check_unique(spark, sf):
+    """Key groups that occur more than once."""
+    return CK.check_unique(tbl(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"])
+
+
+@query("check_not_null", r"""
+SELECT count(*) FILTER (WHERE nullif(o_orderstatus, 'P') IS NULL) AS o_orderstatus,
+  count(*) FILTER (WHERE o_orderkey IS NULL) AS o_orderkey FROM orders""")
+def q_check_not_null(spark, sf):
+    """NULL counts of NOT NULL columns."""
+    o = tbl(spark, sf, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+    return CK.check_not_null(o, ["o_orderstatus", "o_orderkey"])
+
+
+@query("check_foreign_key", r"""
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL
+AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+def q_check_foreign_key(spark, sf):
+    """Child rows whose reference has no parent (left anti join)."""
+    o = tbl(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    parent = tbl(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    return CK.orphans(o, parent, ["o_custkey"], ["c_custkey"])
+
+
+def _iso_sql(sql: str, cols: list[str]) -> str:
+    rep = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql})"
+
+
+# Date columns leave every registered query as ISO text (see ``iso_date``).
+for _k in list(QUERIES):
+    QUERIES[_k] = (lambda f: lambda spark, sf: with_iso_dates(f(spark, sf)))(QUERIES[_k])
+for _k in ["counter_to_delta_full", "counter_to_delta_incremental", "upsert_daily_metrics"]:
+    ORACLE[_k] = _iso_sql(ORACLE[_k], ["day"])
