@@ -49,13 +49,13 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def page_report(pages: DataFrame, total_col: str, rows_col: str) -> DataFrame:
-    """Announced total vs rows actually read, over all pages.
+def page_report(pages: DataFrame, total_col: str, rows_col: str, by: list[str] | None = None) -> DataFrame:
+    """Announced total vs rows actually read, per listing (``by``) or overall.
 
     ``pages`` has one row per page with the announced total and an array of
     rows; a mismatch means pages were lost or the listing moved while paging.
     """
-    return pages.agg(
+    return pages.groupBy(*(by or [])).agg(
         F.max(total_col).cast("long").alias("announced_total"),
         F.count(F.lit(1)).cast("long").alias("pages_read"),
         F.coalesce(F.sum(F.size(rows_col)), F.lit(0)).cast("long").alias("rows_read"),

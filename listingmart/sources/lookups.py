@@ -19,6 +19,13 @@ def read_lookup(spark: SparkSession, path: str, result_key: str | None = None) -
     return spark.read.schema(LOOKUP_ITEM).option("multiLine", True).json(path)
 
 
+def lookup_from_text(df: DataFrame, text_col: str, result_key: str) -> DataFrame:
+    """S7 on lookup responses held as JSON text (one response per row)."""
+    schema = T.StructType([T.StructField(result_key, T.ArrayType(LOOKUP_ITEM))])
+    return df.select(F.from_json(F.col(text_col), schema).alias("_r")).select(
+        F.inline(F.col(f"_r.`{result_key}`")))
+
+
 # Fixed values (must equal the reference's): the standardisation maps, as
 # (source, field, old value, new value), in the order the reference lists them.
 # Source A lists "Métiers Banque et Assurances" twice with the same target.
