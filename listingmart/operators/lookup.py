@@ -37,10 +37,12 @@ def replace_ids(df: DataFrame, lookup: DataFrame, df_key: str, lookup_key: str,
 
     A NULL id gets a NULL label (never matches).
     """
-    lk = dedupe_lookup(lookup.select(lookup_key, source_name), lookup_key, source_name)
+    raw = lookup.select(lookup_key, source_name)
+    small = bounded and fits(raw)  # the raw list bounds the de-duplicated one
+    lk = dedupe_lookup(raw, lookup_key, source_name)
     lk = lk.withColumnRenamed(lookup_key, "_lk_key").withColumnRenamed(source_name, final_name)
-    if bounded:
-        lk = small_side(lk)
+    if small:
+        lk = F.broadcast(lk)
     out = df.join(lk, df[df_key] == lk["_lk_key"], how)
     return out.drop("_lk_key", df_key)
 
@@ -65,30 +67,35 @@ def label_translation(df: DataFrame, key: str, attributes: dict[str, DataFrame],
     (F16), their ids looked up in the attribute's list (J10, left join, so an
     unknown id gives a NULL label) and regrouped (A9). All attributes are
     handled in one explode, one broadcast join and one regroup, then joined back
-    on the (unique) row key.
+    on the (unique) row key. The input is read twice (elements, join back):
+    callers should pass a materialised frame.
 
     ``null_as_null_element``: a NULL or empty list becomes a list holding one
     NULL (the reference's explode/regroup path, trap T2); otherwise it is kept.
     """
     names = list(attributes)
     flags = {a: all_in_language(a, lang) for a in names}
-    # Long form of the elements that need the lookup, all attributes at once.
-    parts = []
-    for a in names:
-        parts.append(df.where(~flags[a]).select(
-            F.col(key), F.lit(a).alias("_attr"),
-            F.posexplode(F.col(a)).alias("_pos", "_el")))
-    todo = parts[0]
-    for p in parts[1:]:
-        todo = todo.unionByName(p)
-    lookups = None
+    # Long form of the elements that need the lookup, all attributes in one pass.
+    el = "array<struct<_attr:string,_pos:int,_id:string>>"
+
+    def tag(a):
+        return lambda x, i: F.struct(F.lit(a).alias("_attr"), i.alias("_pos"),
+                                     x["id"].cast("string").alias("_id"))
+
+    tagged = F.concat(*[F.when(~flags[a], F.transform(F.col(a), tag(a))).otherwise(F.array().cast(el))
+                        for a in names])
+    todo = df.select(F.col(key), F.explode(tagged).alias("_e")).select(key, "_e.*")
+    raw = None
     for a, lk in attributes.items():
-        one = dedupe_lookup(lk.select(F.col("id").cast("string").alias("id"), "label"), "id", "label")
-        one = one.select(F.lit(a).alias("_attr"), F.col("id").alias("_id"), F.col("label").alias("_tr"))
-        lookups = one if lookups is None else lookups.unionByName(one)
-    lookups = small_side(lookups)
-    joined = todo.join(lookups, (todo["_attr"] == lookups["_attr"])
-                       & (todo["_el"]["id"].cast("string") == lookups["_id"]), "left") \
+        one = lk.select(F.lit(a).alias("_attr"), F.col("id").cast("string").alias("_id"),
+                        F.col("label").alias("_tr"))
+        raw = one if raw is None else raw.unionByName(one)
+    # The raw lists bound the de-duplicated one: prove the bound without a shuffle.
+    bounded = fits(raw)
+    lookups = raw.where(F.col("_id").isNotNull()).groupBy("_attr", "_id").agg(F.min("_tr").alias("_tr"))
+    if bounded:
+        lookups = F.broadcast(lookups)
+    joined = todo.join(lookups, (todo["_attr"] == lookups["_attr"]) & (todo["_id"] == lookups["_id"]), "left") \
         .select(todo[key], todo["_attr"], "_pos", "_tr")
     # collect_list drops the NULLs produced for the other attributes.
     regrouped = joined.groupBy(key).agg(*[

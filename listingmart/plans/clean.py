@@ -20,6 +20,7 @@ from listingmart.operators.dedup import (atomic_columns, drop_exact_duplicates,
 from listingmart.operators.keys import job_key
 from listingmart.operators.lookup import label_translation, replace_ids
 from listingmart.schemas import SOURCE_A, SOURCE_B, STG_A, STG_B
+from listingmart.session import cut_lineage
 from listingmart.sources.lookups import value_maps
 
 # Source A attributes translated through a lookup list when not all in French.
@@ -59,14 +60,17 @@ def clean_a(rows: DataFrame, ds: dt.date | str, lookups: dict[str, DataFrame],
     the six translated attributes to its (id, label) list.
     """
     order = arrival_order()
-    subset = atomic_columns(rows, exclude=["_page", "_pos"])
-    df = drop_exact_duplicates(rows, order, subset)
-    df = job_key(df)  # built on the raw publication text (T7)
+    # A5 then A6: rows equal on every atomic column share their job key, so the
+    # first row per key (same order) is also first among its exact copies; one
+    # window does both.
+    df = job_key(rows)  # built on the raw publication text (T7)
     df = first_per_key(df, ["job_id"], order)
+    # Materialise the day's de-duplicated rows once: the translation reads them twice.
+    df = cut_lineage(df.drop("_page", "_pos"))
     df = df.withColumn("date_scraped", _date_lit(ds))
     df = df.withColumn("datetime_published", parse_timestamp("datetime_published"))
     df = df.withColumn("sector", wrap("sector"))
-    df = label_translation(df.drop("_page", "_pos"), "job_id",
+    df = label_translation(df, "job_id",
                            {a: lookups[a] for a in A_TRANSLATED}, lang, null_as_null_element)
     df = df.withColumn("sector", unwrap("sector"))
     df = _apply_maps(df, value_maps("A"))

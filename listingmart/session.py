@@ -30,7 +30,7 @@ def get_session(master: str | None = None, app: str = "listingmart",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
