@@ -9,7 +9,7 @@ from listingmart.functions.dates import _date_lit, days_between
 
 
 def history_totals(history: DataFrame, today: DataFrame, keys: list[str], metrics: list[str],
-                   date_col: str, ds) -> DataFrame:
+                   date_col: str, ds, since=None) -> DataFrame:
     """A10 + J6: per key, the sum of earlier daily changes, only for keys seen today.
 
     The history is restricted to dates before ``ds`` (pruned on the partition
@@ -17,19 +17,23 @@ def history_totals(history: DataFrame, today: DataFrame, keys: list[str], metric
     multiply the sums (T11). Sums of all-NULL histories stay NULL (T13).
     """
     hist = history.where(F.col(date_col) < _date_lit(ds))
+    if since is not None:  # no history row of today's keys can be older (partition pruning)
+        hist = hist.where(F.col(date_col) >= _date_lit(since))
     active = hist.join(today.select(*keys).distinct(), keys, "left_semi")
     return active.groupBy(*keys).agg(*[F.sum(m).alias(f"_{m}_total") for m in metrics])
 
 
 def counter_delta(today: DataFrame, history: DataFrame, keys: list[str], metrics: list[str],
-                  ds, date_col: str = "date", published_col: str | None = None) -> DataFrame:
+                  ds, date_col: str = "date", published_col: str | None = None, since=None) -> DataFrame:
     """today's change = today's cumulative value - sum of earlier changes.
 
     No history -> today's value; NULL today -> NULL; no clamping (T12).
     Output: keys, ``date_col`` (= ds), metrics, and ``days_since_published``
-    (W4) when ``published_col`` is given.
+    (W4) when ``published_col`` is given. ``since`` (optional) is a date no
+    history row of today's keys can precede, e.g. their earliest publication:
+    it prunes the history scan to the partitions that can matter.
     """
-    totals = history_totals(history, today, keys, metrics, date_col, ds)
+    totals = history_totals(history, today, keys, metrics, date_col, ds, since)
     j = today.join(totals, keys, "left")
     out = [*[F.col(k) for k in keys], _date_lit(ds).alias(date_col)]
     for m in metrics:

@@ -20,33 +20,51 @@ def _key_cond(t: DataFrame, s: DataFrame, keys: list[str], null_safe: bool) -> C
     return cond
 
 
+def _merge_rows(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
+                null_safe: bool) -> DataFrame:
+    cols = target.columns
+    t = target.select(*cols, F.lit(True).alias("_t"))
+    s = source.select(*cols, F.lit(True).alias("_s"))
+    j = t.alias("t").join(s.alias("s"), _key_cond(t, s, keys, null_safe), "full_outer")
+    s_present, t_present = F.col("s._s").isNotNull(), F.col("t._t").isNotNull()
+    out = []
+    for c in cols:
+        if c in keys or c in update_cols:
+            out.append(F.when(s_present, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        else:
+            out.append(F.when(t_present, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
+    return j.select(*out)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """M1: insert new keys; on a key match overwrite only ``update_cols``.
 
     Columns not listed keep the target's value (T16). With ``null_safe=False``
     (default, as the reference's UNIQUE constraint) a NULL key part never
     matches, so such source rows are always inserted (T9). ``source`` must be
     unique on ``keys``. Running the same upsert twice changes nothing.
-    The plan is one full outer join on the keys (sort-merge; AQE splits skew).
+
+    Plan: when the batch's keys are proven to be at most ``max_broadcast_keys``
+    (a bounded count), they are broadcast and the target is split map-side
+    into untouched rows (left-anti, no shuffle) and touched rows (left-semi);
+    only the touched rows meet the batch in a full outer join. Beyond the
+    bound, one full outer join of target and batch (sort-merge; AQE splits
+    skewed keys).
     """
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise KeyError(f"source lacks {missing}")
-    t = target.select(*cols, F.lit(True).alias("_t"))
-    s = source.select(*cols, F.lit(True).alias("_s"))
-    j = t.alias("t").join(s.alias("s"), _key_cond(t, s, keys, null_safe), "full_outer")
-    s_present, t_present = F.col("s._s").isNotNull(), F.col("t._t").isNotNull()
-    out = []
-    for c in cols:
-        if c in keys:
-            out.append(F.when(s_present, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        elif c in update_cols:
-            out.append(F.when(s_present, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        else:
-            out.append(F.when(t_present, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    return j.select(*out)
+    source = source.select(*cols)
+    src_keys = source.select(*keys)
+    if src_keys.limit(max_broadcast_keys + 1).count() > max_broadcast_keys:
+        return _merge_rows(target, source, keys, update_cols, null_safe)
+    bk = F.broadcast(src_keys.dropDuplicates())
+    cond = _key_cond(target, bk, keys, null_safe)
+    touched = target.join(bk, cond, "left_semi")
+    untouched = target.join(bk, cond, "left_anti")
+    return untouched.unionByName(_merge_rows(touched, source, keys, update_cols, null_safe))
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str],

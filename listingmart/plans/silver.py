@@ -185,8 +185,11 @@ def daily_metrics(store: TableStore, stg_b_day: DataFrame, ds) -> DataFrame:
     today = first_per_key(today, ["job_id", "location_id"],
                           [F.col("datetime_published").asc_nulls_last()])
     history = store.read("fct_job_performance_daily", FCT_DAILY)
+    # A job's counters start at its publication: older partitions cannot hold
+    # history of today's jobs, so they are pruned (one scalar to the driver).
+    since = today.agg(F.min(F.to_date("datetime_published"))).first()[0]
     delta = counter_delta(today, history, ["job_id", "location_id"], ["nb_applicants", "nb_views"],
-                          ds, "date", "datetime_published")
+                          ds, "date", "datetime_published", since=since)
     existing = history.where(F.col("date") == _date_lit(ds))
     merged = upsert(existing, delta.select(*[f.name for f in FCT_DAILY.fields]), FCT_DAILY_KEYS,
                     ["nb_applicants", "nb_views"])

@@ -15,6 +15,7 @@ from listingmart.functions.arrays import (coalesce_unknown, coalesce_unknown_arr
                                           lockstep_unnest)
 from listingmart.functions.dates import _date_lit
 from listingmart.functions.text import split_location, unicode_repair
+from listingmart.operators.lookup import fits
 from listingmart.operators.merge import upsert
 from listingmart.schemas import (STG_A, STG_A_KEYS, STG_A_UPDATE, STG_B, STG_B_KEYS, STG_B_UPDATE)
 from listingmart.session import cut_lineage
@@ -34,8 +35,10 @@ def stage_a(store: TableStore, cleaned: DataFrame) -> None:
     """
     name = "stg_emploitic"
     target = store.read(name, STG_A)
-    touched = (target.select("job_id", "date_scraped")
-               .join(cleaned.select("job_id"), "job_id", "left_semi")
+    ids = cleaned.select("job_id")
+    if fits(ids):  # a day's ids, proven bounded: filter the key column map-side
+        ids = F.broadcast(ids)
+    touched = (target.select("job_id", "date_scraped").join(ids, "job_id", "left_semi")
                .select("date_scraped").distinct())
     # A handful of dates (never rows): partitions holding today's ids, and today's own.
     days = sorted({r[0] for r in touched.unionByName(cleaned.select("date_scraped").distinct())
