@@ -24,6 +24,8 @@ LOCATION_SPLIT_PATTERN = r"\s*,\s*"
 # which is what "upper-case each letter that follows a non-letter" means.
 _RUNS = r"(\p{L}+|[^\p{L}]+)"
 _WS = r"(?U)\s+"
+# A word whose only letters form its first run (sharp s excluded: its title form is "Ss").
+_SIMPLE_WORD = r"^[\p{L}&&[^ß]]\p{L}*[^\p{L}]*$"
 
 
 def _title_first(ch: Column) -> Column:
@@ -78,6 +80,8 @@ def french_titlecase(c) -> Column:
                    F.concat(F.substring(w, 1, 2), capitalize(F.substring(w, 3, 1 << 30))))
             .when((i != 0) & F.array_contains(particles, lw), lw)
             .when(w == F.upper(w), w)
+            # a letter run and trailing non-letters: title case is initcap (JVM, no lambda)
+            .when(w.rlike(_SIMPLE_WORD), F.initcap(w))
             .otherwise(title_case(w))
         )
 
@@ -110,8 +114,7 @@ def concat_as_string(*cols, null_text: str = "None") -> Column:
     return F.concat(*[F.coalesce(as_col(c).cast("string"), F.lit(null_text)) for c in cols])
 
 
-def _decode_utf16(hex_col: Column) -> Column:
-    return F.decode(F.unhex(hex_col), "UTF-16BE")
+_UNESCAPE = "org.apache.commons.text.StringEscapeUtils"
 
 
 def unicode_repair(c) -> Column:
@@ -120,30 +123,20 @@ def unicode_repair(c) -> Column:
     Without a backslash in the text, ``u`` + a decimal digit + three hex digits
     becomes that code point (``Bu00e9jau00efa`` -> ``Béjaïa``); any other text,
     e.g. ``Menu2`` or ``succeder``, is kept. With a backslash, only ``\\uXXXX``
-    escapes are decoded (a surrogate pair as one character). The text is cut
-    into escape tokens and maximal runs of other characters, so work grows with
-    the number of ``u`` letters, not with the length of the text.
+    escapes are decoded (a surrogate pair as one character); every other
+    backslash is kept as it is.
+
+    The text gets backslashes where codes are to be decoded (and doubled ones
+    elsewhere) by ``regexp_replace``, then one JVM call per text
+    (``java_method`` on the unescape routine shipped with Spark) decodes it:
+    no Python, one pass over each whole text.
     """
     c = as_col(c)
-    bare = F.regexp_extract_all(c, F.lit(r"(u[0-9][0-9a-fA-F]{3}|[^u]+|u)"), 1)
-    bare_fixed = F.array_join(
-        F.transform(bare, lambda t: F.when(t.rlike(r"^u[0-9][0-9a-fA-F]{3}$"),
-                                           _decode_utf16(F.substring(t, 2, 4))).otherwise(t)),
-        "",
-    )
-    pair = r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}"
-    escaped = F.regexp_extract_all(c, F.lit(r"(" + pair + r"|\\u[0-9a-fA-F]{4}|[^\\]+|\\)"), 1)
-    escaped_fixed = F.array_join(
-        F.transform(escaped, lambda t: (
-            F.when(t.rlike("^" + pair + "$"),
-                   _decode_utf16(F.concat(F.substring(t, 3, 4), F.substring(t, 9, 4))))
-            .when(t.rlike(r"^\\u[0-9a-fA-F]{4}$"), _decode_utf16(F.substring(t, 3, 4)))
-            .otherwise(t))),
-        "",
-    )
-    return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(F.instr(c, "\\") == 0, bare_fixed)
-            .otherwise(escaped_fixed))
+    bare = F.regexp_replace(c, r"u([0-9][0-9a-fA-F]{3})", r"\\u$1")
+    escaped = F.regexp_replace(c, r"\\(?!u[0-9a-fA-F]{4})", r"\\\\")
+    prepared = F.when(F.instr(c, "\\") == 0, bare).otherwise(escaped)
+    decoded = F.call_function("java_method", F.lit(_UNESCAPE), F.lit("unescapeJava"), prepared)
+    return F.when(c.isNotNull(), decoded)
 
 
 def split_location(c) -> Column:
