@@ -1799,6 +1799,16 @@ def q_build_gold(spark, sf):
     return gold["mv_job_performance_summary"]
 
 
+
+@query("newest_first", r"""
+SELECT title, datetime_published, _page, _pos FROM """ + _A_ROWS_SQL + r"""
+ORDER BY datetime_published DESC, _page, _pos""")
+def q_newest_first(spark, sf):
+    """O3: listings in arrival order (newest publication first, then page, position)."""
+    f = LS.flatten_a(_a_pages(spark, sf))
+    return f.select("title", "datetime_published", "_page", "_pos").orderBy(*CL.arrival_order())
+
+
 # Date columns leave every registered query as ISO text (see ``iso_date``).
 for _k in list(QUERIES):
     QUERIES[_k] = (lambda f: lambda spark, sf: with_iso_dates(f(spark, sf)))(QUERIES[_k])
