@@ -1640,15 +1640,13 @@ def q_standardise_values(spark, sf):
     return SD.standardise_values(a, "v", b, "v")["pairs"]
 
 
-@query("token_join", _STD_SQL + r"""SELECT source_a, source_b, count(*) AS n FROM ae JOIN be USING (t)
-  GROUP BY source_a, source_b""")
+@query("token_join", _STD_SQL + r"""SELECT source_a, source_b, t AS name, count(*) AS n FROM ae JOIN be USING (t)
+  WHERE (source_a, source_b) IN (SELECT (source_a, source_b) FROM pairs) GROUP BY source_a, source_b, t""")
 def q_token_join(spark, sf):
-    """Exploded names of both lists joined; one row per label pair with its join count."""
+    """The name-join rows of matched label pairs (name, rows contributed)."""
     a, b = _std_sides(spark, sf)
     pa, pb = SD.prepare(a, "v", "source_a"), SD.prepare(b, "v", "source_b")
-    ea = pa.select("source_a", F.explode("source_a_names").alias("t"))
-    eb = pb.select("source_b", F.explode("source_b_names").alias("t"))
-    return ea.join(eb, "t").groupBy("source_a", "source_b").agg(F.count(F.lit(1)).alias("n"))
+    return SD.matched_token_rows(pa, pb, "source_a", "source_b")
 
 
 @query("matched_pairs", _STD_SQL + r"""SELECT source_a, source_b, shared_names FROM pairs""")

@@ -203,3 +203,28 @@ def test_store_versions(spark, tmp_path):
                   .unionByName(spark.createDataFrame([(2,)], schema)))
     assert store.current_version("t") == 2
     assert sorted(r.k for r in store.read("t", spark.createDataFrame([], schema).schema).collect()) == [1, 2]
+
+
+def test_matched_pairs_equal_brute_force(spark):
+    from collections import Counter
+    rnd = random.Random(11)
+    vocab = ["Achat", "Vente", "RH", "Stock", "Transport", "Banque", "R&D", "Audit"]
+
+    def labels(n):
+        out = set()
+        while len(out) < n:
+            out.add(", ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 4))))
+        return sorted(out)
+
+    la, lb = labels(40), labels(40)
+    want = {}
+    for x in la:
+        for y in lb:
+            ca, cb = Counter(x.split(", ")), Counter(y.split(", "))
+            n = sum(ca[t] * cb[t] for t in ca)
+            if n >= 2:
+                want[(x, y)] = n
+    a = SD.prepare(spark.createDataFrame([(x,) for x in la], "v string"), "v", "a")
+    b = SD.prepare(spark.createDataFrame([(y,) for y in lb], "v string"), "v", "b")
+    got = {(r.a, r.b): r.shared_names for r in SD.matched_pairs(a, b, "a", "b").collect()}
+    assert got == want and len(want) > 10
