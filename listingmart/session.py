@@ -55,7 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="listingmart-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+        configured = tempfile.mkdtemp(prefix="listingmart-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
