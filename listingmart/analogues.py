@@ -1773,7 +1773,23 @@ def _silver_store(spark, sf, with_metrics: bool = False):
     return store
 
 
-@query("build_silver")
+@query("build_silver", r"""
+WITH a AS (SELECT DISTINCT 'job-' || p_partkey AS job_id, coalesce(nullif(p_brand, 'Brand#3'), 'Inconnu') AS company,
+  coalesce(nullif(p_type, 'PROMO'), 'Inconnu') AS sector, CAST(p_size AS INTEGER) AS positions FROM part),
+b AS (SELECT 'job-' || o_orderkey AS job_id, CASE WHEN o_custkey % 10 <> 0 THEN 'Company ' || o_custkey
+  ELSE 'Inconnu' END AS company, coalesce(nullif(o_orderstatus, 'O'), 'Inconnu') AS sector,
+  CAST(o_custkey % 5 + 1 AS INTEGER) AS positions FROM orders),
+comp AS (SELECT label, row_number() OVER (ORDER BY label) AS id FROM
+  (SELECT company AS label FROM a UNION SELECT company FROM b) WHERE label <> 'Inconnu'
+  UNION ALL SELECT 'Inconnu', -1),
+sect AS (SELECT label, row_number() OVER (ORDER BY label) AS id FROM
+  (SELECT sector AS label FROM a UNION SELECT sector FROM b) WHERE label <> 'Inconnu'
+  UNION ALL SELECT 'Inconnu', -1)
+SELECT b.job_id, comp.id AS company_id, sect.id AS sector_id, b.positions AS m_positions,
+  'EmploiPartner' AS job_source FROM b JOIN comp ON b.company = comp.label JOIN sect ON b.sector = sect.label
+UNION ALL
+SELECT a.job_id, comp.id, sect.id, a.positions, 'Emploitic' FROM a JOIN comp ON a.company = comp.label
+  JOIN sect ON a.sector = sect.label WHERE a.job_id NOT IN (SELECT job_id FROM b)""")
 def q_build_silver(spark, sf):
     """C5 (A1, A2, M2, M3, M7, J1, A3, A4, M4, M5, J2, J3): both sources into one star schema."""
     from listingmart.schemas import FCT_JOBS
@@ -1781,7 +1797,25 @@ def q_build_silver(spark, sf):
     return store.read("fct_jobs", FCT_JOBS).select("job_id", "company_id", "sector_id", "m_positions", "job_source")
 
 
-@query("daily_metrics")
+_DAILY_METRICS_SQL = r"""
+WITH b AS (SELECT 'job-' || o_orderkey AS job_id, nullif('City ' || (o_custkey % 50), 'City 0') AS city,
+  o_orderpriority AS state, nullif(lower(o_orderstatus), 'p') AS region, 'DZ' AS country,
+  CAST(o_orderkey % 7 AS INTEGER) AS nb_applicants, CAST(o_orderkey % 100 AS INTEGER) AS nb_views, o_orderdate
+  FROM orders),
+bp AS (SELECT coalesce(city, 'Inconnu') AS city, state, country, max(region) AS region FROM b GROUP BY 1, 2, 3),
+sa AS """ + "(" + _SNAP_A_SQL + ")" + r""",
+places AS (SELECT city, state, country FROM sa WHERE city IS NOT NULL AND state IS NOT NULL
+  AND country IS NOT NULL UNION SELECT city, state, country FROM bp),
+ids AS (SELECT city, state, country, row_number() OVER (ORDER BY city, state, country) AS location_id FROM places
+  WHERE NOT (city = 'Inconnu' AND state = 'Inconnu' AND country = 'Inconnu')),
+daily AS (SELECT b.job_id, ids.location_id, '2025-06-02' AS date, b.nb_applicants, b.nb_views,
+  CAST(date_diff('day', CAST(b.o_orderdate AS DATE), DATE '2025-06-02') AS INTEGER) AS days_since_published
+  FROM b JOIN bp ON b.city = bp.city AND b.state = bp.state AND b.country = bp.country AND b.region = bp.region
+  JOIN ids ON ids.city = b.city AND ids.state = b.state AND ids.country = b.country)
+"""
+
+
+@query("daily_metrics", _DAILY_METRICS_SQL + "SELECT * FROM daily")
 def q_daily_metrics(spark, sf):
     """C6 (J4, J5, J6, A10, J7, W4, M6): daily changes of one day through the location bridge."""
     from listingmart.schemas import FCT_DAILY
@@ -1789,7 +1823,9 @@ def q_daily_metrics(spark, sf):
     return store.read("fct_job_performance_daily", FCT_DAILY)
 
 
-@query("build_gold")
+@query("build_gold", _DAILY_METRICS_SQL + r"""SELECT job_id, CAST(sum(nb_views) AS BIGINT) AS total_views,
+  CAST(sum(nb_applicants) AS BIGINT) AS total_applicants, min(date) AS first_active_day, max(date) AS last_active_day
+FROM daily GROUP BY job_id""")
 def q_build_gold(spark, sf):
     """C7 (J8 x6, A11, J9, A12, K7, K8): gold views and refreshed summaries."""
     store = _silver_store(spark, sf, with_metrics=True)
