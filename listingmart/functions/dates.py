@@ -27,9 +27,14 @@ def truncate_day(c) -> Column:
     return F.date_trunc("day", as_col(c)).cast("timestamp_ntz")
 
 
+_EPOCH = "1970-01-01 00:00:00"
+
+
 def epoch_millis(c) -> Column:
-    """a wall-clock timestamp -> milliseconds since the epoch (read as UTC)."""
-    return F.unix_millis(F.to_utc_timestamp(as_col(c).cast("timestamp"), "UTC"))
+    """a wall-clock timestamp -> milliseconds since the epoch, read as UTC
+    whatever the session time zone (truncated, as the reference's int())."""
+    us = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), as_col(c).cast("timestamp_ntz"))
+    return F.floor(us / 1000).cast("long")
 
 
 def date_sub_days(ds, days: int) -> Column:
@@ -62,15 +67,15 @@ def parse_timestamp(c) -> Column:
 
     An ISO text with an offset keeps its local clock (the offset is dropped),
     which is what a cast to a zone-less timestamp does in the reference store.
+    The text is read as a UTC instant and the wall clock rebuilt from the
+    epoch, so the result never depends on the session time zone (no DST gaps).
+    Unparseable text gives NULL.
     """
     c = as_col(c)
-    return F.coalesce(
-        F.try_to_timestamp(F.regexp_replace(c, r"([+-]\d{2}:?\d{2}|Z)$", ""),
-                           F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz"),
-        F.try_to_timestamp(F.regexp_replace(c, r"([+-]\d{2}:?\d{2}|Z)$", ""),
-                           F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz"),
-        F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"),
-    )
+    txt = F.concat(F.regexp_replace(c, r"([+-]\d{2}:?\d{2}|Z)$", ""), F.lit("Z"))
+    inst = F.coalesce(*[F.try_to_timestamp(txt, F.lit(fmt)) for fmt in
+                        ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X", "yyyy-MM-dd HH:mm:ss[.SSSSSS]X", "yyyy-MM-ddX")])
+    return F.timestamp_add("MICROSECOND", F.unix_micros(inst), F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 def days_between(later, earlier) -> Column:

@@ -35,7 +35,8 @@ def arrival_order():
 def arrival_rank():
     """The same order as one struct, smallest first (for ``min_by`` inside aggregates)."""
     pub = parse_timestamp("datetime_published")
-    return F.struct(pub.isNull().alias("n"), (-F.unix_micros(pub.cast("timestamp"))).alias("p"),
+    since_epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), pub)
+    return F.struct(pub.isNull().alias("n"), (-since_epoch).alias("p"),
                     F.col("_page").alias("page"), F.col("_pos").alias("pos"))
 
 
