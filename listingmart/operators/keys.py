@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,35 +34,48 @@ def job_key(df: DataFrame, extra: list[str] | None = None, out: str = "job_id",
 
 
 def assign_keys(new_members: DataFrame, natural_key: list[str], id_col: str,
-                start: int | DataFrame = 0) -> DataFrame:
+                start: int | DataFrame = 0, group: str | None = None) -> DataFrame:
     """M7: dense, repeatable surrogate keys ``start + 1, start + 2, ...`` by natural key.
 
-    ``new_members`` must be distinct on ``natural_key``. The members are
-    range-partitioned and sorted in parallel; each partition numbers its own
-    rows and a per-partition count (one row per partition) gives the offsets,
-    so no single task sees all members. ``start`` may be a one-row, one-column
-    DataFrame holding the current maximum key.
+    ``new_members`` must be distinct on ``natural_key`` (within ``group``). The
+    members are range-partitioned and sorted in parallel; each partition
+    numbers its own rows and a per-partition count (one row per partition and
+    group) gives the offsets, so no single task sees all members.
+
+    ``start``: an int, or a DataFrame holding the current keys (one column, or
+    with ``group``: columns ``group`` and ``id_col``, numbered per group).
+    With ``group``, each group (e.g. one dimension of several) is numbered on
+    its own, all groups in one pass.
     """
     spark = new_members.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = (new_members.repartitionByRange(n, *natural_key)
-               .sortWithinPartitions(*natural_key)
+    keys = ([group] if group else []) + list(natural_key)
+    g = [group] if group else []
+    ordered = (new_members.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = cut_lineage(ordered.withColumn("_pid", F.shiftright("_mid", 33))
                           .withColumn("_local", F.col("_mid").bitwiseAND((1 << 33) - 1)))
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    if isinstance(start, DataFrame):
-        # One scalar (the current maximum key) comes back to the driver.
-        start = start.agg(F.max(start.columns[0])).first()[0] or 0
-    # ``offsets`` has one row per partition: bounded by the partition count.
-    out = ordered.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-    out = out.withColumn("_base", F.lit(int(max(start, 0))).cast("long"))
-    return (out.withColumn(id_col, (F.col("_base") + F.col("_off") + F.col("_local") + 1).cast("long"))
-            .drop("_mid", "_pid", "_local", "_off", "_base"))
+    # One row per (partition, group): count and first local index of the group there.
+    counts = ordered.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    if group:
+        if isinstance(start, DataFrame):
+            base = start.groupBy(group).agg(F.greatest(F.max(id_col), F.lit(0)).alias("_base"))
+            offsets = offsets.join(base, group, "left")
+        else:
+            offsets = offsets.withColumn("_base", F.lit(int(max(start, 0))))
+        offsets = offsets.withColumn("_base", F.coalesce("_base", F.lit(0)))
+    else:
+        if isinstance(start, DataFrame):
+            # One scalar (the current maximum key) comes back to the driver.
+            start = start.agg(F.max(start.columns[0])).first()[0] or 0
+        offsets = offsets.withColumn("_base", F.lit(int(max(start, 0))))
+    # ``offsets`` has one row per partition and group: bounded by partitions x groups.
+    out = ordered.join(F.broadcast(offsets.select("_pid", *g, "_off", "_first", "_base")), ["_pid", *g])
+    return (out.withColumn(id_col, (F.col("_base") + F.col("_off") + F.col("_local") - F.col("_first") + 1)
+                           .cast("long"))
+            .drop("_mid", "_pid", "_local", "_off", "_base", "_first"))
 
 
 def hashed_keys(df: DataFrame, natural_key: list[str], id_col: str) -> DataFrame:

@@ -18,7 +18,7 @@ from listingmart.operators.keys import assign_keys, seed_unknown
 from listingmart.operators.lookup import small_side
 from listingmart.operators.merge import insert_if_absent, upsert
 from listingmart.schemas import (BRIDGES, DIM_LOCATION, FCT_A_UPDATE, FCT_B_UPDATE, FCT_DAILY,
-                                 FCT_DAILY_KEYS, FCT_JOBS, LABEL_DIMS, LOCATION_KEYS, UNKNOWN,
+                                 FCT_DAILY_KEYS, FCT_JOBS, LABEL_DIMS, LOCATION_KEYS, UNKNOWN, UNKNOWN_ID,
                                  bridge_schema, label_dim_schema)
 from listingmart.sources.store import TableStore
 
@@ -27,19 +27,23 @@ B_UNFILTERED = {"company", "function"}
 
 
 def bootstrap(store: TableStore) -> None:
-    """K6 + M8: create absent dimensions with their unknown member (idempotent)."""
+    """K6 + M8: create absent dimensions with their unknown member (idempotent).
+
+    A dimension that does not exist yet is written with its seed row; an
+    existing one is probed for id -1 with a pushed-down filter (reads one row).
+    """
     spark = store.spark
-    for name in LABEL_DIMS:
-        schema = label_dim_schema(name)
-        cur = store.read(name, schema)
+    for name in list(LABEL_DIMS) + ["dim_location"]:
+        schema = DIM_LOCATION if name == "dim_location" else label_dim_schema(name)
+        id_col = schema.fields[0].name
         seed = seed_unknown(spark, schema)
-        new = insert_if_absent(cur, seed, [schema.fields[0].name])
-        if not new.isEmpty():
-            store.append(name, new)
-    cur = store.read("dim_location", DIM_LOCATION)
-    new = insert_if_absent(cur, seed_unknown(spark, DIM_LOCATION), ["location_id"])
-    if not new.isEmpty():
-        store.replace("dim_location", cur.unionByName(new))
+        if not store.exists(name):
+            store.append(name, seed) if name != "dim_location" else store.replace(name, seed)
+        elif store.read(name, schema).where(F.col(id_col) == UNKNOWN_ID).isEmpty():
+            if name == "dim_location":
+                store.replace(name, store.read(name, schema).unionByName(seed))
+            else:
+                store.append(name, seed)
 
 
 def _label_members(snap_a: DataFrame | None, snap_b: DataFrame | None, col: str) -> DataFrame:
@@ -55,16 +59,27 @@ def _label_members(snap_a: DataFrame | None, snap_b: DataFrame | None, col: str)
 
 
 def load_label_dimensions(store: TableStore, snap_a, snap_b) -> dict[str, DataFrame]:
-    """A1 x14 -> M2 -> M7: add new labels to the seven label dimensions."""
-    out = {}
+    """A1 x14 -> M2 -> M7: add new labels to the seven label dimensions.
+
+    All seven are handled in one pass: members of every dimension in one
+    frame ``(_dim, _label)``, one anti-join against the current members, one
+    key assignment numbered per dimension, then one append per dimension.
+    """
+    members, current = None, None
     for name, (id_col, label_col, snap_col) in LABEL_DIMS.items():
-        schema = label_dim_schema(name)
-        cur = store.read(name, schema)
-        members = _label_members(snap_a, snap_b, snap_col).withColumnRenamed(snap_col, label_col)
-        new = insert_if_absent(cur, members, [label_col])
-        keyed = assign_keys(new, [label_col], id_col, start=cur.select(id_col))
-        store.append(name, keyed.select(id_col, label_col))
-        out[name] = store.read(name, schema)
+        m = _label_members(snap_a, snap_b, snap_col).select(F.lit(name).alias("_dim"),
+                                                             F.col(snap_col).alias("_label"))
+        c = store.read(name, label_dim_schema(name)).select(
+            F.lit(name).alias("_dim"), F.col(label_col).alias("_label"), F.col(id_col).alias("_id"))
+        members = m if members is None else members.unionByName(m)
+        current = c if current is None else current.unionByName(c)
+    new = members.distinct().join(current.select("_dim", "_label"), ["_dim", "_label"], "left_anti")
+    keyed = assign_keys(new, ["_label"], "_id", start=current, group="_dim")
+    out = {}
+    for name, (id_col, label_col, _) in LABEL_DIMS.items():
+        store.append(name, keyed.where(F.col("_dim") == name)
+                     .select(F.col("_id").alias(id_col), F.col("_label").alias(label_col)))
+        out[name] = store.read(name, label_dim_schema(name))
     return out
 
 

@@ -25,6 +25,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._versions: dict[str, int] = {}  # pointers this store switched itself
 
     # -- paths -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -40,10 +41,18 @@ class TableStore:
         return fs.exists(p)
 
     def current_version(self, name: str) -> int | None:
+        if name in self._versions:
+            return self._versions[name]
         ptr = self._pointer(name)
         if not self._exists(ptr):
             return None
-        return self.spark.read.parquet(ptr).first()["version"]
+        v = self.spark.read.parquet(ptr).first()["version"]
+        self._versions[name] = v
+        return v
+
+    def exists(self, name: str) -> bool:
+        """The table was written at least once (a version pointer or a data folder)."""
+        return self.current_version(name) is not None or self._exists(f"{self.path(name)}/data")
 
     # -- reads -------------------------------------------------------------
     def read(self, name: str, schema: T.StructType) -> DataFrame:
@@ -67,6 +76,7 @@ class TableStore:
         df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v}")
         (self.spark.createDataFrame([(v,)], "version int").coalesce(1)
          .write.mode("overwrite").parquet(self._pointer(name)))
+        self._versions[name] = v
 
     def overwrite_partitions(self, name: str, df: DataFrame, col: str, reads_self: bool = True) -> None:
         """Replace only the ``col`` partitions present in ``df`` (M6, K2, K3)."""
