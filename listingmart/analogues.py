@@ -1843,6 +1843,61 @@ def q_newest_first(spark, sf):
     return f.select("title", "datetime_published", "_page", "_pos").orderBy(*CL.arrival_order())
 
 
+
+# -- F22 the fixed value maps applied to table rows ----------------------------
+
+from listingmart.sources import lookups as VM  # noqa: E402
+
+_ARRAY_FIELDS_A = {"education_level", "experience_years", "function", "contract_type"}
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _map_labels(source: str, field: str) -> list[str]:
+    return list(VM.value_map(source, field)) + ["Valeur Sans Correspondance"]
+
+
+def _value_map_query(source: str):
+    def q(spark, sf):
+        c = tbl(spark, sf, "customer")
+        cols = [F.col("c_custkey")]
+        for field, m in VM.value_maps(source).items():
+            labels = _map_labels(source, field)
+            pick = F.element_at(F.array(*[F.lit(x) for x in labels]),
+                                (F.col("c_custkey") % len(labels) + 1).cast("int"))
+            if source == "A" and field in _ARRAY_FIELDS_A:
+                other = F.element_at(F.array(*[F.lit(x) for x in labels]),
+                                     ((F.col("c_custkey") + 1) % len(labels) + 1).cast("int"))
+                cols.append(F.array_join(A.replace_in_array(F.array(pick, other), m), "|").alias(field))
+            else:
+                cols.append(A.replace_scalar(pick, m).alias(field))
+        return c.select(*cols)
+    return q
+
+
+def _value_map_sql(source: str) -> str:
+    cols = ["c_custkey"]
+    for field, m in VM.value_maps(source).items():
+        labels = _map_labels(source, field)
+        lst = "[" + ", ".join(_sql_str(x) for x in labels) + "]"
+        case = "CASE x " + " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v)}" for k, v in m.items()) + " ELSE x END"
+        pick = f"list_extract({lst}, CAST(c_custkey % {len(labels)} + 1 AS INTEGER))"
+        if source == "A" and field in _ARRAY_FIELDS_A:
+            other = f"list_extract({lst}, CAST((c_custkey + 1) % {len(labels)} + 1 AS INTEGER))"
+            cols.append(f"array_to_string(list_transform([{pick}, {other}], lambda x: {case}), '|') AS {field}")
+        else:
+            cols.append(f"(SELECT {case} FROM (SELECT {pick} AS x)) AS {field}")
+    return "SELECT " + ", ".join(cols) + " FROM customer"
+
+
+QUERIES["value_map_a"] = _value_map_query("A")
+ORACLE["value_map_a"] = _value_map_sql("A")
+QUERIES["value_map_b"] = _value_map_query("B")
+ORACLE["value_map_b"] = _value_map_sql("B")
+
+
 # Date columns leave every registered query as ISO text (see ``iso_date``).
 for _k in list(QUERIES):
     QUERIES[_k] = (lambda f: lambda spark, sf: with_iso_dates(f(spark, sf)))(QUERIES[_k])
