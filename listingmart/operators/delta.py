@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingmart.functions.dates import _date_lit, days_between
@@ -70,7 +70,3 @@ def metrics_location_join(staging_day: DataFrame, br_location: DataFrame,
     """
     br_dim = br_location.join(dim_location, "location_id", "inner")
     return staging_day.join(br_dim, ["job_id", "city", "state", "region", "country"], "inner")
-
-
-def published_days(c_later: Column, c_earlier: Column) -> Column:
-    return days_between(c_later, c_earlier)

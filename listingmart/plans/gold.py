@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listingmart.operators.lookup import small_side
-from listingmart.schemas import (BRIDGES, DIM_LOCATION, FCT_DAILY, FCT_JOBS, LABEL_DIMS,
-                                 bridge_schema, label_dim_schema)
+from listingmart.schemas import (BRIDGES, DIM_LOCATION, FCT_DAILY, FCT_JOBS, bridge_schema,
+                                 label_dim_schema)
 from listingmart.sources.store import TableStore
 
 VIEW_NAMES = {
@@ -73,5 +73,4 @@ def build_gold(store: TableStore) -> dict[str, DataFrame]:
     return out
 
 
-__all__ = ["bridge_view", "job_performance_summary", "first_last_application_days", "build_gold",
-           "LABEL_DIMS"]
+__all__ = ["bridge_view", "job_performance_summary", "first_last_application_days", "build_gold"]

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from listingmart.functions.arrays import (coalesce_unknown, coalesce_unknown_array, location_parts,
                                           lockstep_unnest)
-from listingmart.functions.dates import _date_lit
 from listingmart.functions.text import split_location, unicode_repair
 from listingmart.operators.lookup import fits
 from listingmart.operators.merge import upsert
@@ -109,7 +108,3 @@ def snapshot_b(stg_day: DataFrame) -> DataFrame:
 def read_day(store: TableStore, name: str, ds) -> DataFrame:
     schema = STG_A if name == "stg_emploitic" else STG_B
     return store.read_partition(name, schema, "date_scraped", _py_date(ds))
-
-
-def staging_day_filter(ds):
-    return F.col("date_scraped") == _date_lit(ds)

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from fixtures import a_listing, b_listing, item, land_a, land_b, land_lookups
 from listingmart.plans.daily_run import run_day

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from listingmart.functions import arrays as A
 from listingmart.functions import dates as D
