@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingmart.functions.dates import _date_lit, days_between
+from listingmart.operators.lookup import fits, small_side
 
 
 def history_totals(history: DataFrame, today: DataFrame, keys: list[str], metrics: list[str],
@@ -19,7 +20,10 @@ def history_totals(history: DataFrame, today: DataFrame, keys: list[str], metric
     hist = history.where(F.col(date_col) < _date_lit(ds))
     if since is not None:  # no history row of today's keys can be older (partition pruning)
         hist = hist.where(F.col(date_col) >= _date_lit(since))
-    active = hist.join(today.select(*keys).distinct(), keys, "left_semi")
+    today_keys = today.select(*keys).distinct()
+    if fits(today_keys):  # a day's keys, proven bounded: filter the history map-side
+        today_keys = F.broadcast(today_keys)
+    active = hist.join(today_keys, keys, "left_semi")
     return active.groupBy(*keys).agg(*[F.sum(m).alias(f"_{m}_total") for m in metrics])
 
 
@@ -68,5 +72,8 @@ def metrics_location_join(staging_day: DataFrame, br_location: DataFrame,
     The join is on job_id and all four location parts; NULL parts never match,
     so rows with an unknown place drop out (T10), as in the reference.
     """
-    br_dim = br_location.join(dim_location, "location_id", "inner")
+    ids = staging_day.select("job_id").distinct()
+    if fits(ids):  # only today's jobs' bridge rows are read past the scan
+        br_location = br_location.join(F.broadcast(ids), "job_id", "left_semi")
+    br_dim = br_location.join(small_side(dim_location), "location_id", "inner")
     return staging_day.join(br_dim, ["job_id", "city", "state", "region", "country"], "inner")

@@ -68,16 +68,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str],
-                     null_safe: bool = False) -> DataFrame:
+                     null_safe: bool = False, max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """Only the source rows whose key is not yet in the target (distinct).
 
     Returns the rows to append (ON CONFLICT DO NOTHING): a de-duplication of
-    the source plus a left-anti join on the keys.
+    the source plus a left-anti join on the keys. When the batch's keys are
+    proven bounded they are broadcast first, so the (growing) target is only
+    filtered map-side and just its matching rows meet the batch.
     """
     src = source.dropDuplicates(keys)
+    tk = target.select(*keys)
+    if not null_safe:
+        tk = tk.dropna()
+    src_keys = src.select(*keys)
+    if src_keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        tk = tk.join(F.broadcast(src_keys), _key_cond(tk, src_keys, keys, null_safe), "left_semi")
     if null_safe:
-        return src.join(target.select(*keys), _key_cond(src, target, keys, True), "left_anti")
-    return src.join(target.select(*keys).dropna(), keys, "left_anti")
+        return src.join(tk, _key_cond(src, tk, keys, True), "left_anti")
+    return src.join(tk, keys, "left_anti")
 
 
 def upsert_location_region(dim_location: DataFrame, members: DataFrame,
