@@ -47,11 +47,11 @@ def assign_keys(new_members: DataFrame, natural_key: list[str], id_col: str,
     With ``group``, each group (e.g. one dimension of several) is numbered on
     its own, all groups in one pass.
     """
-    spark = new_members.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = ([group] if group else []) + list(natural_key)
     g = [group] if group else []
-    ordered = (new_members.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # No fixed partition count: AQE sizes the range partitions (contiguous ranges
+    # are merged, so partition order is still key order).
+    ordered = (new_members.repartitionByRange(*keys).sortWithinPartitions(*keys)
                .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = cut_lineage(ordered.withColumn("_pid", F.shiftright("_mid", 33))
                           .withColumn("_local", F.col("_mid").bitwiseAND((1 << 33) - 1)))
