@@ -1,6 +1,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from fixtures import a_listing, b_listing, item, land_a, land_b, land_lookups
 from listingmart.plans.daily_run import run_day
 from listingmart.sources.store import TableStore
@@ -91,3 +93,25 @@ def test_two_days(spark, tmp_path):
     again = store.read("fct_job_performance_daily", FCT_DAILY).orderBy("date").collect()
     assert [(r.date, r.nb_applicants) for r in again] == [(dt.date(2025, 6, 2), 5), (dt.date(2025, 6, 3), 4)]
     assert store.read("fct_jobs", FCT_JOBS).count() == 4
+
+
+def test_cleaning_is_repeatable_under_any_partitioning(spark, tmp_path):
+    """With an explicit total order, results do not depend on how rows arrive."""
+    from listingmart.plans.clean import clean_b
+    from listingmart.sources.listings import PAGE_B, flatten_b, read_pages
+    from listingmart.sources.lookups import read_lookup
+    landing = str(tmp_path / "l")
+    land_lookups(landing)
+    land_b(landing, "2025-06-02", _b_pages() + [_b_pages()[0][::-1]])  # the same rows again, reversed
+    rows = flatten_b(read_pages(spark, f"{landing}/b/2025-06-02/pages", PAGE_B)).cache()
+    lk = {k: read_lookup(spark, f"{landing}/b/lookups/{k}.json", "hydra:member")
+          for k in ("experience", "sector", "function")}
+
+    def run(df):
+        out = clean_b(df, "2025-06-02", lk["experience"].select("id", "label"), lk["sector"].select("id", "name"),
+                      lk["function"].select("id", "name"))
+        return sorted(tuple(r) for r in out.collect())
+
+    base = run(rows)
+    assert run(rows.repartition(7)) == base
+    assert run(rows.repartition(3).orderBy(F.rand(5))) == base
