@@ -33,7 +33,7 @@ def _b_pages():
                   salary={"min": 100, "max": 200}, expire="2025-07-01T00:00:00"),
         b_listing("Juriste senior", "Gamma", "2025-06-01T08:00:00", applicants=2, views=5,
                   salary={}, expire=None),
-        b_listing("Coach sportif", "Delta", "2025-05-30T08:00:00", city=None, function_id=2,
+        b_listing("Coach sportif", "Acme", "2025-05-30T08:00:00", city=None, function_id=2,
                   exp_id=2, sector_id=2, contracts=[], applicants=None, views=None),
     ]]
 
@@ -76,6 +76,7 @@ def test_two_days(spark, tmp_path):
     assert len(daily) == 1 and daily[0].nb_applicants == 5
     summ = gold["mv_job_performance_summary"].collect()
     assert summ[0].total_views == 35
+    _star_constraints(store)
     loc = store.read("dim_location", DIM_LOCATION).collect()
     cities = {(r.city, r.state, r.country) for r in loc}
     assert ("Bab Ezzouar", "Alger", "Algérie") in cities and ("Inconnu", "Alger", "Algérie") in cities
@@ -115,3 +116,28 @@ def test_cleaning_is_repeatable_under_any_partitioning(spark, tmp_path):
     base = run(rows)
     assert run(rows.repartition(7)) == base
     assert run(rows.repartition(3).orderBy(F.rand(5))) == base
+
+
+def _star_constraints(store):
+    """M11-M13 on the star tables: unique keys and labels, no orphans, T20."""
+    from listingmart.operators.checks import check_unique, orphans
+    from listingmart.schemas import BRIDGES, FCT_DAILY, LABEL_DIMS, bridge_schema, label_dim_schema
+    fact = store.read("fct_jobs", FCT_JOBS)
+    assert check_unique(fact, ["job_id"]).isEmpty()
+    for name, (id_col, label_col, _) in LABEL_DIMS.items():
+        dim = store.read(name, label_dim_schema(name))
+        assert check_unique(dim, [id_col]).isEmpty() and check_unique(dim, [label_col]).isEmpty()
+        assert dim.where(f"{id_col} = -1").count() == 1  # unknown member
+    companies = [r.company_name for r in store.read("dim_company", label_dim_schema("dim_company")).collect()]
+    assert companies.count("Acme") == 1  # the same label from both sources is one member (T20)
+    assert orphans(fact, store.read("dim_company", label_dim_schema("dim_company")), ["company_id"]).isEmpty()
+    assert orphans(fact, store.read("dim_sector", label_dim_schema("dim_sector")), ["sector_id"]).isEmpty()
+    for name, (dim_name, id_col, _) in BRIDGES.items():
+        br = store.read(name, bridge_schema(name))
+        assert check_unique(br, ["job_id", id_col]).isEmpty()
+        assert orphans(br, fact, ["job_id"]).isEmpty()
+        dim_schema = DIM_LOCATION if dim_name == "dim_location" else label_dim_schema(dim_name)
+        assert orphans(br, store.read(dim_name, dim_schema), [id_col]).isEmpty()
+    daily = store.read("fct_job_performance_daily", FCT_DAILY)
+    assert check_unique(daily, ["job_id", "location_id", "date"]).isEmpty()
+    assert orphans(daily, fact, ["job_id"]).isEmpty()
