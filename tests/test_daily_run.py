@@ -141,3 +141,15 @@ def _star_constraints(store):
     daily = store.read("fct_job_performance_daily", FCT_DAILY)
     assert check_unique(daily, ["job_id", "location_id", "date"]).isEmpty()
     assert orphans(daily, fact, ["job_id"]).isEmpty()
+
+
+def test_empty_pages_are_a_no_op(spark, tmp_path):
+    """Empty pages pass the gate as 'no rows'; gold still publishes (empty)."""
+    landing, wh = str(tmp_path / "landing"), str(tmp_path / "wh")
+    land_lookups(landing)
+    land_a(landing, "2025-06-02", [[]])
+    land_b(landing, "2025-06-02", [[]])
+    gold = run_day(spark, landing, wh, "2025-06-02")
+    assert gold["mv_job_performance_summary"].count() == 0
+    assert gold["vw_job_function"].count() == 0
+    assert TableStore(spark, wh).read("fct_jobs", FCT_JOBS).count() == 0
