@@ -20,6 +20,15 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_many(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, bool]:
+    """``fits`` for several frames in one Spark job (one small count per frame)."""
+    from functools import reduce
+    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("_name")) for name, df in frames.items()]
+    counts = {r["_name"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), parts)
+              .groupBy("_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per frame
+    return {name: counts.get(name, 0) <= max_rows for name in frames}
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint for a side whose row count is proven bounded, else unchanged."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -15,7 +15,8 @@ from listingmart.functions.dates import _date_lit
 from listingmart.operators.dedup import distinct_members, first_per_key
 from listingmart.operators.delta import counter_delta, metrics_location_join
 from listingmart.operators.keys import assign_keys, seed_unknown
-from listingmart.operators.lookup import small_side
+from listingmart.operators.lookup import fits_many, small_side
+from listingmart.session import cut_lineage
 from listingmart.operators.merge import insert_if_absent, upsert
 from listingmart.schemas import (BRIDGES, DIM_LOCATION, FCT_A_UPDATE, FCT_B_UPDATE, FCT_DAILY,
                                  FCT_DAILY_KEYS, FCT_JOBS, LABEL_DIMS, LOCATION_KEYS, UNKNOWN, UNKNOWN_ID,
@@ -110,10 +111,18 @@ def load_location_dimension(store: TableStore, snap_a, snap_b) -> DataFrame:
     return store.read("dim_location", DIM_LOCATION)
 
 
+def _hinted(dims: dict[str, DataFrame], name: str) -> DataFrame:
+    """A dimension with a broadcast hint when its size was proven bounded (``_bounded``)."""
+    bounded = dims.get("_bounded", {})
+    if name in bounded:
+        return F.broadcast(dims[name]) if bounded[name] else dims[name]
+    return small_side(dims[name])
+
+
 def _fact_rows(snap: DataFrame, dims: dict[str, DataFrame], order) -> DataFrame:
     """J1 + A3/A4: one row per job with company and sector ids (inner joins by label)."""
-    comp = small_side(dims["dim_company"])
-    sect = small_side(dims["dim_sector"])
+    comp = _hinted(dims, "dim_company")
+    sect = _hinted(dims, "dim_sector")
     j = (snap.join(comp, snap["company"] == comp["company_name"], "inner")
          .join(sect, snap["sector"] == sect["sector_description"], "inner"))
     return first_per_key(j, ["job_id"], order)
@@ -150,7 +159,7 @@ def load_fact(store: TableStore, snap_a, snap_b, dims) -> DataFrame:
 def bridge_pairs(snap: DataFrame, name: str, dims: dict[str, DataFrame]) -> DataFrame:
     """Distinct (job_id, member id) pairs of a snapshot (inner join by label)."""
     dim_name, id_col, snap_col = BRIDGES[name]
-    dim = small_side(dims[dim_name])
+    dim = _hinted(dims, dim_name)
     if snap_col is None:
         j = snap.join(dim.select("location_id", *LOCATION_KEYS), LOCATION_KEYS, "inner")
     else:
@@ -160,14 +169,25 @@ def bridge_pairs(snap: DataFrame, name: str, dims: dict[str, DataFrame]) -> Data
 
 
 def load_bridges(store: TableStore, snap_a, snap_b, dims) -> None:
-    """M2 x12: append the new pairs of each bridge."""
-    for name in BRIDGES:
-        parts = [bridge_pairs(s, name, dims) for s in (snap_a, snap_b) if s is not None]
-        pairs = parts[0]
-        for p in parts[1:]:
-            pairs = pairs.unionByName(p)
-        cur = store.read(name, bridge_schema(name))
-        store.append(name, insert_if_absent(cur, pairs, ["job_id", BRIDGES[name][1]]))
+    """M2 x12: append the new pairs of each bridge.
+
+    All six bridges in one pass: today's pairs tagged by bridge, one
+    anti-join against the current pairs (filtered map-side to today's pairs),
+    materialised once, then one append per bridge.
+    """
+    pairs, current = None, None
+    for name, (_, id_col, _) in BRIDGES.items():
+        for s in (snap_a, snap_b):
+            if s is None:
+                continue
+            p = bridge_pairs(s, name, dims).select(F.lit(name).alias("_br"), "job_id", F.col(id_col).alias("_id"))
+            pairs = p if pairs is None else pairs.unionByName(p)
+        c = store.read(name, bridge_schema(name)).select(F.lit(name).alias("_br"), "job_id",
+                                                         F.col(id_col).alias("_id"))
+        current = c if current is None else current.unionByName(c)
+    new = cut_lineage(insert_if_absent(current, pairs, ["_br", "job_id", "_id"]))
+    for name, (_, id_col, _) in BRIDGES.items():
+        store.append(name, new.where(F.col("_br") == name).select("job_id", F.col("_id").alias(id_col)))
 
 
 def build_silver(store: TableStore, snap_a: DataFrame | None, snap_b: DataFrame | None) -> dict:
@@ -178,6 +198,7 @@ def build_silver(store: TableStore, snap_a: DataFrame | None, snap_b: DataFrame
             s.persist()
     dims = load_label_dimensions(store, snap_a, snap_b)
     dims["dim_location"] = load_location_dimension(store, snap_a, snap_b)
+    dims["_bounded"] = fits_many({k: v for k, v in dims.items() if k != "_bounded"})  # one job
     fact = load_fact(store, snap_a, snap_b, dims)
     load_bridges(store, snap_a, snap_b, dims)
     for s in (snap_a, snap_b):
