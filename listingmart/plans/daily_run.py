@@ -57,8 +57,9 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
                                    lk["sector"].select("id", "name"),
                                    lk["function"].select("id", "name")), ds)
             snaps["b"] = snapshot_b(read_day(store, "stg_emploi_partner", ds))
+    change = None
     if snaps:
         build_silver(store, snaps.get("a"), snaps.get("b"))
         if "b" in snaps:
-            daily_metrics(store, read_day(store, "stg_emploi_partner", ds), ds)
-    return build_gold(store)
+            change = daily_metrics(store, read_day(store, "stg_emploi_partner", ds), ds)
+    return build_gold(store, change)

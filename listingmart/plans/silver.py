@@ -212,7 +212,8 @@ def daily_metrics(store: TableStore, stg_b_day: DataFrame, ds) -> DataFrame:
 
     Reads staging (not the exploded snapshot: one row per job and place),
     computes today's changes and overwrites the ``date = ds`` partition of
-    the daily fact, keeping an existing days_since_published (T16).
+    the daily fact, keeping an existing days_since_published (T16). Returns
+    the day's change ``(rows before, rows after, ds)`` for the summaries.
     """
     br = store.read("br_job_location", bridge_schema("br_job_location"))
     dim = store.read("dim_location", DIM_LOCATION)
@@ -226,8 +227,11 @@ def daily_metrics(store: TableStore, stg_b_day: DataFrame, ds) -> DataFrame:
     since = today.agg(F.min(F.to_date("datetime_published"))).first()[0]
     delta = counter_delta(today, history, ["job_id", "location_id"], ["nb_applicants", "nb_views"],
                           ds, "date", "datetime_published", since=since)
-    existing = history.where(F.col("date") == _date_lit(ds))
-    merged = upsert(existing, delta.select(*[f.name for f in FCT_DAILY.fields]), FCT_DAILY_KEYS,
+    # The day's rows before this run (empty on a first run), materialised before
+    # the partition is replaced: the summaries are refreshed from this change.
+    old_day = cut_lineage(history.where(F.col("date") == _date_lit(ds)))
+    merged = upsert(old_day, delta.select(*[f.name for f in FCT_DAILY.fields]), FCT_DAILY_KEYS,
                     ["nb_applicants", "nb_views"])
     store.overwrite_partitions("fct_job_performance_daily", merged, "date")
-    return store.read("fct_job_performance_daily", FCT_DAILY)
+    new_day = store.read("fct_job_performance_daily", FCT_DAILY).where(F.col("date") == _date_lit(ds))
+    return old_day, new_day, ds
