@@ -31,6 +31,8 @@ def get_session(master: str | None = None, app: str = "listingmart",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # Checkpoint files of frames no longer referenced are removed (core setting: builder only).
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
