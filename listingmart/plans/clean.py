@@ -28,13 +28,14 @@ A_TRANSLATED = ["location", "education_level", "experience_years", "function", "
 B_GROUP_KEYS = ["job_id", "country", "region", "state", "city"]
 
 # "First" = arrival order of the source: newest publication first, then page, position.
-def arrival_order():
-    return [parse_timestamp("datetime_published").desc_nulls_last(), F.col("_page"), F.col("_pos")]
+def arrival_order(pub_col: str | None = None):
+    pub = F.col(pub_col) if pub_col else parse_timestamp("datetime_published")
+    return [pub.desc_nulls_last(), F.col("_page"), F.col("_pos")]
 
 
-def arrival_rank():
+def arrival_rank(pub_col: str | None = None):
     """The same order as one struct, smallest first (for ``min_by`` inside aggregates)."""
-    pub = parse_timestamp("datetime_published")
+    pub = F.col(pub_col) if pub_col else parse_timestamp("datetime_published")
     since_epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), pub)
     return F.struct(pub.isNull().alias("n"), (-since_epoch).alias("p"),
                     F.col("_page").alias("page"), F.col("_pos").alias("pos"))
@@ -60,16 +61,18 @@ def clean_a(rows: DataFrame, ds: dt.date | str, lookups: dict[str, DataFrame],
     ``rows`` is ``sources.listings.flatten_a`` output; ``lookups`` maps each of
     the six translated attributes to its (id, label) list.
     """
-    order = arrival_order()
+    # The publication time is parsed once: it orders "first" and becomes the typed column.
+    rows = rows.withColumn("_pub", parse_timestamp("datetime_published"))
+    order = arrival_order("_pub")
     # A5 then A6: rows equal on every atomic column share their job key, so the
     # first row per key (same order) is also first among its exact copies; one
     # window does both.
     df = job_key(rows)  # built on the raw publication text (T7)
     df = first_per_key(df, ["job_id"], order)
+    df = df.withColumn("datetime_published", F.col("_pub"))
     # Materialise the day's de-duplicated rows once: the translation reads them twice.
-    df = cut_lineage(df.drop("_page", "_pos"))
+    df = cut_lineage(df.drop("_page", "_pos", "_pub"))
     df = df.withColumn("date_scraped", _date_lit(ds))
-    df = df.withColumn("datetime_published", parse_timestamp("datetime_published"))
     df = df.withColumn("sector", wrap("sector"))
     df = label_translation(df, "job_id",
                            {a: lookups[a] for a in A_TRANSLATED}, lang, null_as_null_element)
@@ -86,11 +89,11 @@ def clean_b(rows: DataFrame, ds: dt.date | str, experience: DataFrame, sector: D
 
     ``experience`` is (id, label); ``sector`` and ``function`` are (id, name).
     """
-    order = arrival_order()
     subset = atomic_columns(rows, exclude=["_page", "_pos"])
-    df = drop_exact_duplicates(rows, order, subset)
+    rows = rows.withColumn("_pub", parse_timestamp("datetime_published"))  # parsed once
+    df = drop_exact_duplicates(rows, arrival_order("_pub"), subset)
     df = job_key(df, ["sector_id"])
-    df = df.withColumn("_ord", arrival_rank())
+    df = df.withColumn("_ord", arrival_rank("_pub")).drop("_pub")
     df = merge_duplicates(df.drop("_page", "_pos"), B_GROUP_KEYS, ["nb_views", "nb_applicants"], "_ord")
     df = replace_ids(df, experience, "experience_years_id", "id", "label", "experience_years")
     df = replace_ids(df, sector, "sector_id", "id", "name", "sector")
