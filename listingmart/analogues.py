@@ -622,7 +622,7 @@ def q_drop_duplicate_keys(spark, sf):
 
 @query("merge_duplicates", r"""
 SELECT md5(text) AS text_key, lang, arg_min(source, doc_id) FILTER (WHERE source IS NOT NULL) AS source,
-  coalesce(sum(n_chars), 0) AS n_chars, count(*) AS dup_count
+  CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS n_chars, count(*) AS dup_count
 FROM (SELECT text, nullif(lang, 'de') AS lang, nullif(source, 'src0') AS source, n_chars, doc_id FROM documents)
 GROUP BY text, lang""")
 def q_merge_duplicates(spark, sf):
