@@ -77,6 +77,9 @@ def test_two_days(spark, tmp_path):
     summ = gold["mv_job_performance_summary"].collect()
     assert summ[0].total_views == 35
     _star_constraints(store)
+    from listingmart.plans.audit import star_report
+    report = star_report(store).collect()
+    assert len(report) > 30 and all(r.violations == 0 for r in report), [r for r in report if r.violations]
     loc = store.read("dim_location", DIM_LOCATION).collect()
     cities = {(r.city, r.state, r.country) for r in loc}
     assert ("Bab Ezzouar", "Alger", "Algérie") in cities and ("Inconnu", "Alger", "Algérie") in cities
