@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from listingmart.operators.dedup import check_unique
 
 __all__ = ["check_unique", "check_not_null", "orphans", "check_schema", "require_columns",
-           "has_rows", "page_report", "assert_empty", "table_report"]
+           "has_rows", "page_report", "assert_empty"]
 
 
 def check_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -66,12 +66,3 @@ def assert_empty(violations: DataFrame, what: str) -> None:
     sample = violations.take(5)
     if sample:
         raise AssertionError(f"{what}: {sample}")
-
-
-def table_report(df: DataFrame, keys: list[str], not_null: list[str]) -> DataFrame:
-    """One row: rows, duplicate keys, NULL counts of the NOT NULL columns."""
-    dup = check_unique(df, keys).agg(F.count(F.lit(1)).cast("long").alias("duplicate_keys"))
-    nn = df.agg(F.count(F.lit(1)).cast("long").alias("rows"),
-                *[F.count_if(F.col(c).isNull()).cast("long").alias(f"null_{c}") for c in not_null])
-    return nn.unionByName(dup, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in ["rows", "duplicate_keys"] + [f"null_{c}" for c in not_null]])

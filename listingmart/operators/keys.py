@@ -78,11 +78,6 @@ def assign_keys(new_members: DataFrame, natural_key: list[str], id_col: str,
             .drop("_mid", "_pid", "_local", "_off", "_base", "_first"))
 
 
-def hashed_keys(df: DataFrame, natural_key: list[str], id_col: str) -> DataFrame:
-    """M7 for very large member sets: a positive 63-bit hash of the natural key."""
-    return df.withColumn(id_col, F.abs(F.xxhash64(*natural_key)) % F.lit((1 << 62)) + 1)
-
-
 def seed_unknown(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """M8: the one-row unknown member: id -1 and the unknown label in every text column."""
     row = []

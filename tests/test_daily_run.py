@@ -198,3 +198,24 @@ def test_incremental_summaries_equal_full_refresh(spark, tmp_path):
         want_days = sorted(tuple(r) for r in first_last_application_days(daily, fact).collect())
         assert sorted(tuple(r) for r in got["mv_job_performance_summary"].collect()) == want_perf
         assert sorted(tuple(r) for r in got["mv_job_first_last_application_days"].collect()) == want_days
+
+
+def test_landed_page_report_and_helpers(spark, tmp_path):
+    """S12 on landed files (announced totals vs rows read), F29, the value-map table."""
+    from listingmart.functions.dates import truncate_day
+    from listingmart.operators.checks import page_report
+    from listingmart.sources.listings import PAGE_A, PAGE_B, page_totals_a, page_totals_b, read_pages
+    from listingmart.sources.lookups import value_map_table
+    landing = str(tmp_path / "landing")
+    land_a(landing, "2025-06-02", _a_pages())
+    land_b(landing, "2025-06-02", _b_pages())
+    ra = page_report(page_totals_a(read_pages(spark, f"{landing}/a/2025-06-02/pages", PAGE_A)), "announced_total",
+                     "rows").first()
+    assert (ra.announced_total, ra.pages_read, ra.rows_read, ra.complete) == (3, 2, 3, True)
+    rb = page_report(page_totals_b(read_pages(spark, f"{landing}/b/2025-06-02/pages", PAGE_B)), "announced_total",
+                     "rows").first()
+    assert (rb.rows_read, rb.complete) == (3, True)
+    ts = spark.createDataFrame([(dt.datetime(2025, 6, 1, 17, 45),)], "t timestamp_ntz")
+    assert ts.select(truncate_day("t")).first()[0] == dt.datetime(2025, 6, 1)
+    vm = value_map_table(spark)
+    assert vm.count() == 60 and vm.where("source = 'B'").count() == 34
