@@ -63,3 +63,26 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
         if "b" in snaps:
             change = daily_metrics(store, read_day(store, "stg_emploi_partner", ds), ds)
     return build_gold(store, change)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m listingmart.plans.daily_run --landing L --warehouse W --ds YYYY-MM-DD``."""
+    import argparse
+
+    from listingmart.plans.audit import star_report
+    from listingmart.session import get_session
+    ap = argparse.ArgumentParser(description="Run one day of both sources: landing -> gold.")
+    ap.add_argument("--landing", required=True, help="landing folder (see module docstring)")
+    ap.add_argument("--warehouse", required=True, help="table store folder (shared file system)")
+    ap.add_argument("--ds", required=True, help="run date, YYYY-MM-DD")
+    ap.add_argument("--audit", action="store_true", help="print the star-schema constraint report")
+    args = ap.parse_args(argv)
+    spark = get_session()
+    gold = run_day(spark, args.landing, args.warehouse, args.ds)
+    print(f"published: {', '.join(sorted(gold))}")
+    if args.audit:
+        star_report(TableStore(spark, args.warehouse)).where("violations > 0").show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
