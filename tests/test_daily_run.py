@@ -219,3 +219,13 @@ def test_landed_page_report_and_helpers(spark, tmp_path):
     assert ts.select(truncate_day("t")).first()[0] == dt.datetime(2025, 6, 1)
     vm = value_map_table(spark)
     assert vm.count() == 60 and vm.where("source = 'B'").count() == 34
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from listingmart.plans.daily_run import main
+    landing = str(tmp_path / "landing")
+    land_lookups(landing)
+    land_b(landing, "2025-06-02", [[b_listing("Juriste", "Gamma", "2025-06-01T08:00:00")]])
+    main(["--landing", landing, "--warehouse", str(tmp_path / "wh"), "--ds", "2025-06-02", "--audit"])
+    out = capsys.readouterr().out
+    assert "mv_job_performance_summary" in out
