@@ -229,3 +229,21 @@ def test_command_line_run(spark, tmp_path, capsys):
     main(["--landing", landing, "--warehouse", str(tmp_path / "wh"), "--ds", "2025-06-02", "--audit"])
     out = capsys.readouterr().out
     assert "mv_job_performance_summary" in out
+
+
+def test_rescraped_jobs_leave_no_stale_partition(spark, tmp_path):
+    """Staging A is keyed by job_id only; a partition whose jobs all moved is removed."""
+    from listingmart.plans.snapshot import stage_a
+    store = TableStore(spark, str(tmp_path))
+
+    def batch(day, ids, positions):
+        rows = [(f"job-{i}", f"T{i}", "Acme", ["Alger"], None, positions, dt.datetime(2025, 6, 1), "S", None, None,
+                 None, None, False, "Sur site", day, "Emploitic") for i in ids]
+        return spark.createDataFrame(rows, STG_A)
+
+    stage_a(store, batch(dt.date(2025, 6, 1), [1, 2], 1))
+    stage_a(store, batch(dt.date(2025, 6, 2), [3], 1))
+    stage_a(store, batch(dt.date(2025, 6, 3), [1, 2, 3], 5))  # every job re-scraped
+    rows = store.read("stg_emploitic", STG_A).collect()
+    assert sorted((r.job_id, r.date_scraped.day, r.positions) for r in rows) == [
+        ("job-1", 3, 5), ("job-2", 3, 5), ("job-3", 3, 5)]
