@@ -228,3 +228,20 @@ def test_matched_pairs_equal_brute_force(spark):
     b = SD.prepare(spark.createDataFrame([(y,) for y in lb], "v string"), "v", "b")
     got = {(r.a, r.b): r.shared_names for r in SD.matched_pairs(a, b, "a", "b").collect()}
     assert got == want and len(want) > 10
+
+
+def test_both_upsert_plans_agree(spark):
+    t = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 1), (4, "d", 40)], "k int, v string, n int")
+    s = spark.createDataFrame([(2, "B", 21), (3, "C", 30), (None, "N", 2)], "k int, v string, n int")
+    for null_safe in (False, True):
+        small = sorted(map(tuple, MG.upsert(t, s, ["k"], ["n"], null_safe=null_safe).collect()), key=repr)
+        big = sorted(map(tuple, MG.upsert(t, s, ["k"], ["n"], null_safe=null_safe, max_broadcast_keys=0).collect()),
+                     key=repr)
+        assert small == big
+        a = sorted(map(tuple, MG.insert_if_absent(t, s, ["k"], null_safe=null_safe).collect()), key=repr)
+        b = sorted(map(tuple, MG.insert_if_absent(t, s, ["k"], null_safe=null_safe, max_broadcast_keys=0).collect()),
+                   key=repr)
+        assert a == b
+    assert len(MG.upsert(t, s, ["k"], ["n"]).collect()) == 6  # NULL key never matches (T9)
+    assert len(MG.upsert(t, s, ["k"], ["n"], null_safe=True).collect()) == 5
+    assert LK.fits_many({"t": t, "s": s}, max_rows=3) == {"t": False, "s": True}
