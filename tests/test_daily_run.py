@@ -247,3 +247,16 @@ def test_rescraped_jobs_leave_no_stale_partition(spark, tmp_path):
     rows = store.read("stg_emploitic", STG_A).collect()
     assert sorted((r.job_id, r.date_scraped.day, r.positions) for r in rows) == [
         ("job-1", 3, 5), ("job-2", 3, 5), ("job-3", 3, 5)]
+
+
+def test_source_a_only_day(spark, tmp_path):
+    landing, wh = str(tmp_path / "landing"), str(tmp_path / "wh")
+    land_lookups(landing)
+    land_a(landing, "2025-06-02", _a_pages())
+    gold = run_day(spark, landing, wh, "2025-06-02")
+    store = TableStore(spark, wh)
+    assert store.read("fct_jobs", FCT_JOBS).count() == 2
+    assert gold["mv_job_performance_summary"].count() == 0  # only B has counters (T22)
+    assert gold["vw_job_contract_type"].count() == 2  # CDI, and NULL list -> unknown member (P7)
+    from listingmart.plans.audit import star_report
+    assert all(r.violations == 0 for r in star_report(store).collect())
