@@ -1,0 +1 @@
+"""Incremental landing scan: file stream with availableNow feeding the batch plans."""
