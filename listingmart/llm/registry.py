@@ -1,4 +1,5 @@
 """The corpus queries: importing this module registers every operator's query."""
 
-from listingmart.llm import divergence, quality_model, token_orc, toxicity, url_rules  # noqa: F401
+from listingmart.llm import (  # noqa: F401
+    decontaminate, divergence, quality_model, simhash, token_orc, toxicity, url_rules)
 from listingmart.llm.common import ORACLE, QUERIES  # noqa: F401
