@@ -1,5 +1,5 @@
 """The corpus queries: importing this module registers every operator's query."""
 
 from listingmart.llm import (  # noqa: F401
-    decontaminate, divergence, hmm, packing, quality_model, simhash, token_orc, toxicity, url_rules)
+    decontaminate, divergence, hmm, packing, quality_model, simhash, substrings, token_orc, toxicity, url_rules)
 from listingmart.llm.common import ORACLE, QUERIES  # noqa: F401
