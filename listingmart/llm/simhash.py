@@ -44,7 +44,7 @@ from listingmart.llm.common import id_text, map_batches, query, stored, table
 from listingmart.llm.components import connected_components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
-PARTS, SAMPLE, BUCKET = 3, 4096, 1024
+PARTS, SAMPLE, BUCKET = 3, 4096, 256
 BITS = 64
 
 
