@@ -13,13 +13,11 @@ also starts in a document with a smaller id.
    A passage is a run of confirmed windows of one phrase in their home.
 4. Locate. Passages are dealt to shards by phrase; each shard compiles an
    automaton of its phrases and streams through it the stretches of all
-   documents that may hold them. An occurrence is extended word by word along
-   the passage; 50 words or more are a repeat. Shards with more than their part
+   documents that may hold them. Around an occurrence, the windows that the
+   passages hold (by 128-bit digest) are repeats of their home. Shards with more than their part
    of the stretches (a passage that very many documents share) are dealt to
    several tasks, each of which compiles the same automaton.
 
-Hashes only narrow the search; what is removed has been compared word by word.
-
 Defined results: NULL or empty text: no words. NULL doc_id: larger than every
 id. Rows with equal ids are one document: they never remove each other's words.
 Fewer than ``WINDOW`` words: nothing is removed. Empty table: empty result.
@@ -28,7 +26,7 @@ Fewer than ``WINDOW`` words: nothing is removed. Empty table: empty result.
 from __future__ import annotations
 
 import hashlib
-from itertools import islice
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -195,58 +193,70 @@ def _stretch_rows(out) -> pa.RecordBatch:
                             "words": pa.array(cols[4], pa.string())})
 
 
-def _common_run(a: list[str], i: int, b: list[str], j: int) -> tuple[int, int]:
-    """The longest stretch of ``a`` around place i that equals ``b`` around place j: (first, end) in ``a``."""
-    left = min(i, j)
-    if a[i - left:i] != b[j - left:j]:
-        left = next(k for k in range(left) if a[i - 1 - k] != b[j - 1 - k])
-    right = min(len(a) - i, len(b) - j)
-    if a[i:i + right] != b[j:j + right]:
-        right = next(k for k in range(right) if a[i + k] != b[j + k])
-    return i - left, i + right
+def _begins(words: list[str]) -> list[int]:
+    """Where each word of the space-joined text begins, and one place after the text's end."""
+    return [0, *accumulate(len(w) + 1 for w in words)]
+
+
+def _merged(starts: list[int]) -> list[tuple[int, int]]:
+    """The word ranges covered by windows at ascending ``starts``."""
+    out: list[tuple[int, int]] = []
+    for s in starts:
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], s + WINDOW)
+        else:
+            out.append((s, s + WINDOW))
+    return out
 
 
 def _locate(batches):
-    """One shard's rows, passages first: compile the automaton, stream the stretches, emit repeats (id, tie, start, stop)."""
+    """One shard's rows, passages first: compile the automaton, stream the stretches, emit repeats (id, tie, start, stop).
+
+    The passages' windows are kept by their 128-bit digest with their home, so the
+    work on a stretch does not depend on how many passages share its phrase.
+    """
     import ahocorasick
-    auto, passages, shard = None, {}, None
-    memory: dict[str, list[tuple[int, int, int]]] = {}
-
-    def repeats(words: str) -> list[tuple[int, int, int]]:
-        """(home, first, end) of every passage run in a stretch."""
-        found, own = [], words.split(" ")
-        padded = f" {words} "
-        for last, phrase in auto.iter(padded):
+    digest = xxhash.xxh3_128_digest
+    auto, phrases, homes, shard = None, set(), {}, None
+    memory: dict[str, list[tuple[int, int]]] = {}
+
+    def found(words: str) -> list[tuple[int, int]]:
+        """(start, home) of the confirmed windows around the phrases that the automaton finds."""
+        own, padded, starts = words.split(" "), f" {words} ", set()
+        for last, _ in auto.iter(padded):
             i = padded.count(" ", 0, last) - PHRASE  # the phrase ends with the space after its last word
-            for home, place, text in passages[phrase]:
-                s, e = _common_run(own, i, text.split(" "), place)
-                if e - s >= WINDOW:
-                    found.append((home, s, e))
-        return found
+            starts.update(range(max(0, i - _REACH), min(i, len(own) - WINDOW) + 1))
+        at = _begins(own)
+        keyed = ((s, homes.get(digest(words[at[s]:at[s + WINDOW] - 1]))) for s in sorted(starts))
+        return [(s, home) for s, home in keyed if home is not None]
 
     for b in batches:
         out = []
         for task, kind, key, place, words, tie in zip(*(b.column(c).to_pylist() for c in (
                 "task", "kind", "id", "place", "words", "tie")), strict=True):
             if task != shard:
-                auto, passages, shard = None, {}, task
+                auto, phrases, homes, shard = None, set(), {}, task
                 memory.clear()
             if kind == 0:
-                phrase = " ".join(islice(words.split(" "), place, place + PHRASE))
-                passages.setdefault(phrase, []).append((key, place, words))
+                own = words.split(" ")
+                at = _begins(own)
+                phrases.add(" ".join(own[place:place + PHRASE]))
+                for s in range(len(own) - WINDOW + 1):
+                    d = digest(words[at[s]:at[s + WINDOW] - 1])
+                    homes[d] = min(key, homes.get(d, key))
                 continue
-            if not passages:
+            if not phrases:
                 continue
             if auto is None:
                 auto = ahocorasick.Automaton()
-                for phrase in passages:
-                    auto.add_word(f" {phrase} ", phrase)
+                for phrase in phrases:
+                    auto.add_word(f" {phrase} ", 0)
                 auto.make_automaton()
             if words not in memory:
                 if len(memory) >= 20_000:
                     memory.clear()
-                memory[words] = repeats(words)
-            out += [(key, tie, place + s, place + e) for home, s, e in memory[words] if home < key]
+                memory[words] = found(words)
+            out += [(key, tie, place + s, place + e) for s, e in _merged([s for s, home in memory[words] if home < key])]
         cols = list(zip(*out, strict=True)) or [()] * 4
         yield pa.record_batch({"id": pa.array(cols[0], pa.int64()), "tie": pa.array(cols[1], pa.int64()),
                                "start": pa.array(cols[2], pa.int32()), "stop": pa.array(cols[3], pa.int32())})
