@@ -9,8 +9,9 @@ fill a sequence take one of their own. The others are packed in rounds:
 * documents and gaps left over in different partitions are matched by rank:
   the driver sees two counts per partition, pairs the counts like brackets,
   and both sides find their partner by (partition, rank);
-* a document larger than every gap that remains needs a new sequence: of those
-  documents the largest open as many as their total size requires;
+* documents larger than every gap that remains need new sequences, and so does
+  what all gaps together cannot hold: the largest documents open as many as the
+  total sizes require;
 * the gaps shrink, and the next round begins until nothing is left.
 
 A sequence is named by the tag of the piece that opened it. Rounds are written
@@ -179,15 +180,14 @@ def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
     open_gaps = (gap_side.filter("pair IS NULL").select("bin", "gap")
                  .unionByName(crossed.select("bin", (F.col("gap") - F.col("size")).alias("gap"))).filter("gap > 0"))
     rest = item_side.filter("pair IS NULL").select("item", "size", "part", "rank")
-    widest = open_gaps.agg(F.max("gap")).first()[0] or 0
+    widest, room = open_gaps.agg(F.max("gap"), F.sum("gap")).first()
+    widest, room = widest or 0, room or 0
     # by size: at most ``capacity`` rows
     by_size = {r["size"]: r["n"] for r in rest.groupBy("size").agg(F.count("*").alias("n")).collect()}
     need = sum(s * c for s, c in by_size.items() if s > widest)
-    opened = 0
-    if need:
-        # more than half a sequence each: all; else as many as their total size requires, the largest first
-        halves = sum(c for s, c in by_size.items() if s > widest and 2 * s > capacity)
-        opened = max(halves, -(-need // capacity))
+    # those larger than every gap need new sequences; so does what all gaps together cannot hold
+    over = sum(s * c for s, c in by_size.items()) - room
+    opened = max(0, -(-need // capacity), -(-over // capacity))
     per_part = {r["part"]: r["n"] for r in rest.groupBy("part").agg(F.max("rank").alias("n")).collect()} if opened else {}
     total = sum(by_size.values())
     above, acc = [], 0
