@@ -69,12 +69,16 @@ def parse_timestamp(c) -> Column:
     which is what a cast to a zone-less timestamp does in the reference store.
     The text is read as a UTC instant and the wall clock rebuilt from the
     epoch, so the result never depends on the session time zone (no DST gaps).
-    Unparseable text gives NULL.
+    Offsets may be ``Z``, ``+01``, ``+0100`` or ``+01:00``, with or without a
+    space; seconds may be missing, fractions have any length (microseconds are
+    kept). Unparseable text gives NULL, which the daily checks refuse.
     """
     c = as_col(c)
-    txt = F.concat(F.regexp_replace(c, r"([+-]\d{2}:?\d{2}|Z)$", ""), F.lit("Z"))
+    clock = F.regexp_replace(c, r"(\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*([+-]\d{2}(:?\d{2})?|Z)$", "$1")
+    txt = F.concat(F.regexp_replace(clock, r"(\.\d{6})\d+$", "$1"), F.lit("Z"))
     inst = F.coalesce(*[F.try_to_timestamp(txt, F.lit(fmt)) for fmt in
-                        ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X", "yyyy-MM-dd HH:mm:ss[.SSSSSS]X", "yyyy-MM-ddX")])
+                        ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X", "yyyy-MM-dd HH:mm:ss[.SSSSSS]X", "yyyy-MM-dd'T'HH:mmX",
+                         "yyyy-MM-dd HH:mmX", "yyyy-MM-ddX")])
     return F.timestamp_add("MICROSECOND", F.unix_micros(inst), F.lit(_EPOCH).cast("timestamp_ntz"))
 
 

@@ -1,7 +1,7 @@
 """Id -> label lookups and label translation.
 
 A lookup list is small (hundreds to ten thousand entries) but not fixed, so it
-is broadcast only after a bounded count proves its size; beyond the bound the
+is broadcast only after its rows and bytes were summed; beyond the bound the
 join is left to the planner (sort-merge, or AQE's runtime broadcast).
 """
 
@@ -13,24 +13,42 @@ from pyspark.sql import functions as F
 from listingmart.functions.arrays import all_in_language, struct_labels
 
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame):
+    """Estimated bytes of a row: 8 per column and the text of strings and nested values."""
+    atomic = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz")
+    out = F.lit(8 * max(1, len(df.columns))).cast("long")
+    for i, (_, kind) in enumerate(df.dtypes):
+        if kind not in atomic:
+            out = out + F.coalesce(F.octet_length(F.col(f"_{i}").cast("string")), F.lit(0))
+    return out
 
 
-def fits_many(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, bool]:
-    """``fits`` for several frames in one Spark job (one small count per frame)."""
+def _sized(df: DataFrame) -> DataFrame:
+    """One row (n, bytes): a partial sum per task, so no task sees more than one row of each other."""
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return plain.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(plain)), F.lit(0)).alias("bytes"))
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    r = _sized(df).first()
+    return r["n"] <= max_rows and r["bytes"] <= max_bytes
+
+
+def fits_many(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+              max_bytes: int = BROADCAST_MAX_BYTES) -> dict[str, bool]:
+    """``fits`` for several frames in one Spark job (one row per frame)."""
     from functools import reduce
-    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("_name")) for name, df in frames.items()]
-    counts = {r["_name"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), parts)
-              .groupBy("_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per frame
-    return {name: counts.get(name, 0) <= max_rows for name in frames}
+    parts = [_sized(df).withColumn("_name", F.lit(name)) for name, df in frames.items()]
+    sizes = {r["_name"]: r for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}
+    return {name: sizes[name]["n"] <= max_rows and sizes[name]["bytes"] <= max_bytes for name in frames}
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count is proven bounded, else unchanged."""
+    """Broadcast hint for a side whose size is proven bounded, else unchanged."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listingmart.operators.lookup import fits
+
 
 def _key_cond(t: DataFrame, s: DataFrame, keys: list[str], null_safe: bool) -> Column:
     cond = None
@@ -46,11 +48,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     unique on ``keys``. Running the same upsert twice changes nothing.
 
     Plan: when the batch's keys are proven to be at most ``max_broadcast_keys``
-    (a bounded count), they are broadcast and the target is split map-side
+    (and within the broadcast's byte bound), they are broadcast and the target is split map-side
     into untouched rows (left-anti, no shuffle) and touched rows (left-semi);
     only the touched rows meet the batch in a full outer join. Beyond the
-    bound, one full outer join of target and batch (sort-merge; AQE splits
-    skewed keys).
+    bound, one full outer join of target and batch (sort-merge; a full outer join's
+    skewed keys are not split).
     """
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
@@ -58,7 +60,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
         raise KeyError(f"source lacks {missing}")
     source = source.select(*cols)
     src_keys = source.select(*keys)
-    if src_keys.limit(max_broadcast_keys + 1).count() > max_broadcast_keys:
+    if not fits(src_keys, max_broadcast_keys):
         return _merge_rows(target, source, keys, update_cols, null_safe)
     bk = F.broadcast(src_keys.dropDuplicates())
     cond = _key_cond(target, bk, keys, null_safe)
@@ -81,7 +83,7 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str],
     if not null_safe:
         tk = tk.dropna()
     src_keys = src.select(*keys)
-    if src_keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+    if fits(src_keys, max_broadcast_keys):
         tk = tk.join(F.broadcast(src_keys), _key_cond(tk, src_keys, keys, null_safe), "left_semi")
     if null_safe:
         return src.join(tk, _key_cond(src, tk, keys, True), "left_anti")

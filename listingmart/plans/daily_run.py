@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from listingmart.operators.checks import has_rows
+from listingmart.operators.checks import assert_empty, check_not_null, check_schema, check_unique, has_rows
 from listingmart.plans.clean import A_TRANSLATED, clean_a, clean_b
 from listingmart.plans.gold import build_gold
 from listingmart.plans.silver import build_silver, daily_metrics
 from listingmart.plans.snapshot import read_day, snapshot_a, snapshot_b, stage_a, stage_b
+from listingmart.schemas import STG_A, STG_B
+from listingmart.session import cut_lineage
 from listingmart.sources.listings import PAGE_A, PAGE_B, flatten_a, flatten_b, read_pages
 from listingmart.sources.lookups import read_lookup
 from listingmart.sources.store import TableStore
@@ -28,6 +31,25 @@ from listingmart.sources.store import TableStore
 B_LOOKUPS = {"experience": "experience", "sector": "sector", "function": "function"}
 
 
+# What one cleaned day must satisfy before it is staged.
+A_KEY = ["job_id"]
+B_KEY = ["job_id", "country", "region", "state", "city"]
+REQUIRED = ["job_id", "title", "datetime_published"]
+
+
+def checked(df: DataFrame, schema: T.StructType, key: list[str], what: str) -> DataFrame:
+    """The cleaned day, computed once; a wrong type, a missing value or a repeated key stops the run."""
+    wrong = check_schema(df, {f.name: f.dataType for f in schema.fields})
+    if wrong:
+        raise AssertionError(f"{what}: wrong or missing columns {wrong}")
+    df = cut_lineage(df)
+    missing = {c: n for c, n in check_not_null(df, REQUIRED).first().asDict().items() if n}
+    if missing:
+        raise AssertionError(f"{what}: rows without a value: {missing}")
+    assert_empty(check_unique(df, key), f"{what}: repeated {key}")
+    return df
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -45,7 +67,7 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
         if has_rows(rows):  # P18 gate
             lookups = {a: read_lookup(spark, f"{landing}/a/lookups/{a}.json", "collection")
                        for a in A_TRANSLATED}
-            stage_a(store, clean_a(rows, ds, lookups))
+            stage_a(store, checked(clean_a(rows, ds, lookups), STG_A, A_KEY, "cleaned A"))
             snaps["a"] = snapshot_a(read_day(store, "stg_emploitic", ds))
     b_pages = f"{landing}/b/{ds.isoformat()}/pages"
     if _exists(spark, b_pages):
@@ -53,9 +75,9 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
         if has_rows(rows):
             lk = {k: read_lookup(spark, f"{landing}/b/lookups/{v}.json", "hydra:member")
                   for k, v in B_LOOKUPS.items()}
-            stage_b(store, clean_b(rows, ds, lk["experience"].select("id", "label"),
-                                   lk["sector"].select("id", "name"),
-                                   lk["function"].select("id", "name")), ds)
+            cleaned = clean_b(rows, ds, lk["experience"].select("id", "label"), lk["sector"].select("id", "name"),
+                              lk["function"].select("id", "name"))
+            stage_b(store, checked(cleaned, STG_B, B_KEY, "cleaned B"), ds)
             snaps["b"] = snapshot_b(read_day(store, "stg_emploi_partner", ds))
     change = None
     if snaps:

@@ -224,7 +224,10 @@ def daily_metrics(store: TableStore, stg_b_day: DataFrame, ds) -> DataFrame:
     history = store.read("fct_job_performance_daily", FCT_DAILY)
     # A job's counters start at its publication: older partitions cannot hold
     # history of today's jobs, so they are pruned (one scalar to the driver).
-    since = today.agg(F.min(F.to_date("datetime_published"))).first()[0]
+    # A job without a publication time may have history of any age: then nothing is pruned.
+    published = today.agg(F.min(F.to_date("datetime_published")).alias("first"),
+                          F.count_if(F.col("datetime_published").isNull()).alias("unknown")).first()
+    since = None if published["unknown"] else published["first"]
     delta = counter_delta(today, history, ["job_id", "location_id"], ["nb_applicants", "nb_views"],
                           ds, "date", "datetime_published", since=since)
     # The day's rows before this run (empty on a first run), materialised before

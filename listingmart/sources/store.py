@@ -4,9 +4,10 @@ Tables live under one shared base folder (on a cluster: a distributed file
 system path). Two write modes:
 
 * **versioned** tables (dimensions, fact, bridges, summaries): a new content
-  is written to ``<table>/v=<n>`` and then a one-row pointer is switched, so
-  a job never overwrites what it is reading and a failed write leaves the
-  previous version current;
+  is written to ``<table>/v=<n>`` and then published by creating the empty file
+  ``<table>/_published/<n>``; the highest published version is current. Nothing
+  published is ever overwritten, so a job never overwrites what it is reading
+  and a write that fails anywhere leaves the previous version current;
 * **date-partitioned** tables (staging, daily fact): dynamic partition
   overwrite replaces only the partitions present in the written frame.
   Frames that read the partitions they replace are checkpointed first.
@@ -25,33 +26,44 @@ class TableStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self._versions: dict[str, int] = {}  # pointers this store switched itself
+        self._versions: dict[str, int] = {}  # versions this store published or looked up
 
     # -- paths -------------------------------------------------------------
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.path(name)}/_current"
+    def _fs(self, path: str):
+        """(file system, path): Hadoop's API works for any cluster file system."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm  # Hadoop FileSystem: works for any cluster file system.
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, p = self._fs(path)
         return fs.exists(p)
 
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
     def current_version(self, name: str) -> int | None:
+        """The highest published version; None if the table was never written.
+
+        Version folders without any published one mean that markers were lost
+        (or that the very first write failed): that is an error, never an empty table.
+        """
         if name in self._versions:
             return self._versions[name]
-        ptr = self._pointer(name)
-        if not self._exists(ptr):
+        done = [int(n) for n in self._names(f"{self.path(name)}/_published") if n.isdigit()]
+        if not done:
+            begun = [n for n in self._names(self.path(name)) if n.startswith("v=")]
+            if [n for n in begun if n != "v=1"]:
+                raise FileNotFoundError(f"{self.path(name)} holds {sorted(begun)} but no published version")
             return None
-        v = self.spark.read.parquet(ptr).first()["version"]
-        self._versions[name] = v
-        return v
+        self._versions[name] = max(done)
+        return self._versions[name]
 
     def exists(self, name: str) -> bool:
-        """The table was written at least once (a version pointer or a data folder)."""
+        """The table was written at least once (a published version or a data folder)."""
         return self.current_version(name) is not None or self._exists(f"{self.path(name)}/data")
 
     # -- reads -------------------------------------------------------------
@@ -71,13 +83,25 @@ class TableStore:
 
     # -- writes ------------------------------------------------------------
     def replace(self, name: str, df: DataFrame) -> None:
-        """Write a new version and switch the pointer to it (K8)."""
+        """Write a new version, then publish it (K8)."""
         v = (self.current_version(name) or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v}")
-        (self.spark.createDataFrame([(v,)], "version int").coalesce(1)
-         .write.mode("overwrite").parquet(self._pointer(name)))
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v}")  # not published: what a failed write left
+        fs, marker = self._fs(f"{self.path(name)}/_published/{v}")
+        if not fs.createNewFile(marker):
+            raise FileExistsError(f"version {v} of {name} was published by another run")
         self._versions[name] = v
 
+    def vacuum(self, name: str, keep: int = 2) -> list[int]:
+        """Delete all but the last ``keep`` published versions; returns the deleted ones."""
+        current = self.current_version(name)
+        old = sorted(int(n) for n in self._names(f"{self.path(name)}/_published") if n.isdigit())
+        gone = [v for v in old if current is not None and v <= current - max(1, keep)]
+        for v in gone:
+            for path in (f"{self.path(name)}/_published/{v}", f"{self.path(name)}/v={v}"):
+                fs, p = self._fs(path)
+                fs.delete(p, True)
+        return gone
+
     def overwrite_partitions(self, name: str, df: DataFrame, col: str, reads_self: bool = True) -> None:
         """Replace only the ``col`` partitions present in ``df`` (M6, K2, K3)."""
         if reads_self:

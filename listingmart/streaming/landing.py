@@ -1,11 +1,11 @@
 """Incremental landing scan (optional, §2.11): only pages landed since the last run.
 
-The reference re-reads its whole window on every run; here the landing folder
-can be consumed as a file stream: ``trigger(availableNow=True)`` processes the
-files landed since the previous run (tracked in a checkpoint in the cluster's
-shared checkpoint folder) and stops, and ``foreachBatch`` hands each
-micro-batch to the same batch plans (clean -> stage upsert). Re-running after a
-failure re-processes only uncommitted files; the upserts are idempotent.
+The landing folder is consumed as a file stream (``trigger(availableNow=True)``,
+progress in the given checkpoint folder) that only flattens and lands raw
+listing rows: each micro-batch replaces its own ``batch=<id>`` folder, so a
+retried batch lands once. The day is then cleaned and staged as a whole from
+the landed rows, so the result does not depend on how many files arrived when
+or how the stream was cut into batches.
 """
 
 from __future__ import annotations
@@ -13,44 +13,52 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listingmart.plans.clean import clean_a, clean_b
 from listingmart.plans.snapshot import stage_a, stage_b
-from listingmart.session import checkpoint_dir
 from listingmart.sources.listings import PAGE_A, PAGE_B, flatten_a, flatten_b
 from listingmart.sources.store import TableStore
 
 
 def stream_pages(spark: SparkSession, path: str, schema, max_files: int = 1000) -> DataFrame:
     """Landed page files as a stream (one row per page, ``_page`` = file path)."""
-    from pyspark.sql import functions as F
     return (spark.readStream.schema(schema).option("multiLine", True)
             .option("maxFilesPerTrigger", max_files).json(path)
             .withColumn("_page", F.col("_metadata.file_path")))
 
 
+def landed_rows(spark: SparkSession, source: str, folder: str) -> DataFrame:
+    """All raw listing rows landed for one day."""
+    page, flatten = (PAGE_A, flatten_a) if source == "a" else (PAGE_B, flatten_b)
+    empty = spark.createDataFrame([], page).withColumn("_page", F.lit(""))
+    return spark.read.schema(flatten(empty).schema).parquet(f"{folder}/batch=*")
+
+
 def ingest_new_pages(spark: SparkSession, source: str, pages_path: str, warehouse: str,
-                     ds: dt.date | str, lookups: dict, checkpoint: str | None = None) -> int:
-    """Clean and upsert into staging every page of ``source`` ('a' or 'b') landed since last run.
+                     ds: dt.date | str, lookups: dict, checkpoint: str) -> int:
+    """Land every page of ``source`` ('a' or 'b') that came since the last run, then clean and stage the whole day.
 
     ``lookups``: for 'a' the six attribute lists; for 'b' keys experience,
-    sector, function. Returns the number of micro-batches processed.
+    sector, function. ``checkpoint``: a lasting folder of this source and day.
+    Returns the number of micro-batches landed.
     """
     store = TableStore(spark, warehouse)
-    schema = PAGE_A if source == "a" else PAGE_B
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/landing-{source}"
+    schema, flatten = (PAGE_A, flatten_a) if source == "a" else (PAGE_B, flatten_b)
+    folder = store.path(f"raw_{source}/ds={ds}")
     batches = []
 
-    def handle(pages: DataFrame, batch_id: int) -> None:
+    def land(pages: DataFrame, batch_id: int) -> None:
+        flatten(pages).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        batches.append(batch_id)
+
+    q = (stream_pages(spark, pages_path, schema).writeStream.foreachBatch(land)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if batches:
+        rows = landed_rows(spark, source, folder)
         if source == "a":
-            rows = flatten_a(pages)
             stage_a(store, clean_a(rows, ds, lookups))
         else:
-            rows = flatten_b(pages)
             stage_b(store, clean_b(rows, ds, lookups["experience"], lookups["sector"], lookups["function"]), ds)
-        batches.append(batch_id)
-
-    q = (stream_pages(spark, pages_path, schema).writeStream.foreachBatch(handle)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
     return len(batches)

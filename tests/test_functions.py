@@ -121,6 +121,11 @@ def test_parse_timestamp_keeps_wall_clock(spark):
     assert got == dt.datetime(2025, 6, 1, 23, 30)
     assert one(spark, D.parse_timestamp("v"), "2025-06-01 08:00:00.250") == dt.datetime(2025, 6, 1, 8, 0, 0, 250000)
     assert one(spark, D.parse_timestamp("v"), "garbage") is None
+    ten = dt.datetime(2025, 6, 1, 10, 0)
+    for text in ("2025-06-01T10:00:00+01", "2025-06-01T10:00Z", "2025-06-01T10:00:00 +0100", "2025-06-01 10:00", "2025-06-01T10:00:00Z"):
+        assert one(spark, D.parse_timestamp("v"), text) == ten, text
+    assert one(spark, D.parse_timestamp("v"), "2025-06-01T10:00:00.1234567Z") == ten.replace(microsecond=123456)
+    assert one(spark, D.parse_timestamp("v"), "2025-06-01") == dt.datetime(2025, 6, 1)
 
 
 def test_windows_and_epoch(spark):

@@ -24,3 +24,29 @@ def test_incremental_landing(spark, tmp_path):
     assert ingest_new_pages(spark, "a", pages, wh, "2025-06-02", lookups, ck) == 0
     titles = sorted(r.title for r in TableStore(spark, wh).read("stg_emploitic", STG_A).collect())
     assert titles == ["Poste deux", "Poste un"]
+
+
+def test_any_split_of_a_day_gives_one_result(spark, tmp_path):
+    """Source B sums the counters of a listing's pages, whichever run of the stream landed them."""
+    import os
+    import shutil
+
+    from fixtures import b_listing, land_b
+    from listingmart.schemas import STG_B
+    landing = str(tmp_path / "l")
+    land_lookups(landing)
+    lk = {k: read_lookup(spark, f"{landing}/b/lookups/{k}.json", "hydra:member") for k in ("experience", "sector", "function")}
+    lk = {"experience": lk["experience"].select("id", "label"), "sector": lk["sector"].select("id", "name"),
+          "function": lk["function"].select("id", "name")}
+    one, two = (b_listing("Poste", "Acme", "2025-06-01 10:00:00", views=v, applicants=a) for v, a in ((10, 2), (7, 3)))
+    land_b(landing, "2025-06-02", [[one], [two]])
+    pages = f"{landing}/b/2025-06-02/pages"
+    ingest_new_pages(spark, "b", pages, str(tmp_path / "w1"), "2025-06-02", lk, str(tmp_path / "c1"))
+    slow = str(tmp_path / "slow")
+    os.makedirs(slow)
+    for name in sorted(os.listdir(pages)):
+        shutil.copy(os.path.join(pages, name), slow)
+        ingest_new_pages(spark, "b", slow, str(tmp_path / "w2"), "2025-06-02", lk, str(tmp_path / "c2"))
+    both = [[(r.nb_views, r.nb_applicants) for r in TableStore(spark, str(tmp_path / w)).read("stg_emploi_partner", STG_B).collect()]
+            for w in ("w1", "w2")]
+    assert both[0] == both[1] == [(17, 5)]
