@@ -9,8 +9,8 @@ score through a logistic curve.
 The lexicon is learned: candidate stems (whole folded words and their first 4
 to 8 letters) are counted in toxic and clean labelled documents, and a stem
 enters with its log-odds weight if its likelihood ratio holds against the
-number of candidates tried. Near copies count once (equal least
-hashes of their words).
+number of candidates tried. Near copies count once (an equal
+least hash of their long words).
 Labels come from a bounded sample of the labelled rows (``LABEL_SAMPLE``, the
 smallest hashes of the id), which is also what bounds the broadcast of ids.
 
@@ -115,9 +115,11 @@ def _curve(model: ToxicityModel, total: float, dense: float) -> float:
 
 
 def _signature(words: set[str], text: str) -> int:
-    """Equal for most near copies: the three least hashes of the words of five letters and more."""
-    least = sorted(xxhash.xxh3_64_intdigest(w) for w in words if len(w) >= 5)[:3]
-    return xxhash.xxh3_64_intdigest(repr(least) if len(least) == 3 else text)
+    """Equal for most near copies: the least hash of the long words, where there are a few."""
+    long_words = [w for w in words if len(w) >= 8]
+    if len(long_words) < 3:
+        return xxhash.xxh3_64_intdigest(text)
+    return min(map(xxhash.xxh3_64_intdigest, long_words))
 
 
 def _candidates(batches):
