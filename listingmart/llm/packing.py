@@ -8,7 +8,8 @@ fill a sequence take one of their own. The others are packed in rounds:
   most its size that is still free, and again while something fits;
 * documents and gaps left over in different partitions are matched by rank:
   the driver sees two counts per partition, pairs the counts like brackets,
-  and both sides find their partner by (partition, rank);
+  and both sides find their partner by (partition, rank); a gap takes as many
+  documents of a run as surely fit;
 * documents larger than every gap that remains need new sequences, and so does
   what all gaps together cannot hold: the largest documents open as many as the
   total sizes require;
@@ -30,7 +31,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listingmart.llm.common import id_text, map_batches, query, stored, table
@@ -113,44 +114,47 @@ def _sweep(batches):
     yield emit()
 
 
-def _bracket(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+def _bracket(counts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
     """Match left-over gaps of a partition with the largest left-over documents of lower ones.
 
-    ``counts``: (partition, gaps, documents) in order; returns runs (gap partition, first gap rank, document
-    partition, last document rank, length): the n-th gap of a run takes the document n ranks below the last.
+    ``counts``: (partition, gaps, documents, least gap, largest document) in order; returns runs (gap partition,
+    first gap rank, document partition, last document rank, documents, documents a gap). A gap takes as many
+    documents of a run as surely fit, from the largest down, so that rounds don't multiply with short documents.
     """
     stack, runs = [], []
-    for part, gaps, items in counts:
+    for part, gaps, items, least, widest in counts:
         at = 0
         while at < gaps and stack:
-            low, n = stack[-1]
-            take = min(n, gaps - at)
-            runs.append((part, at, low, n - 1, take))
-            at += take
-            stack[-1] = (low, n - take)
+            low, n, size = stack[-1]
+            each = max(1, least // size)
+            take = min(n, (gaps - at) * each)
+            runs.append((part, at, low, n - 1, take, each))
+            at += -(-take // each)
+            stack[-1] = (low, n - take, size)
             if n == take:
                 stack.pop()
         if items:
-            stack.append((part, items))
+            stack.append((part, items, widest))
     return runs
 
 
 def _paired(runs):
-    """Number the matched pairs of left-over rows: both sides of a pair get the same number."""
+    """Number the gaps of the runs: a gap and the documents that it takes get the same number."""
     gaps: dict[int, list] = {}
     items: dict[int, list] = {}
     base = 0
-    for gp, g0, ip, i1, n in runs:
-        gaps.setdefault(gp, []).append((g0, n, base))
-        items.setdefault(ip, []).append((i1, n, base))
-        base += n
+    for gp, g0, ip, i1, n, each in runs:
+        used = -(-n // each)
+        gaps.setdefault(gp, []).append((g0, used, base))
+        items.setdefault(ip, []).append((i1, n, each, base))
+        base += used
 
     def number(kind, part, rank):
         if rank is None:
             return None
         if kind == GAP:
             return next((b + rank - g0 for g0, n, b in gaps.get(part, ()) if g0 <= rank < g0 + n), None)
-        return next((b + i1 - rank for i1, n, b in items.get(part, ()) if i1 - n < rank <= i1), None)
+        return next((b + (i1 - rank) // each for i1, n, each, b in items.get(part, ()) if i1 - n < rank <= i1), None)
 
     def run(batches):
         for b in batches:
@@ -167,18 +171,24 @@ def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
              .sortWithinPartitions("size", "kind", "id"))
     swept = stored(map_batches(dealt, _sweep, _SWEPT), "packing-sweep")
     left = swept.filter(F.col("kind") != MATCHED)
-    # two counts per range partition
-    counts = left.groupBy("part").agg(F.sum(F.when((F.col("kind") == GAP) & F.col("rank").isNotNull(), 1).otherwise(0)).alias("g"),
-                                      F.sum(F.when(F.col("kind") == ITEM, 1).otherwise(0)).alias("i")).collect()
-    runs = _bracket(sorted((r["part"], r["g"], r["i"]) for r in counts))
+    # two counts and two sizes per range partition
+    waits, free = (F.col("kind") == GAP) & F.col("rank").isNotNull(), F.col("kind") == ITEM
+    counts = left.groupBy("part").agg(F.count_if(waits).alias("g"), F.count_if(free).alias("i"),
+                                      F.min(F.when(waits, F.col("gap"))).alias("least"), F.max(F.when(free, F.col("size"))).alias("widest")).collect()
+    runs = _bracket(sorted((r["part"], r["g"], r["i"], r["least"] or 0, r["widest"] or 0) for r in counts))
     paired = map_batches(left, _paired(runs), _SWEPT + ", pair long")
     item_side = paired.filter(F.col("kind") == ITEM).select("item", "size", "part", "rank", "pair")
     gap_side = paired.filter(F.col("kind") == GAP).select("bin", "gap", "pair")
+    # the documents of one gap stand one after the other; the last one leaves the gap that remains
+    of_gap = Window.partitionBy("pair")
+    until = F.sum("size").over(of_gap.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     crossed = stored(item_side.filter("pair IS NOT NULL").join(gap_side.filter("pair IS NOT NULL"), "pair")
-                     .select("item", "size", "bin", "gap"), "packing-cross")
-    matched = swept.filter(F.col("kind") == MATCHED).select("item", "size", "bin", "gap").unionByName(crossed)
+                     .withColumns({"until": until, "all": F.sum("size").over(of_gap)})
+                     .select("item", "size", "bin", (F.col("gap") - F.col("until") + F.col("size")).alias("gap"),
+                             F.when(F.col("until") == F.col("all"), F.col("gap") - F.col("all")).alias("left")), "packing-cross")
+    matched = swept.filter(F.col("kind") == MATCHED).select("item", "size", "bin", "gap").unionByName(crossed.drop("left"))
     open_gaps = (gap_side.filter("pair IS NULL").select("bin", "gap")
-                 .unionByName(crossed.select("bin", (F.col("gap") - F.col("size")).alias("gap"))).filter("gap > 0"))
+                 .unionByName(crossed.filter("left IS NOT NULL").select("bin", F.col("left").alias("gap"))).filter("gap > 0"))
     rest = item_side.filter("pair IS NULL").select("item", "size", "part", "rank")
     widest, room = open_gaps.agg(F.max("gap"), F.sum("gap")).first()
     widest, room = widest or 0, room or 0

@@ -236,10 +236,14 @@ def test_packing_many_ranges(spark, monkeypatch):
     got = packing.pack(cut, capacity=256).toPandas()
     assert got.groupby("sequence_id")["length"].sum().max() <= 256 and len(got) == 400
     assert got["sequence_id"].nunique() <= math.ceil(got["length"].sum() / 256) + 2
+    by = got.sort_values(["sequence_id", "offset"])
+    assert (by.groupby("sequence_id")["length"].cumsum() - by["length"] == by["offset"]).all()
 
 
 def test_bracket():
-    assert packing._bracket([(0, 2, 3), (1, 2, 1), (2, 5, 0)]) == [(1, 0, 0, 2, 2), (2, 0, 1, 0, 1), (2, 1, 0, 0, 1)]
+    assert packing._bracket([(0, 2, 3, 3, 5), (1, 2, 1, 7, 6), (2, 5, 0, 9, 0)]) == [
+        (1, 0, 0, 2, 2, 1), (2, 0, 1, 0, 1, 1), (2, 1, 0, 0, 1, 1)]
+    assert packing._bracket([(0, 0, 7, 0, 3), (1, 2, 0, 10, 0)]) == [(1, 0, 0, 6, 6, 3)]  # three documents a gap
 
 
 def test_hmm(docs, empty, rows):
