@@ -26,6 +26,7 @@ ordered by tag. Empty table: empty result.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -176,7 +177,7 @@ def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
     counts = left.groupBy("part").agg(F.count_if(waits).alias("g"), F.count_if(free).alias("i"),
                                       F.min(F.when(waits, F.col("gap"))).alias("least"), F.max(F.when(free, F.col("size"))).alias("widest")).collect()
     runs = _bracket(sorted((r["part"], r["g"], r["i"], r["least"] or 0, r["widest"] or 0) for r in counts))
-    paired = map_batches(left, _paired(runs), _SWEPT + ", pair long")
+    paired = stored(map_batches(left, _paired(runs), _SWEPT + ", pair long"), "packing-paired")
     item_side = paired.filter(F.col("kind") == ITEM).select("item", "size", "part", "rank", "pair")
     gap_side = paired.filter(F.col("kind") == GAP).select("bin", "gap", "pair")
     # the documents of one gap stand one after the other; the last one leaves the gap that remains
@@ -192,13 +193,16 @@ def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
     rest = item_side.filter("pair IS NULL").select("item", "size", "part", "rank")
     widest, room = open_gaps.agg(F.max("gap"), F.sum("gap")).first()
     widest, room = widest or 0, room or 0
-    # by size: at most ``capacity`` rows
-    by_size = {r["size"]: r["n"] for r in rest.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    # ranges hold ascending sizes: at most ``capacity`` rows beside one for each range partition
+    sizes = rest.groupBy("part", "size").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
+    by_size, per_part = Counter(), {}
+    for r in sizes:
+        by_size[r["size"]] += r["n"]
+        per_part[r["part"]] = max(per_part.get(r["part"], 0), r["last"])
     need = sum(s * c for s, c in by_size.items() if s > widest)
     # those larger than every gap need new sequences; so does what all gaps together cannot hold
     over = sum(s * c for s, c in by_size.items()) - room
     opened = max(0, -(-need // capacity), -(-over // capacity))
-    per_part = {r["part"]: r["n"] for r in rest.groupBy("part").agg(F.max("rank").alias("n")).collect()} if opened else {}
     total = sum(by_size.values())
     above, acc = [], 0
     for part in sorted(per_part, reverse=True):  # documents of higher partitions are larger
@@ -207,7 +211,7 @@ def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
     from_top = reduce(lambda e, p: e.when(F.col("part") == p[0], F.lit(p[1] + p[2]) - F.col("rank")), above, F) if above else F.lit(0)
     ranked = rest.withColumn("opens", (from_top < opened) if opened else F.lit(False))
     opening = stored(ranked.filter("opens").select("item", "size"), "packing-open")
-    n_opened = opening.count()
+    n_opened = min(opened, total)  # the ranks of a partition's documents have no holes
     placed = matched.select("item", F.col("bin").alias("sequence_id"), (F.lit(capacity) - F.col("gap")).alias("offset")).unionByName(
         opening.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     least = min(by_size, default=0)
