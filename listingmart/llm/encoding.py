@@ -3,11 +3,13 @@
 The byte-level vocabulary never joins a space to what stands before it, so a
 single space between two non-space characters is always a token boundary:
 the ids of a text are the ids of the pieces cut there. Pieces repeat, so a
-worker keeps their ids; the cache is emptied when it is full.
+worker keeps their ids; a full cache drops its younger half (frequent pieces
+were met first).
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -29,22 +31,33 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
+class _Bounded(dict):
+    """At most ``CACHE_ENTRIES`` entries."""
+
+    def keep(self, key: str, ids: bytes) -> bytes:
+        if len(self) >= CACHE_ENTRIES:
+            for young in list(self)[CACHE_ENTRIES // 2:]:
+                del self[young]
+        self[key] = ids
+        return ids
+
+
+class _Words(_Bounded):
     """Ids of the model for one pre-token (already cut by the split pattern)."""
 
     def __init__(self, model):
         super().__init__()
         self.model, self.alphabet = model, _byte_alphabet()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
+    def ids(self, word: str) -> bytes:
         mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        ids = self[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        return ids
+        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        return self.keep(word, self.ids(word))
 
 
-class _Pieces(dict):
+class _Pieces(_Bounded):
     """Ids of a piece, with the space before it when ``lead`` is a space."""
 
     def __init__(self, encoder: "TextEncoder", lead: str):
@@ -54,10 +67,7 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[-1].isspace() or (self.lead and piece[0].isspace()):
             raise _Irregular
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        ids = self[piece] = self.encoder.plain(self.lead + piece)
-        return ids
+        return self.keep(piece, self.encoder.plain(self.lead + piece))
 
 
 class TextEncoder:
@@ -75,7 +85,10 @@ class TextEncoder:
 
     def plain(self, piece: str) -> bytes:
         if max(piece) < "ɐ" and "<|" not in piece:
-            return b"".join(map(self.words.__getitem__, self.find(piece)))
+            words = self.find(piece)
+            if len(words) == 1:  # the caller keeps the piece: no second entry
+                return self.words.ids(piece)
+            return b"".join(map(self.words.__getitem__, words))
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
@@ -99,6 +112,13 @@ def encoder(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
+def release() -> None:
+    """Free the worker's encoders: a step without texts need not hold their vocabulary and caches."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()  # an encoder and its caches refer to each other
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")

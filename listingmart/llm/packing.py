@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listingmart.llm.common import id_text, map_batches, query, stored, table
-from listingmart.llm.encoding import default_vocabulary, encoder
+from listingmart.llm.encoding import default_vocabulary, encoder, release
 
 CAPACITY, END_ID = 2048, 0
 #: Documents and gaps of one range partition.
@@ -76,6 +76,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
 def _sweep(batches):
     """One range partition, sorted by (size, kind): fill gaps upwards with the largest free documents."""
+    release()
     part = TaskContext.get().partitionId()
     free: dict[int, list[int]] = {}
     sizes, out = 0, []  # sizes: bit s is set while a document of size s is free
