@@ -14,8 +14,7 @@ large as the corpus and never leave the executors.
    block, whatever the frequency of the word.
 3. Train. Baum-Welch: every partition computes expected transition and emission
    counts of its training documents (in segments of ``SEGMENT`` tokens), which
-   are summed; the first iterations, from a spread start, use a share of about
-   ``START_DOCS`` documents to find the states, the last ones use all.
+   are summed; every iteration reads all training documents.
 4. Score. The scaled forward recursion runs over whole documents and gives the
    exact log likelihood of the class sequence; to it come the words' shares of
    their classes, smoothed so that a class keeps a share for unseen words.
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 from listingmart.llm.common import crc_mod, id_text, map_batches, partitions, query, scratch_path, table
 
 STATES, CLASSES, SEGMENT = 8, 1024, 64
-START_DOCS, START_ITERATIONS, ITERATIONS = 4000, 8, 2
+ITERATIONS = 10
 #: A block ends at so many distinct words or bytes of text.
 BLOCK_WORDS, BLOCK_BYTES = 500_000, 24_000_000
 SMOOTH = 0.1
@@ -326,11 +325,8 @@ def score_corpus(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: st
     training = texts.filter("NOT held_out")
     class_tokens = _vector(map_batches(training.select("b"), _class_counts, "k int, v long"), CLASSES)
     model = start_model(class_tokens)
-    n = training.count()
-    if n:
-        share = max(1, n // START_DOCS)
-        some = training.filter(F.pmod(F.xxhash64("b"), F.lit(share)) == 0) if share > 1 else training
-        model = baum_welch(training, baum_welch(some, model, START_ITERATIONS), ITERATIONS)
+    if class_tokens.any():  # every document has its end token
+        model = baum_welch(training, model, ITERATIONS)
     else:
         model = Model(model.start, model.move, np.full((STATES, CLASSES), 1 / CLASSES))
     none = F.lit(None)

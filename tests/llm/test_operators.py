@@ -276,6 +276,19 @@ def test_hmm_recursions():
     assert math.isclose(moves.sum(), sum(map(len, seqs)) - 5, rel_tol=1e-3)
 
 
+def test_hmm_iterations_read_all(docs, rows, monkeypatch):
+    seen, train = [], hmm.baum_welch
+
+    def counted(some, model, iterations):
+        seen.extend([some.count()] * iterations)
+        return train(some, model, iterations)
+
+    monkeypatch.setattr(hmm, "START_DOCS", 4, raising=False)
+    monkeypatch.setattr(hmm, "baum_welch", counted)
+    hmm.score_corpus(docs, F.lit(False)).count()
+    assert seen == [len(rows[0])] * 10
+
+
 def test_decontaminate(spark, docs, empty, rows):
     leak = rows[1]
     words = leak.split(" ")
