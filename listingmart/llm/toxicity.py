@@ -9,8 +9,8 @@ score through a logistic curve.
 The lexicon is learned: candidate stems (whole folded words and their first 4
 to 8 letters) are counted in toxic and clean labelled documents, and a stem
 enters with its log-odds weight if its likelihood ratio holds against the
-number of candidates tried. Near copies count once (an equal
-least hash of their long words).
+number of candidates tried. Copies (equal whole folded texts) count once, as
+the row of the least id, toxic if one of them is.
 Labels come from a bounded sample of the labelled rows (``LABEL_SAMPLE``, the
 smallest hashes of the id), which is also what bounds the broadcast of ids.
 
@@ -114,14 +114,6 @@ def _curve(model: ToxicityModel, total: float, dense: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, a + b * min(total, 30.0) + c * min(dense, 60.0)))))
 
 
-def _signature(words: set[str], text: str) -> int:
-    """Equal for most near copies: the least hash of the long words, where there are a few."""
-    long_words = [w for w in words if len(w) >= 8]
-    if len(long_words) < 3:
-        return xxhash.xxh3_64_intdigest(text)
-    return min(map(xxhash.xxh3_64_intdigest, long_words))
-
-
 def _candidates(batches):
     """Partial counts of the candidate stems: (stem, toxic documents, clean documents)."""
     toxic, clean = Counter(), Counter()
@@ -141,13 +133,18 @@ def _candidates(batches):
 
 
 def _signed(batches):
+    """Adds the 128-bit hash of the whole folded text."""
     for b in batches:
-        out = []
-        for text in b.column("text").to_pylist():
-            folded = fold(text)
-            out.append(_signature(set(_WORD.findall(folded)), folded) - (1 << 63))
+        out = [xxhash.xxh3_128_digest(fold(text)) for text in b.column("text").to_pylist()]
         yield pa.record_batch({"doc_id": b.column("doc_id"), "toxic": b.column("toxic"), "text": b.column("text"),
-                               "signature": pa.array(out, pa.int64())})
+                               "signature": pa.array(out, pa.binary())})
+
+
+def distinct_texts(known: DataFrame) -> DataFrame:
+    """One row (doc_id, toxic, text) of each folded text of ``known``: the least id, with the greatest label."""
+    signed = map_batches(known.select("doc_id", "toxic", "text"), _signed, "doc_id long, toxic int, text string, signature binary")
+    return (signed.groupBy("signature").agg(F.min(F.struct("doc_id", "text")).alias("least"), F.max("toxic").alias("toxic"))
+            .select("least.doc_id", "toxic", "least.text"))
 
 
 def _select(rows) -> dict[str, float]:
@@ -191,8 +188,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = LABEL_SAMPLE,
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # at most ``sample`` ids and flags: bounded by the parameter
     known = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-    signed = map_batches(known, _signed, "doc_id long, toxic int, text string, signature long")
-    rows = stored(signed.dropDuplicates(["signature"]).drop("signature"), "toxicity-sample")
+    rows = stored(distinct_texts(known), "toxicity-sample")
     counts = {r["toxic"] > 0: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = counts.get(True, 0), counts.get(False, 0)
     if not n_toxic or not n_clean:

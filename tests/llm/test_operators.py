@@ -167,6 +167,22 @@ def test_toxicity(spark, docs, empty, labels):
     assert toxicity.score_toxicity(empty, nothing).count() == 0 and toxicity.drop_toxic(docs, nothing).columns == docs.columns
 
 
+def test_toxicity_copies(spark):
+    rng = np.random.default_rng(8)
+    pool = ["".join(rng.choice(list("abcdefg"), 9)) for _ in range(200)]
+    shared = min(pool, key=xxhash.xxh3_64_intdigest)      # the least hash of every text's long words
+    texts = [(i, f"{shared} {'grumblor ' * (i % 4 == 0)}{_sentence(rng, 8, pool)}", int(i % 4 == 0)) for i in range(80)]
+    # an upper case copy with the other label; equal ids; look-alikes
+    texts += [(100, texts[1][1].upper(), 1), (101, texts[4][1], 0), (7, texts[4][1].replace("o", "0"), 0), (102, None, 0), (103, "", 0)]
+    train = spark.createDataFrame(texts, "doc_id long, text string, toxic int").repartition(7)
+    model = toxicity.fit_toxicity(train.filter("doc_id < 100 AND doc_id != 7").select("doc_id", "text"), train.select("doc_id", "toxic"))
+    assert any("grumblor".startswith(s) for s in model.stems)
+    got = {r["doc_id"]: (r["toxic"], r["text"]) for r in toxicity.distinct_texts(train).collect() if r["doc_id"] != 7}
+    assert got == {i: (1 if i == 1 else x, t) for i, t, x in texts[:80] if i != 7} | {102: (0, None)}
+    sevens = [r for r in toxicity.distinct_texts(train).collect() if r["doc_id"] == 7]
+    assert [r["toxic"] for r in sevens] == [0]
+
+
 def test_substrings(docs, empty, rows):
     first = {}
     for i, t, _ in rows[0]:
