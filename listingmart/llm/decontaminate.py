@@ -1,18 +1,25 @@
 """Operator 8: benchmark decontamination by q-gram lemma filtering.
 
 Texts are compared as lower-case letters and digits with single spaces. Each
-benchmark item is cut into overlapping windows of ``WINDOW`` characters; an
-occurrence of a window with at most k edits shares at least m - q + 1 - k*q
-of its q-grams, all within a band of k diagonals. Shared q-grams are counted in
-bands of two steps that overlap by one step (no less than k), so one band holds
-them all; bands that reach the bound are verified by a banded alignment, and a
-document is contaminated by an item if one of its windows occurs.
+benchmark item is cut into overlapping windows of ``WINDOW`` characters, one
+every ``STRIDE``, so that every fragment of ``WINDOW + STRIDE - 1`` characters
+holds one; an occurrence of a window with at most k edits shares at least
+m - q + 1 - k*q of its q-grams, all within a band of k diagonals. Shared q-grams
+are counted in bands of two steps that overlap by one step (no less than k), so
+one band holds them all; bands that reach the bound are verified by a banded
+alignment, and a document is contaminated by an item if one of its windows occurs.
+
+An item of fewer than ``WHOLE`` characters may have a place that all its windows
+share. It is tested as a whole, too, with the edits of one replaced word (w: a
+fifth of the item, ``WORD`` at most) and up to ``APART`` elsewhere: the word
+breaks w + q - 1 neighbouring q-grams, each edit elsewhere q.
 
 The benchmark is a stated query set: it is taken in blocks of bounded size
 (``BLOCK_CHARS``), each of which passes over all documents.
 
 Defined results: NULL or empty text: clean. Items with fewer than ``LEAST``
-compared characters are no evidence and match nothing; NULL items neither.
+compared characters match exactly, between word boundaries; items without a
+letter or digit and NULL items match nothing.
 Equal items count each by its own id. Repeated rows are judged alike. Empty
 benchmark: every document is clean. Very long texts are searched in overlapping
 pieces, without loss.
@@ -29,14 +36,16 @@ from pyspark.sql import functions as F
 
 from listingmart.llm.common import id_text, map_batches, query, table
 
-Q, WINDOW, STRIDE, ERROR_RATE, LEAST = 12, 80, 40, 0.05, 32
+Q, WINDOW, STRIDE, ERROR_RATE, LEAST = 12, 64, 16, 0.05, 32
+#: Below ``WHOLE`` compared characters an item is a pattern itself, with ``WORD`` edits in a row and ``APART`` others.
+WHOLE, WORD, APART = 2 * WINDOW + STRIDE + 16, 16, 2
 #: Diagonals a band advances; at least the largest edit budget.
-STEP = 8
+STEP = 20
 BLOCK_CHARS = 4_000_000
 #: Characters searched at once, and what neighbouring pieces of a long text share.
 PIECE, OVERLAP = 1_000_000, 256
-#: Zeros between texts searched together: more than a window and its bands.
-GAP = WINDOW + 6 * STEP
+#: Zeros between texts searched together: more than a pattern and its bands.
+GAP = WHOLE + 6 * STEP
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SIEVE_BITS = 20
 
@@ -80,17 +89,30 @@ def grams(codes: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Windows of one block of benchmark items and the postings of their q-grams."""
+    """Windows of one block of benchmark items, the postings of their q-grams, and the short items."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.windows: list[tuple[int, np.ndarray]] = []
+        whole: list[tuple[int, np.ndarray]] = []
+        self.short: dict[str, list[int]] = {}
         for item, codes in items:
+            if len(codes) < LEAST:
+                self.short.setdefault(_plain(codes), []).append(item)
+                continue
+            if len(codes) < WHOLE:
+                whole.append((item, codes))
             last = max(0, len(codes) - WINDOW)
             for start in sorted({*range(0, last, STRIDE), last}):
                 self.windows.append((item, codes[start:start + WINDOW]))
         sizes = np.array([len(w) for _, w in self.windows], np.int64)
         self.budget = np.minimum((sizes * ERROR_RATE).astype(np.int64), np.maximum(0, (sizes - Q) // Q))
         self.bound = sizes - Q + 1 - self.budget * Q
+        sizes = np.array([len(w) for _, w in whole], np.int64)
+        word = np.minimum(sizes // 5, WORD)
+        apart = np.clip((sizes - 2 * Q + 2 - word - Q) // Q, 0, APART)
+        self.windows += whole
+        self.budget = np.concatenate([self.budget, word + apart])
+        self.bound = np.concatenate([self.bound, sizes - 2 * Q + 2 - word - apart * Q])
         assert STEP >= self.budget.max(initial=0)
         h = [grams(w) for _, w in self.windows]
         key = np.concatenate(h) if h else np.zeros(0, np.uint64)
@@ -116,9 +138,9 @@ class Index:
         window, diagonal = self.window[where], np.repeat(at, n) - self.place[where]
         band = diagonal // STEP
         # each shared q-gram counts in the two bands that hold its diagonal; numbers are shifted to be positive
-        both = np.concatenate([band, band - 1]) + WINDOW
-        code, count = np.unique(np.concatenate([window, window]) * (len(codes) + 4 * WINDOW) + both, return_counts=True)
-        window, band = code // (len(codes) + 4 * WINDOW), code % (len(codes) + 4 * WINDOW) - WINDOW
+        both = np.concatenate([band, band - 1]) + WHOLE
+        code, count = np.unique(np.concatenate([window, window]) * (len(codes) + 4 * WHOLE) + both, return_counts=True)
+        window, band = code // (len(codes) + 4 * WHOLE), code % (len(codes) + 4 * WHOLE) - WHOLE
         full = count >= self.bound[window]
         return window[full], band[full] * STEP
 
@@ -132,7 +154,7 @@ class Index:
         for i, w in enumerate(window):
             pattern[i, :len(self.windows[w][1])] = self.windows[w][1]
         length = np.array([len(self.windows[w][1]) for w in window])
-        pad = size + width + WINDOW
+        pad = size + width + WHOLE
         text = np.concatenate([np.full(pad, 2, np.uint32), codes, np.full(pad, 2, np.uint32)])
         base, ramp = diagonal - k + pad, np.arange(width)
         row, best = np.zeros((len(window), width), np.int64), np.full(len(window), size, np.int64)
@@ -146,10 +168,25 @@ class Index:
         return best <= self.budget[window]
 
 
+def _plain(codes: np.ndarray) -> str:
+    """Compared characters as text between two spaces: an occurrence begins and ends at word boundaries."""
+    return f" {codes.astype('<u4').tobytes().decode('utf-32-le', 'surrogatepass')} "
+
+
+def _short_automaton(index: Index):
+    import ahocorasick
+    auto = ahocorasick.Automaton()
+    for text, ids in index.short.items():
+        auto.add_word(text, ids)
+    auto.make_automaton()
+    return auto
+
+
 def matches(index: Index, texts: list[str | None]) -> list[set[int]]:
     """The items that occur in each text. Texts are searched together, ``GAP`` zeros apart, so that no band
     reaches from one into another; very long ones in overlapping pieces."""
     items: list[set[int]] = [set() for _ in texts]
+    short = _short_automaton(index) if index.short else None
     group: list[tuple[int, np.ndarray]] = []
 
     def search():
@@ -169,6 +206,9 @@ def matches(index: Index, texts: list[str | None]) -> list[set[int]]:
     size = 0
     for i, text in enumerate(texts):
         codes = normalise(text)
+        if short:
+            for _, ids in short.iter(_plain(codes)):
+                items[i].update(ids)
         for s in range(0, max(1, len(codes) - OVERLAP), PIECE):
             group.append((i, codes[s:s + PIECE + OVERLAP]))
             size += len(group[-1][1])
@@ -206,7 +246,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
     for r in rows.filter("item IS NOT NULL AND text IS NOT NULL").toLocalIterator():
         codes = normalise(r["text"])
-        if len(codes) < LEAST:
+        if not len(codes) or (codes == 32).all():
             continue
         if items and size + len(codes) > BLOCK_CHARS:
             yield Index(items)

@@ -331,6 +331,33 @@ def test_banded_alignment_equals_full():
         assert bool(decontaminate.matches(index, [text])[0]) == expect
 
 
+def test_decontaminate_parts_of_items():
+    rng = np.random.default_rng(9)
+
+    def prose(n):
+        out = ""
+        while len(out) < n:
+            out += "".join(rng.choice(list("abcdefghijklm"), int(rng.integers(3, 11)))) + " "
+        return out[:n - 1] + "z"
+
+    items = [(i, prose(n)) for i, n in enumerate(list(range(50, 400, 7)) * 2)]
+    index = decontaminate.Index([(i, decontaminate.normalise(t)) for i, t in items])
+    replaced, fragments, apart = [], [], []
+    for _, t in items:
+        words = t.split(" ")
+        words[len(words) // 2] = "q" * int(rng.integers(5, 11))
+        replaced.append(f"{prose(200)} {' '.join(words)} {prose(200)}")
+        at = int(rng.integers(0, max(1, len(t) - 80)))
+        fragments.append(f"{prose(200)} {t[at:at + 80]} {prose(200)}")
+        apart.append(f"{prose(200)} {t[:30]} {prose(200)}")
+    assert decontaminate.matches(index, replaced) == [{i} for i, _ in items]
+    assert decontaminate.matches(index, fragments) == [{i} for i, _ in items]
+    assert decontaminate.matches(index, apart + [prose(900)]) == [set()] * (len(items) + 1)
+    short = decontaminate.Index([(1, decontaminate.normalise("Who is it?")), (2, decontaminate.normalise("42"))])
+    assert decontaminate.matches(short, ["so: who is it", "who is item", None, "x 42, y", "142 who", "Who is it 42"]) == [
+        {1}, set(), set(), {2}, set(), {1, 2}]
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://net/", "http://NET", "https://a.b.net/x?q#f", "http://example.net/en/1", "http://www.example.net/en",
             "http://xexample.net/en/", "http://example.com/de/", "http://a.example.com/de/x", "http://org/fr/", "http://q.org/fr/x",
