@@ -223,6 +223,25 @@ def test_divergence(docs, empty, rows):
     assert np.allclose(divergence.js_distance(p, q), [math.sqrt(0.5 * math.log2(4 / 3) + 0.25 * math.log2(2 / 3) + 0.25), 0])
 
 
+def test_divergence_rare_languages(spark):
+    rng = np.random.default_rng(12)
+    words = {g: ["".join(rng.choice(list(letters), int(rng.integers(3, 9)))) for _ in range(60)]
+             for g, letters in (("en", "abcdefghij"), ("el", "αβγδεζηθικ"), ("ru", "бгджзилпфц"))}
+    texts = [("en", _sentence(rng, 25, words["en"])) for _ in range(3000)]
+    texts += [("el", _sentence(rng, 100, words["el"])) for _ in range(24)] + [("ru", _sentence(rng, 100, words["ru"])) for _ in range(5)]
+    junk = [(g, " ".join(map(str, rng.integers(1000, 1000000, 100)))) for g in ("en", "el", None)]
+    table = spark.createDataFrame([(i, g, t) for i, (g, t) in enumerate(texts + junk)], "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r for r in divergence.quality_rules(table.repartition(3)).collect()}
+    assert all(got[i]["kept"] for i in range(len(texts)))
+    assert not any(got[i]["kept"] for i in range(len(texts), len(texts + junk)))
+    # the sparse distance is the dense one
+    h, refs = rng.integers(0, 3, (5, 9)), rng.integers(0, 4, (3, 9)) + 0.0
+    h[:, 0] += 1
+    refs[:, 1] += 1
+    want = np.min([divergence.js_distance(h / h.sum(axis=1, keepdims=True), r / r.sum()) for r in refs], axis=0)
+    assert np.allclose(divergence._nearest(5, *np.nonzero(h), h[np.nonzero(h)], refs), want)
+
+
 def test_packing(spark, docs, empty, rows):
     got = packing.pack(packing.pieces(docs, capacity=256), capacity=256).toPandas()
     want = Counter((i, len(_ids(t, 0))) for i, t, _ in rows[0])
