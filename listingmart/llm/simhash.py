@@ -207,13 +207,13 @@ def _long(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _keyed(rows: DataFrame, masks: list[int], at=None) -> DataFrame:
-    """One row per fingerprint and mask: (mask number, value, fp); ``at``: the masks of a row start there."""
+def _keyed(rows: DataFrame, masks: list[int], at=None, distance: int = DISTANCE) -> DataFrame:
+    """One row per fingerprint and mask: (mask number, value, fp); ``at``: the ``distance`` + 1 masks of a row start there."""
     literal = F.array(*[F.lit(_long(m)) for m in masks])
     if at is None:
         return rows.select("fp", F.posexplode(literal).alias("mask", "bits")).select(
             "mask", F.col("bits").bitwiseAND(F.col("fp")).alias("value"), "fp")
-    return (rows.select("fp", F.explode(F.sequence(at, at + DISTANCE)).alias("mask"))
+    return (rows.select("fp", F.explode(F.sequence(at, at + distance)).alias("mask"))
             .select("mask", F.element_at(literal, F.col("mask") + 1).bitwiseAND(F.col("fp")).alias("value"), "fp"))
 
 
@@ -236,7 +236,7 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE, bucket: int = BU
         if large.isEmpty():
             return edges
         masks = [m for parent in masks for m in refined(parent, distance)]
-        keyed = _keyed(large.select("mask", "fp"), masks, F.col("mask") * (distance + 1))
+        keyed = _keyed(large.select("mask", "fp"), masks, F.col("mask") * (distance + 1), distance)
 
 
 def classes(hashed: DataFrame, distance: int = DISTANCE) -> DataFrame:

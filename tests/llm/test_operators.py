@@ -140,6 +140,24 @@ def test_simhash_dense_groups(spark, bucket):
         assert len(set(got.values())) == len(set(label))
 
 
+def test_simhash_refines_by_its_distance(spark, monkeypatch):
+    """Fingerprints that agree on one part of the refined mask only, each part in turn, meet at distance 3."""
+    first = (1 << 16) - 1
+    parts = simhash.refined(first, 3)
+    assert len(parts) == 4
+    monkeypatch.setattr(simhash, "probe_masks", lambda *_: [first])
+    # pair k differs in one bit outside ``first`` and in one of each refined part but the k-th
+    free = [p & ~first for p in parts]
+    pairs = []
+    for k in range(4):
+        a = (k + 1) * 0x0123456700000000 & ~first & ((1 << 63) - 1)
+        pairs.append((a, a ^ sum((f & -f) for j, f in enumerate(free) if j != k)))
+    df = spark.createDataFrame([(v - (1 << 64) if v >= 1 << 63 else v,) for p in pairs for v in p], "fp long")
+    got = {frozenset((r["a"], r["b"])) for r in simhash.link_fingerprints(df, distance=3, bucket=4).collect()}
+    want = {frozenset(v - (1 << 64) if v >= 1 << 63 else v for v in p) for p in pairs}
+    assert want <= got
+
+
 def test_allot_and_refine():
     assert sum(simhash.allot([[0, 5, 50, 500], [0, 1, 9, 90], [0, 2, 4, 40]])) == 0
     parts = simhash.refined((1 << 21) - 1)
