@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingmart.llm.common import id_text, map_batches, query, table
+from listingmart.llm.encoding import _byte_alphabet
 
 #: Tokens beyond which ``over_limit`` is set.
 LIMIT = 512
-#: Pieces whose counts a worker remembers at most, and their longest.
+#: Pieces (and pre-tokens) whose counts a worker remembers at most, and their longest.
 MEMO_PIECES, MEMO_CHARS = 400_000, 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"
@@ -47,6 +48,8 @@ class _Json:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -65,6 +68,8 @@ class _Json:
                  and set(rules) <= {"NFC", "Lowercase", "Replace"})
         plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
         self.cuts, self.lead = (leads or drops) and plain and spec["model"]["type"] == "BPE", " " if leads else ""
+        self.find = regex.compile(public_tokenizers.PATTERN).findall if leads else None
+        self.alphabet = _byte_alphabet()
 
     def whole(self):
         """Vocabulary strings (as pre-tokens) that the merges turn into exactly one token."""
@@ -74,14 +79,18 @@ class _Json:
     def library(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def piece(self, text: str, whole) -> int:
-        if any(s in text for s in self.special):
-            return self.library(text)
+    def split(self, text: str) -> list[str]:
+        """The library's pre-tokens of a piece, as the vocabulary spells them."""
         t = self.tokenizer
         if t.normalizer is not None:
             text = t.normalizer.normalize_str(text)
-        pre = [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)]
-        return sum(1 if p in whole else len(t.model.tokenize(p)) for p in pre)
+        return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)]
+
+    def spelled(self, pre_token: str) -> str:
+        return pre_token.encode().decode("latin-1").translate(self.alphabet)
+
+    def merged(self, spelled: str) -> int:
+        return len(self.tokenizer.model.tokenize(spelled))
 
 
 class _Model:
@@ -95,6 +104,7 @@ class _Model:
         # a space between characters that survive unchanged, and no token that runs over it
         same = p.normalize("a  b ") == f"{_MARK}a{_MARK}{_MARK}b{_MARK}"
         self.cuts, self.lead = same and not any(_MARK in s.lstrip(_MARK) for s in self.strings), ""
+        self.special, self.find = [], None
 
     def whole(self):
         return {s[1:] for s in self.strings if s[0] == _MARK and len(s) > 1 and _MARK not in s[1:] and self.library(s[1:]) == 1}
@@ -102,8 +112,10 @@ class _Model:
     def library(self, text: str) -> int:
         return len(self.processor.encode(text))
 
-    def piece(self, text: str, whole) -> int:
-        return 1 if text in whole else self.library(text)
+    def split(self, text: str) -> list[str]:
+        return [text]
+
+    merged = library
 
 
 @cache
@@ -116,39 +128,77 @@ def prove_whole(path: str) -> frozenset[str]:
     return frozenset(_kind(path).whole())
 
 
+class _Memo(dict):
+    """At most ``MEMO_PIECES`` counts; frequent strings were met first, so the younger half goes."""
+
+    def keep(self, key: str, n: int) -> int:
+        if len(key) <= MEMO_CHARS:
+            if len(self) >= MEMO_PIECES:
+                for young in list(self)[MEMO_PIECES // 2:]:
+                    del self[young]
+            self[key] = n
+        return n
+
+
+class _Merged(_Memo):
+    """Tokens of a pre-token, given as it stands in the text, that is not whole."""
+
+    def __init__(self, kind, whole):
+        super().__init__()
+        self.kind, self.whole = kind, whole
+
+    def __missing__(self, pre_token: str) -> int:
+        spelled = self.kind.spelled(pre_token)
+        return self.keep(pre_token, 1 if spelled in self.whole else self.kind.merged(spelled))
+
+
+class _Irregular(Exception):
+    """White space at an end of a piece: its neighbours decide its tokens."""
+
+
+class _Pieces(_Memo):
+    """Tokens of a piece, counted with ``lead`` before it."""
+
+    def __init__(self, kind, lead: str, merged: _Merged):
+        super().__init__()
+        self.kind, self.lead, self.merged = kind, lead, merged
+
+    def count(self, piece: str) -> int:
+        if not piece:
+            return 0
+        kind, text = self.kind, self.lead + piece
+        if kind.find and (text.isascii() or max(text) < "ɐ"):  # Latin letters: every release of Unicode classes them alike
+            return sum(map(self.merged.__getitem__, kind.find(text)))
+        return sum([1 if p in self.merged.whole else kind.merged(p) for p in kind.split(text)])
+
+    def __missing__(self, piece: str) -> int:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Irregular
+        return self.keep(piece, self.count(piece))
+
+
 class TokenCounter:
     """``count(text)``: tokens of one whole text."""
 
     def __init__(self, path: str, whole: frozenset[str]):
-        self.kind, self.whole, self.memo = _kind(path), whole, ({}, {})
-
-    def _piece(self, piece: str, rest: bool) -> int:
-        memo = self.memo[rest]
-        n = memo.get(piece)
-        if n is None:
-            n = self.kind.piece(self.kind.lead + piece if rest else piece, self.whole)
-            if 0 < len(piece) <= MEMO_CHARS and not (piece[0].isspace() or piece[-1].isspace()):
-                if len(memo) >= MEMO_PIECES:  # frequent pieces were met first: the younger half goes
-                    for young in list(memo)[MEMO_PIECES // 2:]:
-                        del memo[young]
-                memo[piece] = n
-        return n
+        self.kind = _kind(path)
+        merged = _Merged(self.kind, whole)
+        self.first, self.rest = _Pieces(self.kind, "", merged), _Pieces(self.kind, self.kind.lead, merged)
+
+    def _cut(self, text: str) -> int:
+        head, *rest = text.split(" ")
+        try:
+            return self.first[head] + sum(map(self.rest.__getitem__, rest))
+        except _Irregular:
+            head, *rest = _CUT.split(text)
+            return self.first.count(head) + sum(map(self.rest.count, rest))
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if not self.kind.cuts or _MARK in text:
+        if not self.kind.cuts or _MARK in text or any(s in text for s in self.kind.special):
             return self.kind.library(text)
-        head, *rest = text.split(" ")
-        known = list(map(self.memo[1].get, rest))  # only pieces without white space at their ends are remembered
-        if None in known:
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in (head, *rest)):
-                head, *rest = _CUT.split(text)
-            known = [self._piece(p, True) for p in rest]
-        elif not head or head[-1].isspace():
-            head, *rest = _CUT.split(text)
-            known = [self._piece(p, True) for p in rest]
-        return self._piece(head, False) + sum(known)
+        return self._cut(text)
 
 
 def _counted(path: str, whole):
