@@ -8,14 +8,15 @@ pieces, so neighbours in a piece, and only they, have consecutive places.
 Relations are persisted to the shared folder. For each length:
 
 1. group-count: the counts of a segment's phrases are summed over all segments;
-2. semi-join: phrases below the least count lose their occurrences. Segments send a hash
-   of every distinct phrase with its count, and get back which of them reach the least count
-   (equal hashes only let a phrase through, its exact count decides in the end);
+2. semi-join: phrases below the least count lose their occurrences. Segments send the sorted
+   hashes of their distinct phrases with their counts, dealt to buckets of hashes, and get back which of
+   them reach the least count (equal hashes only let a phrase through, its exact count decides in the end);
 3. extend: the merge-join of the remaining occurrences with themselves at
    consecutive places gives the relation of the next length.
 
-A key has at most one row for each segment, however frequent it is, and no piece
-leaves its segment, so the merge-join needs no shuffle of occurrences by key.
+A phrase has at most one entry for each segment, however frequent it is, and no piece
+leaves its segment, so the merge-join needs no shuffle of occurrences by phrase. The number of
+buckets follows the number of words, so a bucket's size does not grow with the corpus.
 Counts, products and scores are exact (decimals of 38 digits).
 
 Defined results: NULL or empty text: no words. NULL lang: ``und``. Repeated rows
@@ -37,25 +38,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from listingmart.llm.common import map_batches, query, stored, table
+from listingmart.llm.common import map_batches, partitions, query, stored, table
 
 #: Words of all languages that a task holds before it closes its largest segment.
 OPEN_WORDS = 1 << 21
 #: The contract: longest phrase, least count, share in percent at which a longer phrase hides a shorter, rows of a language.
 LONGEST, LEAST, HIDES, TOP = 3, 10, 50, 2000
 
-#: ``codes`` and ``places`` are little-endian 32-bit integers, places as differences.
+#: Words of the corpus for one bucket of hashes: a bucket holds at most so many entries on average, and mostly far fewer.
+BUCKET_WORDS = 1 << 21
+#: Groups that rank their first phrases before a language's are ranked.
+RANK_GROUPS = 64
+
+#: ``codes`` and ``places`` are packed integers, places as differences.
 RELATION = "seg long, lang string, phrases array<string>, counts array<int>, codes binary, places binary"
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\xff" * 10)
 _FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return a.astype("<u4").tobytes()
+    """Integers >= 0, compressed byte by byte of their width (first all lowest bytes, ...)."""
+    width = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+    planes = a.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
+    return len(a).to_bytes(8, "little") + bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    n, width = int.from_bytes(packed[:8], "little"), packed[8]
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        planes = pa.decompress(packed[9:], n * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.view("<i8").reshape(n)
 
 
 def _occurrences(codes: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(codes, "<u4").astype(np.int64), np.cumsum(np.frombuffer(places, "<u4").astype(np.int64))
+    return _unpack(codes), np.cumsum(_unpack(places))
 
 
 def _relation_rows(rows) -> pa.RecordBatch:
@@ -128,59 +146,111 @@ def _extended(codes: np.ndarray, places: np.ndarray, keep: np.ndarray):
     return groups // n, groups % n, inverse, places[at], counts
 
 
-def _kept(n: int, survivors) -> np.ndarray:
-    keep = np.zeros(n, bool)
-    keep[survivors] = True
+_SENT = "bucket int, seg long, hashes binary, counts binary"
+_HASH_BITS = np.uint64(40)
+
+
+def _dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the items by (bucket, hash), and with it their buckets and 40-bit hashes."""
+    bucket = ((hashes >> _HASH_BITS) % np.uint64(buckets)).astype(np.int64)
+    rest = (hashes & ((np.uint64(1) << _HASH_BITS) - np.uint64(1))).astype(np.int64)
+    order = np.lexsort((rest, bucket))
+    return order, bucket[order], rest[order]
+
+
+def _sent(seg: int, hashes: np.ndarray, counts: np.ndarray, buckets: int, least: int):
+    """A segment's entries, a row for each bucket: sorted hashes, and counts up to ``least``."""
+    order, bucket, rest = _dealt(hashes, buckets)
+    counts = np.minimum(counts[order], least)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else []
+    rows = [(int(bucket[a]), _pack(np.diff(rest[a:b], prepend=0)), _pack(counts[a:b])) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    cols = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.record_batch({"bucket": pa.array(cols[0], pa.int32()), "seg": pa.array(np.full(len(rows), seg, np.int64)),
+                            "hashes": pa.array(cols[1], pa.binary()), "counts": pa.array(cols[2], pa.binary())})
+
+
+def _send_words(buckets: int, least: int):
+    """The distinct words of every segment."""
+    def run(batches):
+        for b in batches:
+            for seg, lang, phrases, counts in zip(*(b.column(c).to_pylist() for c in ("seg", "lang", "phrases", "counts")), strict=True):
+                yield _sent(seg, _phrase_hashes(lang, phrases), np.array(counts), buckets, least)
+    return run
+
+
+def _reaching(least: int):
+    """Of each bucket's entries those whose hash reaches ``least`` in all segments: (seg, bucket, ranks in that row)."""
+    def found(bucket, held):
+        segs, hashes, counts = zip(*held, strict=True)
+        sizes = [len(h) for h in hashes]
+        _, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        reach = np.bincount(inverse, np.concatenate(counts))[inverse] >= least
+        ends = np.cumsum(sizes)
+        ranks = [np.flatnonzero(reach[e - n:e]) for e, n in zip(ends, sizes, strict=True)]
+        kept = [i for i, r in enumerate(ranks) if len(r)]
+        return pa.record_batch({"seg": pa.array([segs[i] for i in kept], pa.int64()), "bucket": pa.array([bucket] * len(kept), pa.int32()),
+                                "ranks": pa.array([_pack(np.diff(ranks[i], prepend=0)) for i in kept], pa.binary())})
+
+    def run(batches):
+        now, held = None, []
+        for b in batches:
+            for bucket, seg, hashes, counts in zip(*(b.column(c).to_pylist() for c in ("bucket", "seg", "hashes", "counts")), strict=True):
+                if bucket != now and held:
+                    yield found(now, held)
+                    held = []
+                now = bucket
+                held.append((seg, np.cumsum(_unpack(hashes)), _unpack(counts)))
+        if held:
+            yield found(now, held)
+    return run
+
+
+def _kept(hashes: np.ndarray, buckets: int, survivors) -> np.ndarray:
+    """Which items survive: ``survivors`` holds (bucket, ranks) for each bucket that keeps some."""
+    order, bucket, _ = _dealt(hashes, buckets)
+    keep = np.zeros(len(hashes), bool)
+    for s in survivors:
+        keep[order[np.searchsorted(bucket, s["bucket"]) + np.cumsum(_unpack(s["ranks"]))]] = True
     return keep
 
 
-_SENT = "hash long, seg long, item int, n int"
-
-
-def _sent(seg: int, hashes: np.ndarray, counts: np.ndarray):
-    for i in range(0, len(hashes), 100_000):
-        h = hashes[i:i + 100_000]
-        yield pa.record_batch({"hash": pa.array(h.view(np.int64)), "seg": pa.array(np.full(len(h), seg)),
-                               "item": pa.array(np.arange(i, i + len(h), dtype=np.int32)),
-                               "n": pa.array(counts[i:i + 100_000].astype(np.int32))})
+def _segments_of(batch, buckets: int):
+    """Each segment's row: seg, lang, phrases, their hashes, codes, places, which phrases survive, the row's ``longer``."""
+    cols = {c: batch.column(c) for c in batch.schema.names}
+    for i in range(batch.num_rows):
+        row = {c: v[i].as_py() for c, v in cols.items()}
+        h = _phrase_hashes(row["lang"], row["phrases"])
+        keep = _kept(h, buckets, row["survivors"]) if "survivors" in row else np.ones(len(h), bool)
+        yield row["seg"], row["lang"], row["phrases"], h, *_occurrences(row["codes"], row["places"]), keep, row.get("longer")
 
 
-def _send_words(batches):
-    """(hash, seg, item, n): the distinct words of every segment."""
-    for b in batches:
-        for seg, lang, phrases, counts in zip(*(b.column(c).to_pylist() for c in ("seg", "lang", "phrases", "counts")), strict=True):
-            yield from _sent(seg, _phrase_hashes(lang, phrases), np.array(counts))
-
+def _pair_hashes(h: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _mixed(h[first] * _FACTORS[0] + h[second] * _FACTORS[1])
 
-def _segments_of(b):
-    """Each segment's row: seg, lang, phrases, codes, places, survivors (arrays of 32-bit integers)."""
-    survivors = b.column("survivors")
-    for i in range(b.num_rows):
-        codes, places = _occurrences(b.column("codes")[i].as_py(), b.column("places")[i].as_py())
-        phrases = b.column("phrases")[i].as_py()
-        yield b.column("seg")[i].as_py(), b.column("lang")[i].as_py(), phrases, codes, places, _kept(len(phrases), survivors[i].values.to_numpy()), b, i
 
+def _send_pairs(buckets: int, least: int):
+    """The distinct phrases, one word longer, of every segment."""
+    def run(batches):
+        for b in batches:
+            for seg, _, _, h, codes, places, keep, _ in _segments_of(b, buckets):
+                first, second, _, _, counts = _extended(codes, places, keep)
+                yield _sent(seg, _pair_hashes(h, first, second), counts, buckets, least)
+    return run
 
-def _send_pairs(batches):
-    """(hash, seg, item, n): the distinct phrases, one word longer, of every segment."""
-    for b in batches:
-        for seg, lang, phrases, codes, places, keep, *_ in _segments_of(b):
-            first, second, _, _, counts = _extended(codes, places, keep)
-            h = _phrase_hashes(lang, phrases)
-            yield from _sent(seg, _mixed(h[first] * _FACTORS[0] + h[second] * _FACTORS[1]), counts)
 
-
-def _extend(batches):
-    """The relation of phrases one word longer: only those that reached the least count (``longer``)."""
-    for b in batches:
-        for seg, lang, phrases, codes, places, keep, batch, i in _segments_of(b):
-            first, second, inverse, at, counts = _extended(codes, places, keep)
-            reached = np.sort(batch.column("longer")[i].values.to_numpy())
-            number = np.full(len(first), -1, np.int64)
-            number[reached] = np.arange(len(reached))
-            sel = number[inverse] >= 0
-            texts = [f"{phrases[p]} {phrases[q].rpartition(' ')[2]}" for p, q in zip(first[reached].tolist(), second[reached].tolist(), strict=True)]
-            yield _relation_rows([(seg, lang, texts, counts[reached], _pack(number[inverse[sel]]), _pack(np.diff(at[sel], prepend=0)))])
+def _extend(buckets: int):
+    """The relation of phrases one word longer: only those that reach the least count (``longer``)."""
+    def run(batches):
+        for b in batches:
+            for seg, lang, phrases, h, codes, places, keep, longer in _segments_of(b, buckets):
+                first, second, inverse, at, counts = _extended(codes, places, keep)
+                reached = np.flatnonzero(_kept(_pair_hashes(h, first, second), buckets, longer))
+                number = np.full(len(first), -1, np.int64)
+                number[reached] = np.arange(len(reached))
+                sel = number[inverse] >= 0
+                texts = [f"{phrases[p]} {phrases[q].rpartition(' ')[2]}" for p, q in zip(first[reached].tolist(), second[reached].tolist(), strict=True)]
+                yield _relation_rows([(seg, lang, texts, counts[reached], _pack(number[inverse[sel]]), _pack(np.diff(at[sel], prepend=0)))])
+    return run
 
 
 def occurrences(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -189,10 +259,11 @@ def occurrences(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     return map_batches(rows, _segments, RELATION)
 
 
-def reaching(sent: DataFrame, least: int, name: str) -> DataFrame:
-    """(seg, name): per segment the items whose hash is counted ``least`` times or more in all segments."""
-    total = F.sum("n").over(W.partitionBy("hash"))  # at most one row of a segment for each hash
-    return (sent.withColumn("total", total).filter(F.col("total") >= least).groupBy("seg").agg(F.collect_list("item").alias(name)))
+def reaching(sent: DataFrame, buckets: int, least: int, name: str) -> DataFrame:
+    """(seg, name): per segment the entries whose hash is counted ``least`` times or more in all segments."""
+    found = map_batches(sent.repartitionById(buckets, "bucket").sortWithinPartitions("bucket"), _reaching(least),
+                        "seg long, bucket int, ranks binary")
+    return found.groupBy("seg").agg(F.collect_list(F.struct("bucket", "ranks")).alias(name))  # a segment's own entries at most
 
 
 def group_counts(relation: DataFrame, least: int = 1) -> DataFrame:
@@ -205,14 +276,16 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, lang_col:
     """For each length from 1 on: (lang, phrase, f); of more than one word only those with f >= ``least``."""
     relation = stored(occurrences(docs, lang_col, text_col), "setm-1")
     found = [stored(group_counts(relation), "setm-counts-1")]
-    words = map_batches(relation.select("seg", "lang", "phrases", "counts"), _send_words, _SENT)
+    words = found[0].agg(F.sum("f")).first()[0] or 0
+    buckets = max(partitions(docs.sparkSession), -(-words // BUCKET_WORDS))
+    sent = map_batches(relation.select("seg", "lang", "phrases", "counts"), _send_words(buckets, least), _SENT)
     # the side with the survivors is the smaller: hashed, so that the segments need no sort
-    met = relation.drop("counts").join(stored(reaching(words, least, "survivors"), "setm-survivors").hint("shuffle_hash"), "seg")
+    met = relation.drop("counts").join(stored(reaching(sent, buckets, least, "survivors"), "setm-survivors").hint("shuffle_hash"), "seg")
     for k in range(2, longest + 1):
-        longer = reaching(map_batches(met, _send_pairs, _SENT), least, "longer")
-        relation = stored(map_batches(met.join(longer.hint("shuffle_hash"), "seg"), _extend, RELATION), f"setm-{k}")
+        longer = reaching(map_batches(met, _send_pairs(buckets, least), _SENT), buckets, least, "longer")
+        relation = stored(map_batches(met.join(longer.hint("shuffle_hash"), "seg"), _extend(buckets), RELATION), f"setm-{k}")
         found.append(stored(group_counts(relation, least), f"setm-counts-{k}"))
-        met = relation.drop("counts").withColumn("survivors", F.sequence(F.lit(0), F.size("phrases") - 1))
+        met = relation.drop("counts")  # holds survivors only
     return found
 
 
@@ -248,8 +321,10 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, hi
         known = known.unionByName(c.withColumn("words", F.lit(k)))
     candidates = known.filter("words > 1").withColumnRenamed("f", "a")
     scored = _scored(known.drop("words"), _visible(candidates, hides))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    by = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    group = F.pmod(F.xxhash64("phrase"), F.lit(RANK_GROUPS))
+    firsts = scored.withColumn("rank", F.row_number().over(W.partitionBy("lang", group).orderBy(*by))).filter(F.col("rank") <= top)
+    ranked = firsts.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*by))).filter(F.col("rank") <= top)
     total = counts[0].groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
