@@ -50,8 +50,8 @@ BUCKET_WORDS = 1 << 21
 #: Groups that rank their first phrases before a language's are ranked.
 RANK_GROUPS = 64
 
-#: ``codes`` and ``places`` are packed integers, places as differences.
-RELATION = "seg long, lang string, phrases array<string>, counts array<int>, codes binary, places binary"
+#: ``phrases`` are packed texts, the others packed integers, ``places`` as differences.
+RELATION = "seg long, lang string, phrases binary, counts binary, codes binary, places binary"
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\xff" * 10)
 _FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,6 +72,16 @@ def _unpack(packed: bytes) -> np.ndarray:
     return out.view("<i8").reshape(n)
 
 
+def _pack_texts(texts: list[str]) -> bytes:
+    joined = "\n".join(texts).encode()  # a line end ends a piece, so it stands in no phrase
+    return len(joined).to_bytes(8, "little") + pa.compress(joined, codec="zstd", asbytes=True)
+
+
+def _unpack_texts(packed: bytes) -> list[str]:
+    n = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], n, codec="zstd", asbytes=True).decode().split("\n") if n else []
+
+
 def _occurrences(codes: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _unpack(codes), np.cumsum(_unpack(places))
 
@@ -79,8 +89,8 @@ def _occurrences(codes: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _relation_rows(rows) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) or [()] * 6
     return pa.record_batch({"seg": pa.array(cols[0], pa.int64()), "lang": pa.array(cols[1], pa.string()),
-                            "phrases": pa.array(cols[2], pa.list_(pa.string())), "counts": pa.array(cols[3], pa.list_(pa.int32())),
-                            "codes": pa.array(cols[4], pa.binary()), "places": pa.array(cols[5], pa.binary())})
+                            "phrases": pa.array(map(_pack_texts, cols[2]), pa.binary()), "counts": pa.array(map(_pack, cols[3]), pa.binary()),
+                            "codes": pa.array(map(_pack, cols[4]), pa.binary()), "places": pa.array(map(_pack, cols[5]), pa.binary())})
 
 
 class _Open:
@@ -103,7 +113,7 @@ class _Open:
             return None
         used, codes, counts = np.unique(tokens[places], return_inverse=True, return_counts=True)
         words = list(self.codes)
-        return (seg, lang, [words[u].decode() for u in used.tolist()], counts, _pack(codes), _pack(np.diff(places, prepend=0)))
+        return (seg, lang, [words[u].decode() for u in used.tolist()], counts, codes, np.diff(places, prepend=0))
 
 
 def _segments(batches):
@@ -174,7 +184,7 @@ def _send_words(buckets: int, least: int):
     def run(batches):
         for b in batches:
             for seg, lang, phrases, counts in zip(*(b.column(c).to_pylist() for c in ("seg", "lang", "phrases", "counts")), strict=True):
-                yield _sent(seg, _phrase_hashes(lang, phrases), np.array(counts), buckets, least)
+                yield _sent(seg, _phrase_hashes(lang, _unpack_texts(phrases)), _unpack(counts), buckets, least)
     return run
 
 
@@ -219,9 +229,10 @@ def _segments_of(batch, buckets: int):
     cols = {c: batch.column(c) for c in batch.schema.names}
     for i in range(batch.num_rows):
         row = {c: v[i].as_py() for c, v in cols.items()}
-        h = _phrase_hashes(row["lang"], row["phrases"])
+        phrases = _unpack_texts(row["phrases"])
+        h = _phrase_hashes(row["lang"], phrases)
         keep = _kept(h, buckets, row["survivors"]) if "survivors" in row else np.ones(len(h), bool)
-        yield row["seg"], row["lang"], row["phrases"], h, *_occurrences(row["codes"], row["places"]), keep, row.get("longer")
+        yield row["seg"], row["lang"], phrases, h, *_occurrences(row["codes"], row["places"]), keep, row.get("longer")
 
 
 def _pair_hashes(h: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -249,7 +260,7 @@ def _extend(buckets: int):
                 number[reached] = np.arange(len(reached))
                 sel = number[inverse] >= 0
                 texts = [f"{phrases[p]} {phrases[q].rpartition(' ')[2]}" for p, q in zip(first[reached].tolist(), second[reached].tolist(), strict=True)]
-                yield _relation_rows([(seg, lang, texts, counts[reached], _pack(number[inverse[sel]]), _pack(np.diff(at[sel], prepend=0)))])
+                yield _relation_rows([(seg, lang, texts, counts[reached], number[inverse[sel]], np.diff(at[sel], prepend=0))])
     return run
 
 
@@ -266,10 +277,21 @@ def reaching(sent: DataFrame, buckets: int, least: int, name: str) -> DataFrame:
     return found.groupBy("seg").agg(F.collect_list(F.struct("bucket", "ranks")).alias(name))  # a segment's own entries at most
 
 
+def _flat(batches):
+    """(lang, phrase, f): the distinct phrases of every segment with their counts."""
+    for b in batches:
+        for lang, packed, counts in zip(*(b.column(c).to_pylist() for c in ("lang", "phrases", "counts")), strict=True):
+            phrases, n = _unpack_texts(packed), _unpack(counts)
+            for i in range(0, len(phrases), 100_000):
+                part = phrases[i:i + 100_000]
+                yield pa.record_batch({"lang": pa.array([lang] * len(part), pa.string()), "phrase": pa.array(part, pa.string()),
+                                       "f": pa.array(n[i:i + 100_000])})
+
+
 def group_counts(relation: DataFrame, least: int = 1) -> DataFrame:
     """(lang, phrase, f): exact counts over all segments."""
-    return (relation.select("lang", F.explode(F.arrays_zip("phrases", "counts")).alias("x"))
-            .groupBy("lang", F.col("x.phrases").alias("phrase")).agg(F.sum("x.counts").alias("f")).filter(F.col("f") >= least))
+    flat = map_batches(relation.select("lang", "phrases", "counts"), _flat, "lang string, phrase string, f long")
+    return flat.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> list[DataFrame]:

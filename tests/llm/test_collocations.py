@@ -79,8 +79,16 @@ def test_empty_table(spark, rows):
 def test_segments_keep_pieces_whole(spark, rows):
     for r in c.occurrences(_frame(spark, rows)).collect():
         codes, places = c._occurrences(r.codes, r.places)
-        assert len(codes) == len(places) == sum(r.counts) and (np.diff(places) > 0).all()
-        assert np.bincount(codes).tolist() == r.counts
+        counts = c._unpack(r.counts)
+        assert len(codes) == len(places) == counts.sum() and (np.diff(places) > 0).all()
+        assert (np.bincount(codes) == counts).all() and len(c._unpack_texts(r.phrases)) == len(counts)
+
+
+def test_packing():
+    for a in ([], [0], [5, 0, 255], [256, 70_000, 1 << 40], [1] * 1000):
+        assert c._unpack(c._pack(np.array(a, np.int64))).tolist() == a
+    for texts in (["é x", "日本"], ["a"]):
+        assert c._unpack_texts(c._pack_texts(texts)) == texts
 
 
 def test_query_equals_its_sql(spark):
