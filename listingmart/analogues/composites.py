@@ -380,10 +380,11 @@ def q_unmatched_values(spark, sf):
 
 @query("raw_landing", "SELECT * EXCLUDE (o_orderkey) FROM " + _A_ROWS_SQL)
 def q_raw_landing(spark, sf):
-    """K1: a cleaned batch appended to a raw table, read back."""
+    """K1: a cleaned batch landed in a raw table, landed again as a retry does, read back."""
     store = _scratch_store(spark)
-    store.append("raw_listings_a", _flat_a(spark, sf))
-    return spark.read.parquet(f"{store.path('raw_listings_a')}/data")
+    for _ in range(2):
+        store.land("raw_listings_a", _flat_a(spark, sf), RUN_DS)
+    return spark.read.parquet(f"{store.path('raw_listings_a')}/data").drop("batch")
 
 
 def _stg_a_batches(spark, sf):
@@ -449,8 +450,7 @@ def q_summary_refresh(spark, sf):
     """K8: the stored summary fully refreshed as a new version, then read back."""
     store = _scratch_store(spark)
     store.replace("mv_job_performance_summary", GD.job_performance_summary(_daily_user(spark, sf)))
-    v = store.current_version("mv_job_performance_summary")
-    return spark.read.parquet(f"{store.path('mv_job_performance_summary')}/v={v}")
+    return spark.read.parquet(store.current_path("mv_job_performance_summary"))
 
 
 @query("view_publish", ORACLE["view_join"])

@@ -56,10 +56,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str) -> dict:
-    """Run both sources for ``ds`` and publish gold; returns the gold frames."""
+def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str, keep: int | None = None) -> dict:
+    """Run both sources for ``ds`` and publish gold; returns the gold frames.
+
+    ``keep``: versions of each table that stay (older ones go before the run
+    writes, so frames of this run and of the one before it can be read); None: all.
+    """
     ds = dt.date.fromisoformat(str(ds)) if not isinstance(ds, dt.date) else ds
     store = TableStore(spark, warehouse)
+    if keep:
+        store.vacuum_all(keep)
     snaps = {}
     a_pages = f"{landing}/a/{ds.isoformat()}/pages"
     if _exists(spark, a_pages):
@@ -97,10 +103,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--landing", required=True, help="landing folder (see module docstring)")
     ap.add_argument("--warehouse", required=True, help="table store folder (shared file system)")
     ap.add_argument("--ds", required=True, help="run date, YYYY-MM-DD")
+    ap.add_argument("--keep", type=int, help="versions of each table that stay (default: all)")
     ap.add_argument("--audit", action="store_true", help="print the star-schema constraint report")
     args = ap.parse_args(argv)
     spark = get_session()
-    gold = run_day(spark, args.landing, args.warehouse, args.ds)
+    gold = run_day(spark, args.landing, args.warehouse, args.ds, args.keep)
     print(f"published: {', '.join(sorted(gold))}")
     if args.audit:
         star_report(TableStore(spark, args.warehouse)).where("violations > 0").show(truncate=False)

@@ -69,8 +69,7 @@ def build_gold(store: TableStore, day_change: tuple | None = None) -> dict[str,
         out[view] = v
     refresh_summaries(store, day_change)
     for name in ["mv_job_performance_summary", "mv_job_first_last_application_days"]:
-        v = store.current_version(name)
-        out[name] = spark.read.parquet(f"{store.path(name)}/v={v}")
+        out[name] = spark.read.parquet(store.current_path(name))
         out[name].createOrReplaceTempView(name)
     return out
 

@@ -62,6 +62,16 @@ def stage_b(store: TableStore, cleaned: DataFrame, ds, null_safe: bool = False)
     store.overwrite_partitions(name, merged, "date_scraped")
 
 
+def replace_day_b(store: TableStore, cleaned: DataFrame, ds) -> None:
+    """K3 for a whole cleaned day: it takes the place of the ``ds`` partition.
+
+    Staging a day again, with more pages or after a failure, gives the same rows
+    as staging it once, NULL key parts included.
+    """
+    day = cleaned.where(F.col("date_scraped") == F.lit(_py_date(ds)))
+    store.overwrite_partitions("stg_emploi_partner", day, "date_scraped", reads_self=False)
+
+
 def _py_date(ds) -> dt.date:
     if isinstance(ds, dt.datetime):
         return ds.date()

@@ -3,11 +3,14 @@
 Tables live under one shared base folder (on a cluster: a distributed file
 system path). Two write modes:
 
-* **versioned** tables (dimensions, fact, bridges, summaries): a new content
-  is written to ``<table>/v=<n>`` and then published by creating the empty file
-  ``<table>/_published/<n>``; the highest published version is current. Nothing
-  published is ever overwritten, so a job never overwrites what it is reading
-  and a write that fails anywhere leaves the previous version current;
+* **versioned** tables (dimensions, fact, bridges, summaries): every attempt writes
+  a folder of its own, ``<table>/v=<n>-<attempt>``, and publishes it by creating the file
+  ``<table>/_published/<n>`` that names it; the highest number whose file names a folder is
+  current. Of two runs that want one number the second finds the file there, deletes its own
+  folder and fails. So no published content is ever overwritten, and a write that
+  fails anywhere leaves the previous version current. The file is created without
+  overwriting, which is exclusive on HDFS and what follows its contract; on an object store it
+  needs conditional writes, otherwise let one run at a time write a table;
 * **date-partitioned** tables (staging, daily fact): dynamic partition
   overwrite replaces only the partitions present in the written frame.
   Frames that read the partitions they replace are checkpointed first.
@@ -15,6 +18,8 @@ system path). Two write modes:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +31,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self._versions: dict[str, int] = {}  # versions this store published or looked up
+        self._versions: dict[str, tuple[int, str]] = {}  # (number, folder) this store published or looked up
 
     # -- paths -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -41,26 +46,66 @@ class TableStore:
         fs, p = self._fs(path)
         return fs.exists(p)
 
-    def _names(self, path: str) -> list[str]:
+    def names(self, path: str) -> list[str]:
+        """Names of the files and folders in a folder; none if it does not exist."""
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def current_version(self, name: str) -> int | None:
-        """The highest published version; None if the table was never written.
+    def note(self, path: str) -> str:
+        """The text of a small file ('' if there is none)."""
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return ""
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readNBytes(int(fs.getFileStatus(p).getLen()))).decode()
+        finally:
+            stream.close()
+
+    def write_note(self, path: str, text: str, overwrite: bool = True) -> None:
+        """Write a small file; without ``overwrite`` it must be new."""
+        fs, p = self._fs(path)
+        stream = fs.create(p, overwrite)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers taken, whether or not their files name a folder (a run may have died in between)."""
+        return sorted(int(n) for n in self.names(f"{self.path(name)}/_published") if n.isdigit())
+
+    def _named(self, name: str, number: int) -> str:
+        """The folder that a publication file names ('' if its run died before it could)."""
+        return self.note(f"{self.path(name)}/_published/{number}")
 
-        Version folders without any published one mean that markers were lost
-        (or that the very first write failed): that is an error, never an empty table.
+    def _current(self, name: str) -> tuple[int, str] | None:
+        """(number, folder) of the highest published version; None if the table was never written.
+
+        A version folder with data but no publication at all means that the files
+        were lost (or that the very first run died between data and publication): that
+        is an error to look at, never an empty table.
         """
         if name in self._versions:
             return self._versions[name]
-        done = [int(n) for n in self._names(f"{self.path(name)}/_published") if n.isdigit()]
-        if not done:
-            begun = [n for n in self._names(self.path(name)) if n.startswith("v=")]
-            if [n for n in begun if n != "v=1"]:
-                raise FileNotFoundError(f"{self.path(name)} holds {sorted(begun)} but no published version")
-            return None
-        self._versions[name] = max(done)
-        return self._versions[name]
+        for number in reversed(self._numbers(name)):
+            if folder := self._named(name, number):
+                self._versions[name] = (number, folder)
+                return number, folder
+        for folder in self.names(self.path(name)):
+            if folder.startswith("v=") and any(f.startswith("part-") for f in self.names(f"{self.path(name)}/{folder}")):
+                raise FileNotFoundError(f"{self.path(name)}/{folder} holds data but no version is published")
+        return None
+
+    def current_version(self, name: str) -> int | None:
+        """The number of the current version; None if the table was never written."""
+        found = self._current(name)
+        return found and found[0]
+
+    def current_path(self, name: str) -> str:
+        """Folder of the current version."""
+        found = self._current(name)
+        if not found:
+            raise FileNotFoundError(f"{self.path(name)} was never published")
+        return f"{self.path(name)}/{found[1]}"
 
     def exists(self, name: str) -> bool:
         """The table was written at least once (a published version or a data folder)."""
@@ -69,9 +114,9 @@ class TableStore:
     # -- reads -------------------------------------------------------------
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         """The current content, or an empty frame with ``schema`` if never written."""
-        v = self.current_version(name)
-        if v is not None:
-            return self.spark.read.schema(schema).parquet(f"{self.path(name)}/v={v}")
+        found = self._current(name)
+        if found:
+            return self.spark.read.schema(schema).parquet(f"{self.path(name)}/{found[1]}")
         data = f"{self.path(name)}/data"
         if self._exists(data):
             return self.spark.read.schema(schema).parquet(data)
@@ -84,24 +129,39 @@ class TableStore:
     # -- writes ------------------------------------------------------------
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a new version, then publish it (K8)."""
-        v = (self.current_version(name) or 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v}")  # not published: what a failed write left
-        fs, marker = self._fs(f"{self.path(name)}/_published/{v}")
-        if not fs.createNewFile(marker):
-            raise FileExistsError(f"version {v} of {name} was published by another run")
-        self._versions[name] = v
+        found = self._current(name)
+        # a number whose run died before it named a folder is passed over
+        v = max([found[0] if found else 0, *[n for n in self._numbers(name) if not self._named(name, n)]]) + 1
+        folder = f"v={v}-{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(f"{self.path(name)}/{folder}")
+        try:
+            self.write_note(f"{self.path(name)}/_published/{v}", folder, overwrite=False)
+        except Exception as e:
+            own, p = self._fs(f"{self.path(name)}/{folder}")
+            own.delete(p, True)
+            self._versions.pop(name, None)
+            raise FileExistsError(f"version {v} of {name} was published by another run") from e
+        self._versions[name] = (v, folder)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
-        """Delete all but the last ``keep`` published versions; returns the deleted ones."""
-        current = self.current_version(name)
-        old = sorted(int(n) for n in self._names(f"{self.path(name)}/_published") if n.isdigit())
-        gone = [v for v in old if current is not None and v <= current - max(1, keep)]
-        for v in gone:
-            for path in (f"{self.path(name)}/_published/{v}", f"{self.path(name)}/v={v}"):
-                fs, p = self._fs(path)
-                fs.delete(p, True)
+        """Delete all but the last ``keep`` published versions and older folders nobody published; returns the deleted numbers."""
+        found = self._current(name)
+        if not found:
+            return []
+        last = found[0] - max(1, keep)
+        kept = {self._named(name, n) for n in self._numbers(name) if n > last}
+        gone = [n for n in self._numbers(name) if n <= last]
+        for path in [f"_published/{n}" for n in gone] + [
+                f for f in self.names(self.path(name))
+                if f.startswith("v=") and f not in kept and int(f[2:].split("-")[0]) <= last]:
+            fs, p = self._fs(f"{self.path(name)}/{path}")
+            fs.delete(p, True)
         return gone
 
+    def vacuum_all(self, keep: int = 2) -> dict[str, list[int]]:
+        """``vacuum`` of every versioned table of the store."""
+        return {t: gone for t in self.names(self.base) if self._exists(f"{self.path(t)}/_published") and (gone := self.vacuum(t, keep))}
+
     def overwrite_partitions(self, name: str, df: DataFrame, col: str, reads_self: bool = True) -> None:
         """Replace only the ``col`` partitions present in ``df`` (M6, K2, K3)."""
         if reads_self:
@@ -110,9 +170,13 @@ class TableStore:
          .partitionBy(col).parquet(f"{self.path(name)}/data"))
 
     def append(self, name: str, df: DataFrame) -> None:
-        """K1: append a raw batch."""
+        """Add rows that are known to be new."""
         df.write.mode("append").parquet(f"{self.path(name)}/data")
 
+    def land(self, name: str, df: DataFrame, batch: str) -> None:
+        """K1: land a raw batch; landing it again (a retry) replaces it."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/data/batch={batch}")
+
     def drop_partitions(self, name: str, col: str, values: list) -> None:
         """Delete whole partitions (used when an upsert moved all their rows away)."""
         jvm = self.spark._jvm

@@ -13,32 +13,56 @@ def test_failed_write_keeps_the_previous_version(spark, tmp_path):
     store = _store(spark, tmp_path)
     one, two = spark.range(3), spark.range(5)
     store.replace("t", one)
-    two.write.parquet(store.path("t") + "/v=2")  # data written, not published
+    two.write.parquet(store.path("t") + "/v=2-x")  # data written, not published
     again = _store(spark, tmp_path)
     assert again.current_version("t") == 1 and again.read("t", one.schema).count() == 3
     again.replace("t", two)
     assert _store(spark, tmp_path).read("t", one.schema).count() == 5
 
 
-def test_lost_markers_are_an_error(spark, tmp_path):
+@pytest.mark.parametrize("folder", ["v=1-abc", "v=2-abc"])
+def test_lost_publications_are_an_error(spark, tmp_path, folder):
     store = _store(spark, tmp_path)
-    spark.range(3).write.parquet(store.path("t") + "/v=2")
+    spark.range(3).write.parquet(f"{store.path('t')}/{folder}")
     with pytest.raises(FileNotFoundError):
         store.read("t", spark.range(1).schema)
 
 
 def test_two_writers_cannot_publish_one_version(spark, tmp_path):
     a, b = _store(spark, tmp_path), _store(spark, tmp_path)
-    assert a.current_version("t") is b.current_version("t") is None
-    a.replace("t", spark.range(3))
-    b._versions["t"] = 0  # as looked up before the other run published
+    a.replace("t", spark.range(2))
+    assert b.current_version("t") == 1
+    a.replace("t", spark.range(7))
     with pytest.raises(FileExistsError):
         b.replace("t", spark.range(4))
+    assert _store(spark, tmp_path).read("t", spark.range(1).schema).count() == 7
+    assert len([n for n in a.names(a.path("t")) if n.startswith("v=")]) == 2  # the loser's folder is gone
+    b.replace("t", spark.range(9))  # it sees the winner now
+    assert b.current_version("t") == 3 and _store(spark, tmp_path).read("t", spark.range(1).schema).count() == 9
+
+
+def test_a_run_that_died_while_publishing(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    store.replace("t", spark.range(3))
+    store.write_note(store.path("t") + "/_published/2", "")  # taken, names no folder
+    again = _store(spark, tmp_path)
+    assert again.current_version("t") == 1 and again.read("t", spark.range(1).schema).count() == 3
+    again.replace("t", spark.range(5))
+    assert again.current_version("t") == 3 and _store(spark, tmp_path).read("t", spark.range(1).schema).count() == 5
+
+
+def test_landing_a_batch_again_replaces_it(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    for batch, n in (("d1", 3), ("d2", 4), ("d1", 5)):
+        store.land("raw", spark.range(n), batch)
+    assert spark.read.parquet(store.path("raw") + "/data").count() == 9
 
 
 def test_vacuum_keeps_the_last_versions(spark, tmp_path):
     store = _store(spark, tmp_path)
     for n in (1, 2, 3, 4):
         store.replace("t", spark.range(n))
-    assert store.vacuum("t", keep=2) == [1, 2]
+    spark.range(1).write.parquet(store.path("t") + "/v=1-nobody")  # a failed attempt of long ago
+    assert store.vacuum_all(keep=2) == {"t": [1, 2]}
+    assert sorted(n[:3] for n in store.names(store.path("t")) if n.startswith("v=")) == ["v=3", "v=4"]
     assert _store(spark, tmp_path).read("t", spark.range(1).schema).count() == 4
