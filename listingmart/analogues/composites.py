@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from listingmart.functions import text as X
 from listingmart.operators import lookup as LK
+from listingmart.operators import classes as LC
+from listingmart.operators import similarity as SM
 from listingmart.operators import standardise as SD
 from listingmart.plans import clean as CL
 from listingmart.plans import gold as GD
@@ -376,6 +378,69 @@ def q_unmatched_values(spark, sf):
     return SD.standardise_values(a, "v", b, "v")["unmatched"]
 
 
+_CLASS_SQL = (_STD_SQL + r""",
+edge AS (SELECT source_a AS u, source_b AS v FROM pairs UNION SELECT source_b, source_a FROM pairs),
+lab AS (SELECT DISTINCT u AS label FROM edge),
+reach AS (SELECT label, label AS met FROM lab UNION SELECT r.label, e.v FROM reach r JOIN edge e ON e.u = r.met),
+cls AS (SELECT label, min(met) AS root FROM reach GROUP BY label),
+nam AS (SELECT c.root, unnest(coalesce(an.names, bn.names)) AS name FROM cls c
+  LEFT JOIN an ON an.source_a = c.label LEFT JOIN bn ON bn.source_b = c.label),
+std AS (SELECT root, string_agg(DISTINCT name, ', ' ORDER BY name) AS standard FROM nam GROUP BY root),
+tgt AS (SELECT label, count(DISTINCT array_to_string(u, ', ')) AS targets FROM (
+  SELECT source_a AS label, u FROM full_ UNION ALL SELECT source_b, u FROM full_) GROUP BY label),
+classes AS (SELECT label, root, standard, targets FROM cls JOIN std USING (root) JOIN tgt USING (label))
+""").replace("WITH a AS", "WITH RECURSIVE a AS", 1)
+
+
+def _classes(spark, sf):
+    a, b = _std_sides(spark, sf)
+    return LC.label_classes(SD.standardise_values(a, "v", b, "v")["pairs"], "source_a", "source_b")
+
+
+@query("label_classes", _CLASS_SQL + "SELECT label, root, standard, targets FROM classes")
+def q_label_classes(spark, sf):
+    """Connected classes of matched labels, one standard label each."""
+    return _classes(spark, sf)
+
+
+@query("ambiguous_labels", _CLASS_SQL + "SELECT label, standard, targets FROM classes WHERE targets > 1")
+def q_ambiguous_labels(spark, sf):
+    """K9: labels with several pairwise targets, for review."""
+    return LC.ambiguous_labels(_classes(spark, sf))
+
+
+@query("mapping_apply", _CLASS_SQL + r""",
+rows AS (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ', ') AS v FROM part)
+SELECT p_partkey, v AS label, coalesce(c.standard, v) AS standard FROM rows LEFT JOIN classes c ON c.label = v""")
+def q_mapping_apply(spark, sf):
+    """Every row's label through the class mapping, one row each."""
+    rows = tbl(spark, sf, "part").select("p_partkey", F.regexp_replace(F.initcap("p_name"), " ", ", ").alias("label"))
+    return LC.apply_mapping(rows, "label", LC.class_mapping(_classes(spark, sf)), "standard")
+
+
+_GRAMS_SQL = "unnest(list_distinct([substring('##' || lower({0}) || '##', i, 3) FOR i IN range(1, length({0}) + 3)]))"
+
+
+@query("unmatched_candidates", rf"""
+WITH ua AS (SELECT DISTINCT array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS source_a FROM part),
+ub AS (SELECT DISTINCT p_name || CASE p_partkey % 3 WHEN 0 THEN 's' WHEN 1 THEN ' ' || lower(split_part(p_type, ' ', 1)) ELSE '' END AS source_b
+  FROM part),
+ga AS (SELECT source_a, {_GRAMS_SQL.format('source_a')} AS g FROM ua), gb AS (SELECT source_b, {_GRAMS_SQL.format('source_b')} AS g FROM ub),
+na AS (SELECT source_a, count(*) AS na FROM ga GROUP BY ALL), nb AS (SELECT source_b, count(*) AS nb FROM gb GROUP BY ALL),
+sh AS (SELECT source_a, source_b, count(*) AS shared FROM ga JOIN gb USING (g) GROUP BY ALL)
+SELECT source_a, source_b, CAST(shared AS INTEGER) AS shared, CAST(na + nb - shared AS INTEGER) AS total
+FROM sh JOIN na USING (source_a) JOIN nb USING (source_b) WHERE source_a <> source_b AND 100 * shared >= 60 * (na + nb - shared)""")
+def q_unmatched_candidates(spark, sf):
+    """U4: labels of two sources that no shared name matches, nearly the same text."""
+    p = tbl(spark, sf, "part")
+    a = p.select(F.initcap("p_name").alias("v"))
+    m = F.col("p_partkey") % 3
+    end = F.when(m == 0, "s").when(m == 1, F.concat(F.lit(" "), F.lower(F.element_at(F.split("p_type", " "), 1)))).otherwise("")
+    b = p.select(F.concat("p_name", end).alias("v"))
+    left = SD.standardise_values(a, "v", b, "v")["unmatched"]
+    return SM.near_matches(left.select("source_a"), "source_a", left.select("source_b"), "source_b")
+
+
 # -- sinks -----------------------------------------------------------------------
 
 @query("raw_landing", "SELECT * EXCLUDE (o_orderkey) FROM " + _A_ROWS_SQL)
