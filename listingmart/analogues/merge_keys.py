@@ -9,7 +9,7 @@ from listingmart.operators import dedup as DD
 from listingmart.operators import keys as KY
 from listingmart.operators import merge as MG
 from listingmart.analogues.aggregates import _daily_events
-from listingmart.analogues.registry import EVENTS_DS, query, tbl
+from listingmart.analogues.registry import EVENTS_DS, _scratch_store, query, tbl
 
 
 _UPSERT_T = r"""(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
@@ -61,6 +61,21 @@ def q_upsert_fact_b(spark, sf):
     return MG.upsert(t, s, ["o_orderkey"], ["o_orderstatus", "o_custkey", "o_totalprice"])
 
 
+def _bucketed(spark, sf):
+    """A bucketed table of orders and the buckets that a batch rewrote."""
+    t, s = _upsert_inputs(spark, sf)
+    store = _scratch_store(spark)
+    store.upsert_buckets("orders", t.schema, ["o_orderkey"], [(t, [])])
+    return store, t.schema, store.upsert_buckets("orders", t.schema, ["o_orderkey"], [(s, ["o_orderstatus", "o_custkey"])])
+
+
+@query("upsert_bucketed", _upsert_sql(["o_orderstatus", "o_custkey"]))
+def q_upsert_bucketed(spark, sf):
+    """M4 on a bucketed table: only the buckets a batch touches are rewritten; read back whole."""
+    store, schema, _ = _bucketed(spark, sf)
+    return store.read("orders", schema)
+
+
 @query("insert_if_absent", r"""
 SELECT DISTINCT 'Brand#' || s_nationkey AS p_brand FROM supplier
 WHERE 'Brand#' || s_nationkey NOT IN (SELECT p_brand FROM part)""")

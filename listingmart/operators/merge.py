@@ -69,6 +69,35 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     return untouched.unionByName(_merge_rows(touched, source, keys, update_cols, null_safe))
 
 
+def upsert_in_place(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
+                    max_broadcast_keys: int = 5_000_000) -> DataFrame:
+    """M1 that leaves the target's rows where they are: ``upsert`` without a shuffle of the target.
+
+    For a source proven small: the target's rows meet the broadcast source in a left join, and the
+    source's new rows are those whose key the target lacks (its keys that the
+    source has too, so at most one for each source row as keys are unique in
+    the target, are broadcast back). Beyond the bound: one full outer join. NULL key parts never match (T9).
+    """
+    cols = target.columns
+    source = source.select(*cols)
+    if not fits(source, max_broadcast_keys):
+        return _merge_rows(target, source, keys, update_cols, False)
+    s = F.broadcast(source.select(*cols, F.lit(True).alias("_s"))).alias("s")
+    t = target.alias("t")
+    met = F.col("s._s").isNotNull()
+    old = t.join(s, _key_cond_named(keys), "left").select(*[
+        (F.when(met, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in update_cols else F.col(f"t.{c}")).alias(c) for c in cols])
+    shared = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    return old.unionByName(source.join(F.broadcast(shared), keys, "left_anti").select(*cols))
+
+
+def _key_cond_named(keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    return cond
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str],
                      null_safe: bool = False, max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """Only the source rows whose key is not yet in the target (distinct).

@@ -145,14 +145,13 @@ def fact_rows_b(snap_b: DataFrame, dims) -> DataFrame:
 
 
 def load_fact(store: TableStore, snap_a, snap_b, dims) -> DataFrame:
-    """M4/M5: upsert fct_jobs; title and datetime_published are never changed."""
-    fact = store.read("fct_jobs", FCT_JOBS)
-    cols = [f.name for f in FCT_JOBS.fields]
-    if snap_a is not None:
-        fact = upsert(fact, fact_rows_a(snap_a, dims).select(*cols), ["job_id"], FCT_A_UPDATE)
-    if snap_b is not None:
-        fact = upsert(fact, fact_rows_b(snap_b, dims).select(*cols), ["job_id"], FCT_B_UPDATE)
-    store.replace("fct_jobs", fact.select(*cols))
+    """M4/M5: upsert fct_jobs; title and datetime_published are never changed.
+
+    The fact is bucketed by job_id: both sources' days rewrite only the buckets they touch, in one version.
+    """
+    batches = [(rows(snap, dims), update) for snap, rows, update in (
+        (snap_a, fact_rows_a, FCT_A_UPDATE), (snap_b, fact_rows_b, FCT_B_UPDATE)) if snap is not None]
+    store.upsert_buckets("fct_jobs", FCT_JOBS, ["job_id"], batches)
     return store.read("fct_jobs", FCT_JOBS)
 
 

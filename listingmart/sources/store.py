@@ -11,6 +11,9 @@ system path). Two write modes:
   fails anywhere leaves the previous version current. The file is created without
   overwriting, which is exclusive on HDFS and what follows its contract; on an object store it
   needs conditional writes, otherwise let one run at a time write a table;
+* **bucketed** tables (the fact): versioned, but a version is a list of bucket folders, a bucket holding
+  the rows whose key hashes to it. An upsert reads and rewrites only the buckets that
+  its batch touches and publishes them, with the folders of all others as they are, in one file;
 * **date-partitioned** tables (staging, daily fact): dynamic partition
   overwrite replaces only the partitions present in the written frame.
   Frames that read the partitions they replace are checkpointed first.
@@ -20,18 +23,38 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listingmart.operators.merge import upsert_in_place
 from listingmart.session import cut_lineage
 
 
+#: First words of a publication file that lists bucket folders; their number follows.
+_BUCKETED = "buckets "
+
+
+def bucket_of(key: list[str], n: int) -> Column:
+    """The bucket of a row."""
+    return F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+
+
+def _folders(what: str) -> tuple[int | None, dict[int, str]]:
+    """(number of buckets, folder of each) of what a publication file names; no number for a table without buckets."""
+    if not what.startswith(_BUCKETED):
+        return None, {0: what} if what else {}
+    head, *lines = what.split("\n")
+    return int(head.removeprefix(_BUCKETED)), {int(b): f for b, f in (x.split(" ", 1) for x in lines)}
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, buckets: int = 16):
+        """``buckets`` of new bucketed tables: choose it for buckets of some hundred MB (``rebucket`` changes it)."""
         self.spark = spark
         self.base = base.rstrip("/")
-        self._versions: dict[str, tuple[int, str]] = {}  # (number, folder) this store published or looked up
+        self.buckets = buckets
+        self._versions: dict[str, tuple[int, str]] = {}  # (number, what it names) this store published or looked up
 
     # -- paths -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -74,11 +97,11 @@ class TableStore:
         return sorted(int(n) for n in self.names(f"{self.path(name)}/_published") if n.isdigit())
 
     def _named(self, name: str, number: int) -> str:
-        """The folder that a publication file names ('' if its run died before it could)."""
+        """What a publication file names: a folder, or ``_BUCKETED`` and a line for each bucket ('' if its run died before it could)."""
         return self.note(f"{self.path(name)}/_published/{number}")
 
     def _current(self, name: str) -> tuple[int, str] | None:
-        """(number, folder) of the highest published version; None if the table was never written.
+        """(number, what it names) of the highest published version; None if the table was never written.
 
         A version folder with data but no publication at all means that the files
         were lost (or that the very first run died between data and publication): that
@@ -101,9 +124,9 @@ class TableStore:
         return found and found[0]
 
     def current_path(self, name: str) -> str:
-        """Folder of the current version."""
+        """Folder of the current version of a table without buckets."""
         found = self._current(name)
-        if not found:
+        if not found or found[1].startswith(_BUCKETED):
             raise FileNotFoundError(f"{self.path(name)} was never published")
         return f"{self.path(name)}/{found[1]}"
 
@@ -116,32 +139,90 @@ class TableStore:
         """The current content, or an empty frame with ``schema`` if never written."""
         found = self._current(name)
         if found:
-            return self.spark.read.schema(schema).parquet(f"{self.path(name)}/{found[1]}")
+            return self._read_folders(name, schema, list(_folders(found[1])[1].values()))
         data = f"{self.path(name)}/data"
         if self._exists(data):
             return self.spark.read.schema(schema).parquet(data)
         return self.spark.createDataFrame([], schema)
 
+    def _read_folders(self, name: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path(name)}/{f}" for f in folders])
+
+    def read_keys(self, name: str, schema: T.StructType, key: list[str], keys: list[tuple]) -> DataFrame:
+        """The rows of a few keys: only their buckets' folders are listed and read."""
+        found = self._current(name)
+        n, folders = _folders(found[1]) if found else (None, {})
+        rows = self.read(name, schema)
+        types = T.StructType([schema[c] for c in key])
+        wanted = self.spark.createDataFrame(keys, types)
+        if n:
+            own = {r[0] for r in wanted.select(bucket_of(key, n)).distinct().collect()}
+            rows = self._read_folders(name, schema, [f for b, f in folders.items() if b in own])
+        return rows.join(F.broadcast(wanted), key, "left_semi")  # the caller's list
+
     def read_partition(self, name: str, schema: T.StructType, col: str, value) -> DataFrame:
         """One date partition; the filter prunes partitions at planning time."""
         return self.read(name, schema).where(F.col(col) == F.lit(value).cast(schema[col].dataType))
 
     # -- writes ------------------------------------------------------------
-    def replace(self, name: str, df: DataFrame) -> None:
-        """Write a new version, then publish it (K8)."""
+    def _attempt(self, name: str) -> tuple[int, str]:
+        """The next number, and a folder that no other run writes."""
         found = self._current(name)
         # a number whose run died before it named a folder is passed over
         v = max([found[0] if found else 0, *[n for n in self._numbers(name) if not self._named(name, n)]]) + 1
-        folder = f"v={v}-{uuid.uuid4().hex}"
-        df.write.mode("error").parquet(f"{self.path(name)}/{folder}")
+        return v, f"v={v}-{uuid.uuid4().hex}"
+
+    def _publish(self, name: str, v: int, folder: str, what: str) -> None:
         try:
-            self.write_note(f"{self.path(name)}/_published/{v}", folder, overwrite=False)
+            self.write_note(f"{self.path(name)}/_published/{v}", what, overwrite=False)
         except Exception as e:
             own, p = self._fs(f"{self.path(name)}/{folder}")
             own.delete(p, True)
             self._versions.pop(name, None)
             raise FileExistsError(f"version {v} of {name} was published by another run") from e
-        self._versions[name] = (v, folder)
+        self._versions[name] = (v, what)
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Write a new version, then publish it (K8)."""
+        v, folder = self._attempt(name)
+        df.write.mode("error").parquet(f"{self.path(name)}/{folder}")
+        self._publish(name, v, folder, folder)
+
+    def upsert_buckets(self, name: str, schema: T.StructType, key: list[str], batches: list[tuple[DataFrame, list[str]]]) -> list[int]:
+        """M1 on a bucketed table: batches of (rows, columns to update), in order; returns the buckets rewritten.
+
+        A batch is computed once. Only the buckets that some batch touches are read. Where a
+        batch is proven small it is broadcast, so the table's rows meet it where they are
+        read and are written from there, without a shuffle; beyond that they meet in a full outer join.
+        A table without buckets gets them with its first upsert.
+        """
+        found = self._current(name)
+        n, folders = _folders(found[1]) if found else (self.buckets, {})
+        whole, n = (n is None), n or self.buckets
+        batches = [(cut_lineage(rows.select(*schema.names)), update) for rows, update in batches]
+        touched = sorted({r[0] for rows, _ in batches for r in rows.select(bucket_of(key, n)).distinct().collect()})  # n numbers at most
+        if not touched and not whole:
+            return []
+        rows = self._read_folders(name, schema, list(folders.values()) if whole else [folders[b] for b in touched if b in folders])
+        for batch, update in batches:
+            rows = upsert_in_place(rows, batch, key, update)
+        return self._write_buckets(name, rows, key, n, {} if whole else folders)
+
+    def rebucket(self, name: str, schema: T.StructType, key: list[str], buckets: int) -> None:
+        """Rewrite a table into another number of buckets."""
+        self._write_buckets(name, self.read(name, schema).repartition(buckets, bucket_of(key, buckets)), key, buckets, {})
+
+    def _write_buckets(self, name: str, rows: DataFrame, key: list[str], n: int, folders: dict[int, str]) -> list[int]:
+        v, folder = self._attempt(name)
+        path = f"{self.path(name)}/{folder}"
+        (rows.withColumn("_bucket", bucket_of(key, n)).sortWithinPartitions("_bucket", *key)  # sorted: row groups can be skipped by key
+         .write.mode("error").partitionBy("_bucket").parquet(path))
+        new = {int(f.split("=")[1]): f"{folder}/{f}" for f in self.names(path) if f.startswith("_bucket=")}
+        lines = [f"{b} {f}" for b, f in sorted((folders | new).items())]
+        self._publish(name, v, folder, "\n".join([f"{_BUCKETED}{n}", *lines]))
+        return sorted(new)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
         """Delete all but the last ``keep`` published versions and older folders nobody published; returns the deleted numbers."""
@@ -149,7 +230,7 @@ class TableStore:
         if not found:
             return []
         last = found[0] - max(1, keep)
-        kept = {self._named(name, n) for n in self._numbers(name) if n > last}
+        kept = {f.split("/")[0] for n in self._numbers(name) if n > last for f in _folders(self._named(name, n))[1].values()}
         gone = [n for n in self._numbers(name) if n <= last]
         for path in [f"_published/{n}" for n in gone] + [
                 f for f in self.names(self.path(name))
