@@ -493,6 +493,20 @@ def q_stage_upsert_a(spark, sf):
     return store.read("stg_emploitic", STG_A).select("job_id", "title", "positions", "date_scraped")
 
 
+@query("stage_a_moved", r"""
+SELECT '2025-06-01' AS day, 'job-' || o_orderkey AS job_id, CAST(o_custkey % 5 AS INTEGER) AS positions FROM orders
+WHERE o_orderdate < TIMESTAMP '1997-06-01'
+UNION ALL SELECT '2025-06-02', 'job-' || o_orderkey, CAST(o_custkey % 5 + 100 AS INTEGER) FROM orders WHERE o_orderdate >= TIMESTAMP '1997-06-01'""")
+def q_stage_a_moved(spark, sf):
+    """After a day that moved jobs, each day read by itself."""
+    store = _scratch_store(spark)
+    for batch in _stg_a_batches(spark, sf):
+        SN.stage_a(store, batch)
+    one, two = (SN.read_day(store, "stg_emploitic", day).select(F.lit(day).alias("day"), "job_id", "positions")
+                for day in ("2025-06-01", "2025-06-02"))
+    return one.unionByName(two)
+
+
 @query("stage_upsert_b", r"""
 WITH s1 AS (SELECT 'job-' || o_orderkey AS job_id, nullif('City ' || (o_custkey % 50), 'City 0') AS city,
   o_orderpriority AS state, nullif(lower(o_orderstatus), 'p') AS region, CAST(o_orderkey % 100 AS INTEGER) AS nb_views

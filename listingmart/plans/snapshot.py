@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from listingmart.functions.arrays import (coalesce_unknown, coalesce_unknown_array, location_parts,
                                           lockstep_unnest)
 from listingmart.functions.text import split_location, unicode_repair
-from listingmart.operators.lookup import fits
 from listingmart.operators.merge import upsert
 from listingmart.schemas import (STG_A, STG_A_KEYS, STG_A_UPDATE, STG_B, STG_B_KEYS, STG_B_UPDATE)
-from listingmart.session import cut_lineage
 from listingmart.sources.store import TableStore
 
 A_ARRAYS = ["location", "job_level", "function", "contract_type", "education_level", "experience_years"]
@@ -28,26 +26,10 @@ B_SCALARS = ["company", "function", "city", "state", "region", "country", "job_l
 def stage_a(store: TableStore, cleaned: DataFrame) -> None:
     """K2 (+T21): upsert source A's day into staging A, keyed by job_id only.
 
-    A re-scraped job moves to the new ``date_scraped`` partition, so every
-    partition holding one of today's job ids is read, upserted and rewritten;
-    only the key and date columns of the whole table are scanned to find them.
+    A re-scraped job moves to the new ``date_scraped``: the table's locator tells which
+    dates hold one of today's jobs; those and today's own are rewritten and published together.
     """
-    name = "stg_emploitic"
-    target = store.read(name, STG_A)
-    ids = cleaned.select("job_id")
-    if fits(ids):  # a day's ids, proven bounded: filter the key column map-side
-        ids = F.broadcast(ids)
-    touched = (target.select("job_id", "date_scraped").join(ids, "job_id", "left_semi")
-               .select("date_scraped").distinct())
-    # A handful of dates (never rows): partitions holding today's ids, and today's own.
-    days = sorted({r[0] for r in touched.unionByName(cleaned.select("date_scraped").distinct())
-                   .distinct().collect()})
-    part = target.where(F.col("date_scraped").isin(days)) if days else target.limit(0)
-    merged = cut_lineage(upsert(part, cleaned, STG_A_KEYS, STG_A_UPDATE))
-    store.overwrite_partitions(name, merged, "date_scraped", reads_self=False)
-    present = {r[0] for r in merged.select("date_scraped").distinct().collect()}
-    # A partition whose rows all moved to another day would keep stale files.
-    store.drop_partitions(name, "date_scraped", [d for d in days if d not in present])
+    store.upsert_located("stg_emploitic", STG_A, STG_A_KEYS, "date_scraped", cleaned, STG_A_UPDATE)
 
 
 def stage_b(store: TableStore, cleaned: DataFrame, ds, null_safe: bool = False) -> None:

@@ -14,6 +14,10 @@ system path). Two write modes:
 * **bucketed** tables (the fact): versioned, but a version is a list of bucket folders, a bucket holding
   the rows whose key hashes to it. An upsert reads and rewrites only the buckets that
   its batch touches and publishes them, with the folders of all others as they are, in one file;
+* **located** tables (staging A): versioned, a version lists a folder for each date and the bucket
+  folders of a locator (key -> date). An upsert that moves a key to another date finds where it
+  was from the locator's touched buckets, without scanning keys, and publishes the
+  rewritten dates and locator buckets in one file, so no crash leaves a key in two dates;
 * **date-partitioned** tables (staging, daily fact): dynamic partition
   overwrite replaces only the partitions present in the written frame.
   Frames that read the partitions they replace are checkpointed first.
@@ -27,25 +31,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listingmart.operators.lookup import small_side
 from listingmart.operators.merge import upsert_in_place
 from listingmart.session import cut_lineage
 
 
-#: First words of a publication file that lists bucket folders; their number follows.
-_BUCKETED = "buckets "
-
-
 def bucket_of(key: list[str], n: int) -> Column:
     """The bucket of a row."""
     return F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
 
 
-def _folders(what: str) -> tuple[int | None, dict[int, str]]:
-    """(number of buckets, folder of each) of what a publication file names; no number for a table without buckets."""
-    if not what.startswith(_BUCKETED):
-        return None, {0: what} if what else {}
-    head, *lines = what.split("\n")
-    return int(head.removeprefix(_BUCKETED)), {int(b): f for b, f in (x.split(" ", 1) for x in lines)}
+class _Named:
+    """What a publication file names: one folder, or a folder for each part (bucket or date) and locator bucket."""
+
+    def __init__(self, what: str):
+        head, *lines = what.split("\n")
+        self.kind = head.split(" ")[0] if " " in head else ""
+        self.n = int(head.split(" ")[1]) if self.kind else None
+        items = [x.split(" ", 2) for x in lines] if self.kind else [["part", "", what]] if what else []
+        self.parts = {k: f for what_, k, f in items if what_ == "part"}
+        self.locator = {int(k): f for what_, k, f in items if what_ == "where"}
+
+    def attempts(self) -> set[str]:
+        """Top folders of all that is named."""
+        return {f.split("/")[0] for f in [*self.parts.values(), *self.locator.values()]}
+
+
+def _listing(kind: str, n: int, parts: dict, locator: dict | None = None) -> str:
+    return "\n".join([f"{kind} {n}", *[f"part {k} {f}" for k, f in sorted(parts.items())],
+                      *[f"where {k} {f}" for k, f in sorted((locator or {}).items())]])
 
 
 class TableStore:
@@ -97,7 +111,7 @@ class TableStore:
         return sorted(int(n) for n in self.names(f"{self.path(name)}/_published") if n.isdigit())
 
     def _named(self, name: str, number: int) -> str:
-        """What a publication file names: a folder, or ``_BUCKETED`` and a line for each bucket ('' if its run died before it could)."""
+        """What a publication file names: see ``_Named`` ('' if its run died before it could)."""
         return self.note(f"{self.path(name)}/_published/{number}")
 
     def _current(self, name: str) -> tuple[int, str] | None:
@@ -126,7 +140,7 @@ class TableStore:
     def current_path(self, name: str) -> str:
         """Folder of the current version of a table without buckets."""
         found = self._current(name)
-        if not found or found[1].startswith(_BUCKETED):
+        if not found or _Named(found[1]).kind:
             raise FileNotFoundError(f"{self.path(name)} was never published")
         return f"{self.path(name)}/{found[1]}"
 
@@ -139,7 +153,7 @@ class TableStore:
         """The current content, or an empty frame with ``schema`` if never written."""
         found = self._current(name)
         if found:
-            return self._read_folders(name, schema, list(_folders(found[1])[1].values()))
+            return self._read_folders(name, schema, list(_Named(found[1]).parts.values()))
         data = f"{self.path(name)}/data"
         if self._exists(data):
             return self.spark.read.schema(schema).parquet(data)
@@ -153,17 +167,20 @@ class TableStore:
     def read_keys(self, name: str, schema: T.StructType, key: list[str], keys: list[tuple]) -> DataFrame:
         """The rows of a few keys: only their buckets' folders are listed and read."""
         found = self._current(name)
-        n, folders = _folders(found[1]) if found else (None, {})
+        named = _Named(found[1] if found else "")
         rows = self.read(name, schema)
         types = T.StructType([schema[c] for c in key])
         wanted = self.spark.createDataFrame(keys, types)
-        if n:
-            own = {r[0] for r in wanted.select(bucket_of(key, n)).distinct().collect()}
-            rows = self._read_folders(name, schema, [f for b, f in folders.items() if b in own])
+        if named.kind == "buckets":
+            own = {str(r[0]) for r in wanted.select(bucket_of(key, named.n)).distinct().collect()}
+            rows = self._read_folders(name, schema, [f for b, f in named.parts.items() if b in own])
         return rows.join(F.broadcast(wanted), key, "left_semi")  # the caller's list
 
     def read_partition(self, name: str, schema: T.StructType, col: str, value) -> DataFrame:
-        """One date partition; the filter prunes partitions at planning time."""
+        """One date partition; a located table's folder of that date alone, else the filter prunes partitions at planning time."""
+        found = self._current(name)
+        if found and (named := _Named(found[1])).kind == "located":
+            return self._read_folders(name, schema, [named.parts[str(value)]] if str(value) in named.parts else [])
         return self.read(name, schema).where(F.col(col) == F.lit(value).cast(schema[col].dataType))
 
     # -- writes ------------------------------------------------------------
@@ -199,13 +216,14 @@ class TableStore:
         A table without buckets gets them with its first upsert.
         """
         found = self._current(name)
-        n, folders = _folders(found[1]) if found else (self.buckets, {})
-        whole, n = (n is None), n or self.buckets
+        named = _Named(found[1] if found else "")
+        n, folders = named.n or self.buckets, named.parts
+        whole = bool(found) and named.kind != "buckets"
         batches = [(cut_lineage(rows.select(*schema.names)), update) for rows, update in batches]
-        touched = sorted({r[0] for rows, _ in batches for r in rows.select(bucket_of(key, n)).distinct().collect()})  # n numbers at most
+        touched = sorted({str(r[0]) for rows, _ in batches for r in rows.select(bucket_of(key, n)).distinct().collect()})  # n numbers at most
         if not touched and not whole:
             return []
-        rows = self._read_folders(name, schema, list(folders.values()) if whole else [folders[b] for b in touched if b in folders])
+        rows = self._read_folders(name, schema, [f for b, f in folders.items() if whole or b in touched])
         for batch, update in batches:
             rows = upsert_in_place(rows, batch, key, update)
         return self._write_buckets(name, rows, key, n, {} if whole else folders)
@@ -214,14 +232,52 @@ class TableStore:
         """Rewrite a table into another number of buckets."""
         self._write_buckets(name, self.read(name, schema).repartition(buckets, bucket_of(key, buckets)), key, buckets, {})
 
-    def _write_buckets(self, name: str, rows: DataFrame, key: list[str], n: int, folders: dict[int, str]) -> list[int]:
+    def _write_buckets(self, name: str, rows: DataFrame, key: list[str], n: int, folders: dict[str, str]) -> list[int]:
         v, folder = self._attempt(name)
         path = f"{self.path(name)}/{folder}"
         (rows.withColumn("_bucket", bucket_of(key, n)).sortWithinPartitions("_bucket", *key)  # sorted: row groups can be skipped by key
          .write.mode("error").partitionBy("_bucket").parquet(path))
-        new = {int(f.split("=")[1]): f"{folder}/{f}" for f in self.names(path) if f.startswith("_bucket=")}
-        lines = [f"{b} {f}" for b, f in sorted((folders | new).items())]
-        self._publish(name, v, folder, "\n".join([f"{_BUCKETED}{n}", *lines]))
+        new = self._written(name, folder)
+        self._publish(name, v, folder, _listing("buckets", n, folders | new))
+        return sorted(map(int, new))
+
+    def _written(self, name: str, folder: str) -> dict[str, str]:
+        """Part -> folder of what a write partitioned by one column left."""
+        return {f.split("=", 1)[1]: f"{folder}/{f}" for f in self.names(f"{self.path(name)}/{folder}") if "=" in f}
+
+    def upsert_located(self, name: str, schema: T.StructType, key: list[str], by: str, batch: DataFrame, update_cols: list[str]) -> list[str]:
+        """K2 + T21: upsert by ``key`` into dates ``by``, which the batch may change; returns the dates rewritten.
+
+        Read are the locator's buckets of the batch's keys, and of the table only the dates that
+        hold one of them and the batch's own. A date without rows left is no longer listed.
+        """
+        if by not in update_cols:
+            raise ValueError(f"{by} must be one of the columns to update")
+        found = self._current(name)
+        named = _Named(found[1] if found else "")
+        fresh = named.kind != "located"  # a table of another layout is taken over whole
+        n = named.n if not fresh else self.buckets
+        where = T.StructType([*[schema[c] for c in key], schema[by]])
+        batch = cut_lineage(batch.select(*schema.names))
+        touched = {r[0] for r in batch.select(bucket_of(key, n)).distinct().collect()}  # n numbers at most
+        if not touched:
+            return []
+        held = self.read(name, schema).select(*where.names) if fresh else self._read_folders(
+            name, where, [f for b, f in named.locator.items() if b in touched])
+        keys = small_side(batch.select(*key))
+        days = {str(r[0]) for r in held.join(keys, key, "left_semi").select(by).unionByName(batch.select(by)).distinct().collect()}
+        old = self.read(name, schema) if fresh else self._read_folders(name, schema, [f for d, f in named.parts.items() if d in days])
+        v, folder = self._attempt(name)
+        path = f"{self.path(name)}/{folder}"
+        merged = upsert_in_place(old, batch, key, update_cols).withColumn("_part", F.col(by).cast("string"))
+        merged.sortWithinPartitions("_part", *key).write.mode("error").partitionBy("_part").parquet(f"{path}/rows")
+        moved = held.join(keys, key, "left_anti").unionByName(batch.select(*where.names).dropna(subset=key))
+        (moved.withColumn("_bucket", bucket_of(key, n)).sortWithinPartitions("_bucket", *key)
+         .write.mode("error").partitionBy("_bucket").parquet(f"{path}/where"))
+        parts = {} if fresh else {d: f for d, f in named.parts.items() if d not in days}
+        new = self._written(name, f"{folder}/rows")
+        locator = ({} if fresh else named.locator) | {int(b): f for b, f in self._written(name, f"{folder}/where").items()}
+        self._publish(name, v, folder, _listing("located", n, parts | new, locator))
         return sorted(new)
 
     def vacuum(self, name: str, keep: int = 2) -> list[int]:
@@ -230,7 +286,7 @@ class TableStore:
         if not found:
             return []
         last = found[0] - max(1, keep)
-        kept = {f.split("/")[0] for n in self._numbers(name) if n > last for f in _folders(self._named(name, n))[1].values()}
+        kept = set().union(*[_Named(self._named(name, n)).attempts() for n in self._numbers(name) if n > last])
         gone = [n for n in self._numbers(name) if n <= last]
         for path in [f"_published/{n}" for n in gone] + [
                 f for f in self.names(self.path(name))
@@ -257,11 +313,3 @@ class TableStore:
     def land(self, name: str, df: DataFrame, batch: str) -> None:
         """K1: land a raw batch; landing it again (a retry) replaces it."""
         df.write.mode("overwrite").parquet(f"{self.path(name)}/data/batch={batch}")
-
-    def drop_partitions(self, name: str, col: str, values: list) -> None:
-        """Delete whole partitions (used when an upsert moved all their rows away)."""
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        for v in values:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/data/{col}={v}")
-            p.getFileSystem(conf).delete(p, True)

@@ -122,3 +122,63 @@ def test_upsert_in_place_equals_upsert_without_a_shuffle_of_the_target(spark, tm
         upsert_in_place(t, s, ["k"], ["n"], max_broadcast_keys=1))
     plan = upsert_in_place(t, s, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+LOCATED = "k string, title string, day date"
+
+
+def _located(spark, store, rows):
+    import datetime as dt
+    df = spark.createDataFrame([(k, t, dt.date(2025, 6, d)) for k, t, d in rows], LOCATED)
+    return df.schema, lambda: store.upsert_located("s", df.schema, ["k"], "day", df, ["title", "day"])
+
+
+def _days(store, schema):
+    return sorted((r.k, r.title, r.day.day) for r in store.read("s", schema).collect())
+
+
+def test_a_moved_key_leaves_its_old_date(spark, tmp_path):
+    import datetime as dt
+    store = TableStore(spark, str(tmp_path / "wh"), buckets=4)
+    schema, first = _located(spark, store, [(f"j{i}", "a", 1 + i % 3) for i in range(9)])
+    assert first() == ["2025-06-01", "2025-06-02", "2025-06-03"]
+    parts = store._current("s")[1]
+    _, move = _located(spark, store, [("j0", "b", 4), ("new", "b", 4)])
+    assert move() == ["2025-06-01", "2025-06-04"]
+    kept = [x for x in parts.split("\n") if x.startswith(("part 2025-06-02", "part 2025-06-03"))]
+    assert len(kept) == 2 and set(kept) < set(store._current("s")[1].split("\n"))  # other dates' folders stay
+    want = sorted([("j0", "b", 4), ("new", "b", 4)] + [(f"j{i}", "a", 1 + i % 3) for i in range(1, 9)])
+    assert _days(TableStore(spark, str(tmp_path / "wh")), schema) == want
+    assert [r.k for r in store.read_partition("s", schema, "day", dt.date(2025, 6, 9)).collect()] == []
+    _, move = _located(spark, store, [("j3", "c", 4), ("j6", "c", 4)])
+    assert move() == ["2025-06-04"] and store.read_partition("s", schema, "day", dt.date(2025, 6, 1)).count() == 0
+    assert store.vacuum("s", keep=1) == [1, 2] and len(_days(store, schema)) == 10
+    _, again = _located(spark, store, [("j0", "d", 2)])  # found through a locator bucket of an earlier version
+    again()
+    assert [x for x in _days(store, schema) if x[0] == "j0"] == [("j0", "d", 2)]
+
+
+def test_a_crash_before_publication_changes_nothing(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "wh"), buckets=4)
+    schema, first = _located(spark, store, [("j0", "a", 1), ("j1", "a", 1)])
+    first()
+    _, move = _located(spark, store, [("j0", "b", 2)])
+    publish = TableStore._publish
+    monkeypatch.setattr(TableStore, "_publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        move()
+    monkeypatch.setattr(TableStore, "_publish", publish)
+    assert _days(TableStore(spark, str(tmp_path / "wh")), schema) == [("j0", "a", 1), ("j1", "a", 1)]
+    move()
+    move()  # the retry, and one more
+    assert _days(store, schema) == [("j0", "b", 2), ("j1", "a", 1)]
+
+
+def test_a_table_of_dates_is_taken_over(spark, tmp_path):
+    import datetime as dt
+    store = TableStore(spark, str(tmp_path / "wh"), buckets=4)
+    old = spark.createDataFrame([("j0", "a", dt.date(2025, 6, 1)), ("j1", "a", dt.date(2025, 6, 1))], LOCATED)
+    store.overwrite_partitions("s", old, "day")
+    schema, move = _located(spark, store, [("j0", "b", 2)])
+    move()
+    assert _days(store, schema) == [("j0", "b", 2), ("j1", "a", 1)]
