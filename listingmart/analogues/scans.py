@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from listingmart.functions import dates as D
 from listingmart.operators import checks as CK
 from listingmart.operators import lookup as LK
 from listingmart.plans import clean as CL
+from listingmart.session import checkpoint_dir
 from listingmart.sources import listings as LS
 from listingmart.sources import lookups as LU
+from listingmart.sources import scans as SC
 from listingmart.analogues.registry import EVENTS_DS, ORDERS_DS, query, tbl
 
 
@@ -74,6 +78,47 @@ def q_listing_scan_a(spark, sf):
                     F.col("pagination.total").alias("announced_total"))
 
 
+def _page_files(spark, sf):
+    """Source A's pages as text files, one page a line: some truncated, some written twice, some times unreadable."""
+    o = tbl(spark, sf, "orders")
+    row = _a_row(o)
+    soon = F.when(F.col("o_orderkey") % 101 == 3, "soon").otherwise(F.col("r.publishedAt"))
+    row = row.withColumn("r", F.col("r").withField("publishedAt", soon))
+    txt = _pages(row, "page", "o_orderkey", "results",
+                 lambda n: [F.struct(n.alias("total"), F.lit(1).alias("totalPages")).alias("pagination")])
+    cut = F.expr("left(json, cast(length(json) / 2 as int))")
+    txt = txt.select("page", F.when(F.col("page") % 97 == 5, cut).otherwise(F.col("json")).alias("json"))
+    lines = txt.select("json").unionByName(txt.where(F.col("page") % 53 == 7).select("json"))
+    path = f"{checkpoint_dir(spark)}/analogue-pages/{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return SC.scan_pages(spark, path, LS.PAGE_A, "results", lines=True)
+
+
+_FILE_ROWS_SQL = r"""SELECT 'Job ' || o_orderkey AS title, CAST(o_custkey % 5 + 1 AS INTEGER) AS positions,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS datetime_published, 'Company ' || o_custkey AS company
+FROM orders WHERE (o_orderkey // 100) % 97 <> 5 AND o_orderkey % 101 <> 3"""
+
+
+@query("listing_scan_files", _FILE_ROWS_SQL)
+def q_listing_scan_files(spark, sf):
+    """Page files on disk, bad and repeated pages and unreadable times set aside -> listing rows."""
+    good, _ = SC.split_rows(LS.flatten_a(SC.usable_pages(_page_files(spark, sf))), ["datetime_published"])
+    return good.select("title", "positions", "datetime_published", "company")
+
+
+@query("page_rejects", r"""
+WITH p AS (SELECT DISTINCT o_orderkey // 100 AS page FROM orders)
+SELECT 'unreadable page' AS reason, NULL AS title FROM p WHERE page % 97 = 5
+UNION ALL SELECT CASE WHEN page % 97 = 5 THEN 'unreadable page' ELSE 'repeated page' END, NULL FROM p WHERE page % 53 = 7
+UNION ALL SELECT 'unreadable datetime_published', 'Job ' || o_orderkey FROM orders
+  WHERE (o_orderkey // 100) % 97 <> 5 AND o_orderkey % 101 = 3""")
+def q_page_rejects(spark, sf):
+    """What a scan of page files set aside, page by page and listing by listing."""
+    scanned = _page_files(spark, sf)
+    _, bad = SC.split_rows(LS.flatten_a(SC.usable_pages(scanned)), ["datetime_published"])
+    return SC.rejected_pages(scanned).unionByName(bad).select("reason", "title")
+
+
 def _flat_a(spark, sf):
     f = LS.flatten_a(_a_pages(spark, sf))
     return f.select("_page", "_pos", "title", "positions", "datetime_published", "work_mode", "company",

@@ -26,6 +26,7 @@ from listingmart.schemas import STG_A, STG_B
 from listingmart.session import cut_lineage
 from listingmart.sources.listings import PAGE_A, PAGE_B, flatten_a, flatten_b, read_pages
 from listingmart.sources.lookups import read_lookup
+from listingmart.sources.scans import rejected_pages, scan_pages, scan_report, split_rows, usable_pages
 from listingmart.sources.store import TableStore
 
 B_LOOKUPS = {"experience": "experience", "sector": "sector", "function": "function"}
@@ -56,11 +57,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str, keep: int | None = None) -> dict:
+# Of each source: page schema, list of listings, announced total, flattener, time columns (the first is required).
+SCANS = {"a": (PAGE_A, "results", "pagination.total", flatten_a, ["datetime_published"]),
+         "b": (PAGE_B, "hydra:member", "`hydra:totalItems`", flatten_b, ["datetime_published", "expire_date"])}
+
+
+def day_rows(store: TableStore, source: str, path: str, ds: dt.date, rejects: bool) -> DataFrame:
+    """The day's raw listings. With ``rejects`` unusable pages and listings go to the table
+    ``rejects_<source>`` and the page report to ``page_report_<source>``, a folder for each day
+    that a re-run replaces; without, they are left to the checks, which stop the run.
+    """
+    schema, listed, total, flatten, times = SCANS[source]
+    if not rejects:
+        return flatten(read_pages(store.spark, path, schema))
+    scanned = cut_lineage(scan_pages(store.spark, path, schema, listed))  # read once for all that follows
+    rows, bad = split_rows(flatten(usable_pages(scanned)), times)
+    store.land(f"rejects_{source}", rejected_pages(scanned).unionByName(bad), str(ds))
+    store.land(f"page_report_{source}", scan_report(scanned, total, listed), str(ds))
+    return rows
+
+
+def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str, keep: int | None = None, rejects: bool = False) -> dict:
     """Run both sources for ``ds`` and publish gold; returns the gold frames.
 
     ``keep``: versions of each table that stay (older ones go before the run
     writes, so frames of this run and of the one before it can be read); None: all.
+    ``rejects``: unusable pages and listings are set aside (``day_rows``) and do not stop the run.
     """
     ds = dt.date.fromisoformat(str(ds)) if not isinstance(ds, dt.date) else ds
     store = TableStore(spark, warehouse)
@@ -69,7 +91,7 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
     snaps = {}
     a_pages = f"{landing}/a/{ds.isoformat()}/pages"
     if _exists(spark, a_pages):
-        rows = flatten_a(read_pages(spark, a_pages, PAGE_A))
+        rows = day_rows(store, "a", a_pages, ds, rejects)
         if has_rows(rows):  # P18 gate
             lookups = {a: read_lookup(spark, f"{landing}/a/lookups/{a}.json", "collection")
                        for a in A_TRANSLATED}
@@ -77,7 +99,7 @@ def run_day(spark: SparkSession, landing: str, warehouse: str, ds: dt.date | str
             snaps["a"] = snapshot_a(read_day(store, "stg_emploitic", ds))
     b_pages = f"{landing}/b/{ds.isoformat()}/pages"
     if _exists(spark, b_pages):
-        rows = flatten_b(read_pages(spark, b_pages, PAGE_B))
+        rows = day_rows(store, "b", b_pages, ds, rejects)
         if has_rows(rows):
             lk = {k: read_lookup(spark, f"{landing}/b/lookups/{v}.json", "hydra:member")
                   for k, v in B_LOOKUPS.items()}
@@ -104,10 +126,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--warehouse", required=True, help="table store folder (shared file system)")
     ap.add_argument("--ds", required=True, help="run date, YYYY-MM-DD")
     ap.add_argument("--keep", type=int, help="versions of each table that stay (default: all)")
+    ap.add_argument("--rejects", action="store_true", help="set unusable pages and listings aside")
     ap.add_argument("--audit", action="store_true", help="print the star-schema constraint report")
     args = ap.parse_args(argv)
     spark = get_session()
-    gold = run_day(spark, args.landing, args.warehouse, args.ds, args.keep)
+    gold = run_day(spark, args.landing, args.warehouse, args.ds, args.keep, args.rejects)
     print(f"published: {', '.join(sorted(gold))}")
     if args.audit:
         star_report(TableStore(spark, args.warehouse)).where("violations > 0").show(truncate=False)
