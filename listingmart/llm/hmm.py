@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from listingmart.llm.common import crc_mod, id_text, map_batches, partitions, query, scratch_path, table
 
 STATES, CLASSES, SEGMENT = 8, 1024, 64
-ITERATIONS = 10
+#: Iterations at most, and the relative gain of the training likelihood below which they end.
+ITERATIONS, GAIN = 10, 2e-3
 #: A block ends at so many distinct words or bytes of text.
 BLOCK_WORDS, BLOCK_BYTES = 500_000, 24_000_000
 SMOOTH = 0.1
@@ -190,6 +191,11 @@ def segments(sequences: list[np.ndarray], length: int = SEGMENT) -> tuple[np.nda
 
 def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Baum-Welch expectations of a batch of segments: start, move and emit counts in one vector."""
+    return expectation(model, classes, sizes)[:-1]
+
+
+def expectation(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``expected_counts`` and, last, the segments' log likelihood under ``model``."""
     n, width = classes.shape
     states = len(model.start)
     move, emit = model.move.astype(np.float32), np.ascontiguousarray(model.emit.T.astype(np.float32))
@@ -198,12 +204,14 @@ def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.
     seen = emit[classes]  # (n, width, states)
     seen[~real] = 1.0
     a = model.start.astype(np.float32) * seen[0]
-    alpha[0] = a / a.sum(axis=1, keepdims=True)
+    first = a.sum(axis=1, keepdims=True)
+    alpha[0] = a / first
     scale = np.ones((n, width, 1), np.float32)
     for t in range(1, n):
         a = (alpha[t - 1] @ move) * seen[t]
         scale[t] = a.sum(axis=1, keepdims=True)
         alpha[t] = a / scale[t]
+    likelihood = np.log(first, dtype=np.float64).sum() + np.log(scale[:, :, 0], dtype=np.float64).sum(where=real)
     moves = np.zeros((states, states))
     beta = np.ones((width, states), np.float32)
     gamma = alpha  # overwritten from the end: alpha[t] is not needed after its own step
@@ -219,32 +227,40 @@ def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.
     flat /= np.maximum(flat.sum(axis=1, keepdims=True), 1e-30)
     emits = np.stack([np.bincount(at, flat[:, k], CLASSES) for k in range(states)])
     starts = flat.reshape(n, width, states)[0].sum(axis=0)
-    return np.concatenate([starts, moves.ravel(), emits.ravel()])
+    return np.concatenate([starts, moves.ravel(), emits.ravel(), [likelihood]])
 
 
 def _expectations(model: Model):
     def run(batches):
-        total = np.zeros(STATES + STATES * STATES + STATES * CLASSES)
+        total = np.zeros(STATES + STATES * STATES + STATES * CLASSES + 1)
         for b in batches:
             held, size = [], 0
             for x in b.column("b").to_pylist():
                 held.append(np.frombuffer(x, np.uint16))
                 size += len(held[-1])
                 if size >= 100_000:
-                    total += expected_counts(model, *segments(held))
+                    total += expectation(model, *segments(held))
                     held, size = [], 0
             if held:
-                total += expected_counts(model, *segments(held))
+                total += expectation(model, *segments(held))
         yield pa.record_batch({"k": pa.array(np.arange(len(total), dtype=np.int32)), "v": pa.array(total)})
     return run
 
 
 def baum_welch(docs: DataFrame, model: Model, iterations: int) -> Model:
-    """Iterations over all rows of ``docs`` (column b: class sequence); counts are summed across partitions."""
+    """At most ``iterations`` over all rows of ``docs`` (column b: class sequence); counts are summed across partitions.
+
+    Each tells the likelihood of the model that it began with; once an iteration has raised it by less
+    than ``GAIN`` of itself, its counts make the last model.
+    """
+    before, ended = -math.inf, False
     for _ in range(iterations):
-        total = _vector(map_batches(docs.select("b"), _expectations(model), "k int, v double"),
-                        STATES + STATES * STATES + STATES * CLASSES)
-        start, move, emit = np.split(total, [STATES, STATES + STATES * STATES])
+        if ended:
+            break
+        *total, likelihood = _vector(map_batches(docs.select("b"), _expectations(model), "k int, v double"),
+                                     STATES + STATES * STATES + STATES * CLASSES + 1)
+        before, ended = likelihood, likelihood - before < GAIN * abs(likelihood)
+        start, move, emit = np.split(np.array(total), [STATES, STATES + STATES * STATES])
         move, emit = move.reshape(STATES, STATES) + 1e-3, emit.reshape(STATES, CLASSES) + 0.05
         model = Model((start + 1e-3) / (start + 1e-3).sum(), move / move.sum(axis=1, keepdims=True),
                       emit / emit.sum(axis=1, keepdims=True))
