@@ -272,8 +272,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     first = stored(hashed.groupBy("fp").agg(F.min("at").alias("at")), "simhash-first")
     roots = classes(first, distance).join(first, "fp")
     kept = stored(roots.groupBy("root").agg(F.min(F.struct("at", "fp")).alias("k"))
-                  .select(F.col("k.fp").alias(fp), F.col(f"k.at.{tag}").alias("keep_" + tag)), "simhash-kept")
-    return tagged.join(kept, fp).filter(F.col(tag) == F.col("keep_" + tag)).select(*docs.columns)
+                  .select(F.col("k.fp").alias(fp), F.col(f"k.at.{tag}").alias(tag)), "simhash-kept")
+    return tagged.join(kept, [fp, tag], "left_semi").select(*docs.columns)
 
 
 @query("op2_simhash")

@@ -111,6 +111,9 @@ def test_simhash(docs, empty, rows):
     least = {r: min((i for (i, _, _), x in zip(rows[0], root, strict=True) if x == r and i is not None), default=None) for r in root}
     want = Counter((i, format(x, "016x"), least[r]) for (i, _, _), x, r in zip(rows[0], f, root, strict=True))
     assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
+    clash = docs.withColumns({"keep_tag": F.lit(1), "keep_tag_": F.lit(2), "at": F.lit(3), "root": F.lit(4), "k": F.lit(5)})
+    assert simhash.keep_one(clash).columns == clash.columns
+    assert simhash.keep_one(clash).count() == simhash.keep_one(docs).count()
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(least[r] for r in set(root))
