@@ -12,10 +12,11 @@ from __future__ import annotations
 import gc
 import os
 import re
-
-import numpy as np
+from struct import pack
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Marks that the split pattern cuts off the letters before them.
+_ENDS = frozenset(".,;:!?")
 #: Pieces whose ids a worker keeps at most.
 CACHE_ENTRIES = 500_000
 
@@ -42,6 +43,10 @@ class _Bounded(dict):
         return ids
 
 
+def _packed(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
+
+
 class _Words(_Bounded):
     """Ids of the model for one pre-token (already cut by the split pattern)."""
 
@@ -51,7 +56,12 @@ class _Words(_Bounded):
 
     def ids(self, word: str) -> bytes:
         mapped = word.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return _packed([t.id for t in self.model.tokenize(mapped)])
+
+    def letters(self, word: str) -> bytes:
+        """``ids`` of A-Z letters, perhaps after one space: only the space is spelled otherwise."""
+        mapped = self.alphabet[0x20] + word[1:] if word[0] == " " else word
+        return _packed([t.id for t in self.model.tokenize(mapped)])
 
     def __missing__(self, word: str) -> bytes:
         return self.keep(word, self.ids(word))
@@ -67,6 +77,12 @@ class _Pieces(_Bounded):
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[-1].isspace() or (self.lead and piece[0].isspace()):
             raise _Irregular
+        words = self.encoder.words
+        if piece.isascii() or max(piece) < "ɐ":  # Latin letters: the split pattern takes a run of them as one pre-token
+            if piece.isalpha():
+                return self.keep(piece, (words.letters if piece.isascii() else words.ids)(self.lead + piece))
+            if piece[:-1].isalpha() and piece[-1] in _ENDS:  # most words stand in the text without the mark as well
+                return self.keep(piece, self[piece[:-1]] + words[piece[-1]])
         return self.keep(piece, self.encoder.plain(self.lead + piece))
 
 
@@ -84,12 +100,12 @@ class TextEncoder:
         self.first, self.rest = _Pieces(self, ""), _Pieces(self, " ")
 
     def plain(self, piece: str) -> bytes:
-        if max(piece) < "ɐ" and "<|" not in piece:
+        if (piece.isascii() or max(piece) < "ɐ") and "<|" not in piece:
             words = self.find(piece)
             if len(words) == 1:  # the caller keeps the piece: no second entry
                 return self.words.ids(piece)
             return b"".join(map(self.words.__getitem__, words))
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
