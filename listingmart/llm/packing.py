@@ -7,9 +7,10 @@ fill a sequence take one of their own. The others are packed in rounds:
 * each range partition sweeps upwards: a gap takes the largest document at
   most its size that is still free, and again while something fits;
 * documents and gaps left over in different partitions are matched by rank:
-  the driver sees two counts per partition, pairs the counts like brackets,
-  and both sides find their partner by (partition, rank); a gap takes as many
-  documents of a run as surely fit;
+  the driver sees the counts of each partition (written by the sweep), pairs
+  them like brackets, and both sides find their partner by (partition, rank)
+  in a broadcast table of runs; a gap takes as many documents of a run as
+  surely fit;
 * documents larger than every gap that remains need new sequences, and so does
   what all gaps together cannot hold: the largest documents open as many as the
   total sizes require;
@@ -43,7 +44,7 @@ CAPACITY, END_ID = 2048, 0
 SWEEP_ROWS = 200_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "kind int, item long, size long, bin long, gap long, part int, rank long"
-MATCHED, ITEM, GAP = 0, 1, 2
+MATCHED, ITEM, GAP, SIZES, WAITS = range(5)
 
 
 def _cut(path: str, end_id: int, capacity: int):
@@ -80,7 +81,7 @@ def _sweep(batches):
     part = TaskContext.get().partitionId()
     free: dict[int, list[int]] = {}
     sizes, out = 0, []  # sizes: bit s is set while a document of size s is free
-    left = 0  # gaps that found nothing
+    left, least = 0, None  # gaps that found nothing, the smallest of them
 
     def emit():
         cols = list(zip(*out, strict=True)) or [()] * 7
@@ -106,10 +107,14 @@ def _sweep(batches):
                     out.append((GAP, None, None, key, gap, part, None))  # shrunk: no partner in this round
             else:
                 out.append((GAP, None, None, key, gap, part, left))
-                left += 1
+                left, least = left + 1, least or gap
         yield emit()
+    if left:
+        out.append((WAITS, None, None, left, least, part, None))
     rank = 0
     for s in sorted(free):
+        if free[s]:
+            out.append((SIZES, None, s, len(free[s]), None, part, None))
         for key in free[s]:
             out.append((ITEM, key, s, None, None, part, rank))
             rank += 1
@@ -140,85 +145,88 @@ def _bracket(counts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, in
     return runs
 
 
-def _paired(runs):
-    """Number the gaps of the runs: a gap and the documents that it takes get the same number."""
-    gaps: dict[int, list] = {}
-    items: dict[int, list] = {}
-    base = 0
+def _pairing(spark, runs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs as tables of gaps and documents (a gap and what it takes get the same number), last paired gap of each partition."""
+    gaps, items, base = [], [], 0
     for gp, g0, ip, i1, n, each in runs:
         used = -(-n // each)
-        gaps.setdefault(gp, []).append((g0, used, base))
-        items.setdefault(ip, []).append((i1, n, each, base))
+        gaps.append((gp, g0, g0 + used - 1, base))
+        items.append((ip, i1 - n + 1, i1, each, base))
         base += used
+    last = {part: high for part, _, high, _ in gaps}  # the runs of a partition's gaps ascend and leave no holes
+    return (_small(spark, gaps, "part", "low", "high", "base"), _small(spark, items, "part", "low", "high", "each", "base"),
+            _small(spark, [*last.items()], "part", "last"))
 
-    def number(kind, part, rank):
-        if rank is None:
-            return None
-        if kind == GAP:
-            return next((b + rank - g0 for g0, n, b in gaps.get(part, ()) if g0 <= rank < g0 + n), None)
-        return next((b + (i1 - rank) // each for i1, n, each, b in items.get(part, ()) if i1 - n < rank <= i1), None)
 
-    def run(batches):
-        for b in batches:
-            pair = [number(*r) for r in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "rank")), strict=True)]
-            yield b.append_column("pair", pa.array(pair, pa.int64()))
-    return run
+def _small(spark, rows: list[tuple], *names: str) -> DataFrame:
+    """A table of at most two rows a range partition, to be broadcast."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return F.broadcast(spark.createDataFrame(pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})))
 
 
 def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
-    """One bulk-synchronous round: (placements, items left, gaps left, counts of both) as written tables."""
+    """One bulk-synchronous round: (placements, documents left, gaps left, their counts); two tables are written."""
+    spark = items.sparkSession
     rows = items.select(F.lit(ITEM).alias("kind"), F.col("item").alias("id"), "size").unionByName(
         gaps.select(F.lit(GAP).alias("kind"), F.col("bin").alias("id"), F.col("gap").alias("size")))
     dealt = (rows.repartitionByRange(max(1, -(-n // SWEEP_ROWS)), "size", "kind", "id")
              .sortWithinPartitions("size", "kind", "id"))
     swept = stored(map_batches(dealt, _sweep, _SWEPT), "packing-sweep")
-    left = swept.filter(F.col("kind") != MATCHED)
-    # two counts and two sizes per range partition
-    waits, free = (F.col("kind") == GAP) & F.col("rank").isNotNull(), F.col("kind") == ITEM
-    counts = left.groupBy("part").agg(F.count_if(waits).alias("g"), F.count_if(free).alias("i"),
-                                      F.min(F.when(waits, F.col("gap"))).alias("least"), F.max(F.when(free, F.col("size"))).alias("widest")).collect()
-    runs = _bracket(sorted((r["part"], r["g"], r["i"], r["least"] or 0, r["widest"] or 0) for r in counts))
-    paired = stored(map_batches(left, _paired(runs), _SWEPT + ", pair long"), "packing-paired")
-    item_side = paired.filter(F.col("kind") == ITEM).select("item", "size", "part", "rank", "pair")
-    gap_side = paired.filter(F.col("kind") == GAP).select("bin", "gap", "pair")
+    # ranges hold ascending sizes: at most ``capacity`` rows and two for each range partition
+    free: dict[int, list[tuple[int, int]]] = {}
+    waits: dict[int, tuple[int, int]] = {}
+    for kind, part, size, count, gap in swept.filter(F.col("kind").isin(SIZES, WAITS)).select("kind", "part", "size", "bin", "gap").collect():
+        if kind == SIZES:
+            free.setdefault(part, []).append((size, count))
+        else:
+            waits[part] = (count, gap)
+    left = {p: sum(c for _, c in sizes) for p, sizes in free.items()}
+    runs = _bracket([(p, waits.get(p, (0, 0))[0], left.get(p, 0), waits.get(p, (0, 0))[1], max(free.get(p, [(0, 0)]))[0])
+                     for p in sorted(waits.keys() | free.keys())])
+    for _, _, part, _, taken, _ in runs:  # always the largest documents of a partition
+        left[part] -= taken
+    gap_runs, item_runs, last = _pairing(spark, runs)
+    within = F.col("rank").between(F.col("low"), F.col("high"))
+    waiting = swept.filter(F.col("kind") == GAP).select("bin", "gap", "part", "rank")
+    item_side = swept.filter(F.col("kind") == ITEM).select("item", "size", "part", "rank")
+    paired_gaps = waiting.join(gap_runs, "part").filter(within).select("bin", "gap", (F.col("base") + F.col("rank") - F.col("low")).alias("pair"))
+    paired_items = item_side.join(item_runs, "part").filter(within).select(
+        "item", "size", "rank", "part", (F.col("base") + F.expr("(high - rank) div each")).alias("pair"))
     # the documents of one gap stand one after the other; the last one leaves the gap that remains
     of_gap = Window.partitionBy("pair")
     until = F.sum("size").over(of_gap.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    crossed = stored(item_side.filter("pair IS NOT NULL").join(gap_side.filter("pair IS NOT NULL"), "pair")
+    crossed = stored(paired_items.join(paired_gaps, "pair")
                      .withColumns({"until": until, "all": F.sum("size").over(of_gap)})
                      .select("item", "size", "bin", (F.col("gap") - F.col("until") + F.col("size")).alias("gap"),
                              F.when(F.col("until") == F.col("all"), F.col("gap") - F.col("all")).alias("left")), "packing-cross")
     matched = swept.filter(F.col("kind") == MATCHED).select("item", "size", "bin", "gap").unionByName(crossed.drop("left"))
-    open_gaps = (gap_side.filter("pair IS NULL").select("bin", "gap")
-                 .unionByName(crossed.filter("left IS NOT NULL").select("bin", F.col("left").alias("gap"))).filter("gap > 0"))
-    rest = item_side.filter("pair IS NULL").select("item", "size", "part", "rank")
-    widest, room = open_gaps.agg(F.max("gap"), F.sum("gap")).first()
-    widest, room = widest or 0, room or 0
-    # ranges hold ascending sizes: at most ``capacity`` rows beside one for each range partition
-    sizes = rest.groupBy("part", "size").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
-    by_size, per_part = Counter(), {}
-    for r in sizes:
-        by_size[r["size"]] += r["n"]
-        per_part[r["part"]] = max(per_part.get(r["part"], 0), r["last"])
-    need = sum(s * c for s, c in by_size.items() if s > widest)
+    open_gaps = (waiting.join(last, "part", "left").filter("rank IS NULL OR last IS NULL OR rank > last").select("bin", "gap")
+                 .unionByName(crossed.filter("left IS NOT NULL").select("bin", F.col("left").alias("gap"))))
+    by_size = Counter()
+    for part, sizes in free.items():
+        rest = left[part]
+        for size, count in sorted(sizes):
+            by_size[size] += min(count, rest)
+            rest -= min(count, rest)
+    least = min(+by_size, default=capacity)
+    useful = open_gaps.filter(F.col("gap") >= least)
+    widest, room, n_gaps = useful.agg(F.max("gap"), F.sum("gap"), F.count("*")).first()
+    need = sum(s * c for s, c in by_size.items() if s > (widest or 0))
     # those larger than every gap need new sequences; so does what all gaps together cannot hold
-    over = sum(s * c for s, c in by_size.items()) - room
-    opened = max(0, -(-need // capacity), -(-over // capacity))
+    over = sum(s * c for s, c in by_size.items()) - (room or 0)
     total = sum(by_size.values())
-    above, acc = [], 0
-    for part in sorted(per_part, reverse=True):  # documents of higher partitions are larger
-        above.append((part, acc, per_part[part]))
-        acc += per_part[part] + 1
-    from_top = reduce(lambda e, p: e.when(F.col("part") == p[0], F.lit(p[1] + p[2]) - F.col("rank")), above, F) if above else F.lit(0)
-    ranked = rest.withColumn("opens", (from_top < opened) if opened else F.lit(False))
-    opening = stored(ranked.filter("opens").select("item", "size"), "packing-open")
-    n_opened = min(opened, total)  # the ranks of a partition's documents have no holes
+    n_opened = opened = min(total, max(0, -(-need // capacity), -(-over // capacity)))
+    cuts = []
+    for part in sorted(left, reverse=True):  # documents of higher partitions are larger
+        opens = min(left[part], opened)
+        cuts.append((part, left[part] - opens, left[part]))
+        opened -= opens
+    unpaired = item_side.join(_small(spark, cuts, "part", "stays", "unpaired"), "part")
+    opening = unpaired.filter("rank >= stays AND rank < unpaired").select("item", "size")
     placed = matched.select("item", F.col("bin").alias("sequence_id"), (F.lit(capacity) - F.col("gap")).alias("offset")).unionByName(
         opening.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    least = min(by_size, default=0)
-    next_gaps = open_gaps.unionByName(opening.select(F.col("item").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap")))
-    next_gaps = stored(next_gaps.filter(F.col("gap") >= least), "packing-gaps")
-    return placed, ranked.filter("NOT opens").select("item", "size"), next_gaps, total - n_opened, next_gaps.count()
+    next_gaps = useful.unionByName(opening.select(F.col("item").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap")))
+    return placed, unpaired.filter("rank < stays").select("item", "size"), next_gaps, total - n_opened, n_gaps + n_opened
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
