@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from listingmart.functions import dates as D
 from listingmart.operators import delta as DL
 from listingmart.analogues.aggregates import _daily_events
-from listingmart.analogues.registry import EVENTS_DS, ORDERS_DS, query, tbl
+from listingmart.analogues.registry import EVENTS_DS, ORDERS_DS, _iso_sql, query, tbl, with_iso_dates
 
 
 def _cumulative(spark, sf):
@@ -55,6 +55,29 @@ def q_counter_to_delta_incremental(spark, sf):
     return DL.counter_delta(today, history, ["user_id", "event_type"], ["cnt"], EVENTS_DS, "day", "published")
 
 
+_LATE_FROM, _LATE_TO = "2024-01-10", "2024-01-19"
+_W3_SQL = """SELECT user_id, event_type, day, CAST(cnt - coalesce(lag(cnt IGNORE NULLS) OVER
+  (PARTITION BY user_id, event_type ORDER BY day), 0) AS INTEGER) AS cnt FROM """
+
+
+@query("counter_to_delta_interval", _iso_sql(r"""
+WITH c AS """ + _CUM_SQL + rf""",
+s AS (SELECT user_id, event_type, day, CASE WHEN day BETWEEN DATE '{_LATE_FROM}' AND DATE '{_LATE_TO}'
+  THEN cnt + CAST(user_id % 3 AS INTEGER) ELSE cnt END AS cnt FROM c
+  WHERE NOT (day BETWEEN DATE '{_LATE_FROM}' AND DATE '{_LATE_TO}' AND (user_id + dayofmonth(day)) % 5 = 0)),
+now AS ({_W3_SQL} c), stored AS ({_W3_SQL} s)
+SELECT now.* FROM now LEFT JOIN stored USING (user_id, event_type, day)
+WHERE day BETWEEN DATE '{_LATE_FROM}' AND DATE '{_LATE_TO}' OR (day > DATE '{_LATE_TO}' AND now.cnt IS DISTINCT FROM stored.cnt)""", ["day"]))
+def q_counter_to_delta_interval(spark, sf):
+    """W2 over an interval that is backfilled late: stored days in it are wrong or missing, the first later day is repaired."""
+    keys, cum = ["user_id", "event_type"], _cumulative(spark, sf)
+    late = F.col("day").between(F.lit(_LATE_FROM).cast("date"), F.lit(_LATE_TO).cast("date"))
+    wrong = F.when(late, F.col("cnt") + F.col("user_id") % 3).otherwise(F.col("cnt")).cast("int")
+    missing = late & ((F.col("user_id") + F.dayofmonth("day")) % 5 == 0)
+    history = DL.counter_delta_full(cum.where(~missing).withColumn("cnt", wrong), keys, "day", ["cnt"])
+    return with_iso_dates(DL.counter_delta_interval(cum.where(late), history, keys, ["cnt"], _LATE_FROM, _LATE_TO, "day"))
+
+
 @query("days_since_published", r"""
 SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') AS INTEGER) AS days
 FROM orders""")

@@ -65,6 +65,65 @@ def counter_delta_full(cumulative: DataFrame, keys: list[str], order: str,
     return out
 
 
+def counter_delta_interval(batch: DataFrame, history: DataFrame, keys: list[str], metrics: list[str], start, end,
+                           date_col: str = "date", published_col: str | None = None) -> DataFrame:
+    """W2 for every day from ``start`` to ``end`` in one plan, later days repaired.
+
+    ``batch``: cumulative values, one row per key and day. ``history``: stored
+    changes of any day, also of days in or after the interval. Returned are the
+    batch's rows as changes and every stored row of the batch's keys from
+    ``start`` on whose change is no longer right, so a late correction moves
+    the first later day as well (T12). Stored days without a batch row keep
+    their cumulative value. A key without earlier values starts at its own
+    value; a NULL value has a NULL change; rows of the batch outside the interval are ignored.
+
+    One exchange on the keys serves the sums by day and the windows; earlier
+    history travels as one row per key, and a window holds one key's days
+    since ``start``.
+    """
+    day, first, last = F.col(date_col), _date_lit(start), _date_lit(end)
+    batch = batch.where(day.between(first, last))
+    wanted = batch.select(*keys).distinct()
+    if fits(wanted):  # proven bounded: the history is filtered map-side
+        wanted = F.broadcast(wanted)
+    stored = history.join(wanted, keys, "left_semi")
+    none = F.lit(None)
+    published = [F.col(published_col).cast("timestamp").alias("_published")] if published_col else []
+    no_time = [none.cast("timestamp").alias("_published")] if published_col else []
+    before = stored.where(day < first).groupBy(*keys).agg(*[F.sum(m).alias(f"_old_{m}") for m in metrics]).select(
+        *keys, none.cast("date").alias(date_col), F.lit(False).alias("_new"),
+        *[F.col(f"_old_{m}") for m in metrics], *[none.cast("long").alias(f"_val_{m}") for m in metrics], *no_time)
+    since = stored.where(day >= first).select(
+        *keys, date_col, F.lit(False).alias("_new"),
+        *[F.col(m).cast("long").alias(f"_old_{m}") for m in metrics], *[none.cast("long").alias(f"_val_{m}") for m in metrics], *no_time)
+    fresh = batch.select(
+        *keys, date_col, F.lit(True).alias("_new"),
+        *[none.cast("long").alias(f"_old_{m}") for m in metrics], *[F.col(m).cast("long").alias(f"_val_{m}") for m in metrics], *published)
+    rows = before.unionByName(since).unionByName(fresh).repartition(*[F.col(k) for k in keys])
+    by_day = rows.groupBy(*keys, date_col).agg(
+        F.max("_new").alias("_new"),
+        *[F.max(f"_{side}_{m}").alias(f"_{side}_{m}") for side in ("old", "val") for m in metrics],
+        *([F.max("_published").alias("_published")] if published_col else []))
+    in_order = Window.partitionBy(*keys).orderBy(day.asc_nulls_first())  # the row of earlier days comes first
+    until, earlier = (in_order.rowsBetween(Window.unboundedPreceding, to) for to in (Window.currentRow, -1))
+    for m in metrics:
+        # a stored NULL change on a day is a day without a value
+        held = F.when(F.col(f"_old_{m}").isNotNull(), F.sum(f"_old_{m}").over(until))
+        by_day = by_day.withColumn(f"_now_{m}", F.when(F.col("_new"), F.col(f"_val_{m}")).otherwise(held))
+    for m in metrics:
+        previous = F.last(F.col(f"_now_{m}"), ignorenulls=True).over(earlier)
+        by_day = by_day.withColumn(m, F.col(f"_now_{m}") - F.coalesce(previous, F.lit(0)))
+    if published_col:
+        by_day = by_day.withColumn("_published", F.max("_published").over(Window.partitionBy(*keys)))
+    moved = F.lit(False)
+    for m in metrics:
+        moved = moved | ~F.col(m).eqNullSafe(F.col(f"_old_{m}"))
+    out = [*keys, date_col, *[F.col(m).cast(batch.schema[m].dataType).alias(m) for m in metrics]]
+    if published_col:
+        out.append(days_between(day, F.col("_published")).alias("days_since_published"))
+    return by_day.where(day.isNotNull() & (F.col("_new") | moved)).select(*out)
+
+
 def metrics_location_join(staging_day: DataFrame, br_location: DataFrame,
                           dim_location: DataFrame) -> DataFrame:
     """J4 + J5: staging rows of one day -> (job, location) via the location bridge.

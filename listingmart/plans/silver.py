@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from listingmart.functions.dates import _date_lit
 from listingmart.operators.dedup import distinct_members, first_per_key
-from listingmart.operators.delta import counter_delta, metrics_location_join
+from listingmart.operators.delta import counter_delta, counter_delta_interval, metrics_location_join
 from listingmart.operators.keys import assign_keys, seed_unknown
 from listingmart.operators.lookup import fits_many, small_side
 from listingmart.session import cut_lineage
@@ -237,3 +237,27 @@ def daily_metrics(store: TableStore, stg_b_day: DataFrame, ds) -> DataFrame:
     store.overwrite_partitions("fct_job_performance_daily", merged, "date")
     new_day = store.read("fct_job_performance_daily", FCT_DAILY).where(F.col("date") == _date_lit(ds))
     return old_day, new_day, ds
+
+
+def daily_metrics_interval(store: TableStore, stg_b_days: DataFrame, start, end) -> None:
+    """C6 for all days of a backfilled interval in one plan, with repair of later days.
+
+    ``stg_b_days``: staging rows of source B scraped from ``start`` to ``end``.
+    Rewrites the ``date`` partitions that hold a new or changed row and no
+    other; an existing days_since_published is kept (T16). The summaries are
+    to be refreshed from the fact afterwards (``refresh_summaries`` without a day's change).
+    """
+    metrics = ["nb_applicants", "nb_views"]
+    places = metrics_location_join(stg_b_days, store.read("br_job_location", bridge_schema("br_job_location")),
+                                   store.read("dim_location", DIM_LOCATION))
+    batch = first_per_key(places.withColumnRenamed("date_scraped", "date").select(*FCT_DAILY_KEYS, "datetime_published", *metrics),
+                          FCT_DAILY_KEYS, [F.col("datetime_published").asc_nulls_last()])
+    history = store.read("fct_job_performance_daily", FCT_DAILY)
+    changed = cut_lineage(counter_delta_interval(batch, history, ["job_id", "location_id"], metrics, start, end,
+                                                 "date", "datetime_published"))
+    days = [r["date"] for r in changed.select("date").distinct().collect()]  # one row per day from ``start`` on
+    if days:
+        held = cut_lineage(store.read("fct_job_performance_daily", FCT_DAILY).where(F.col("date").isin(days)))
+        merged = upsert(held, changed.select(*[f.name for f in FCT_DAILY.fields]),
+                        FCT_DAILY_KEYS, metrics)
+        store.overwrite_partitions("fct_job_performance_daily", merged, "date")
