@@ -39,6 +39,8 @@ from listingmart.llm.common import map_batches, partitions, query, stored, table
 WINDOW, PHRASE = 50, 10
 _REACH = WINDOW - PHRASE  # words of a window before or after its phrase at most
 _LAST_ID = (1 << 63) - 1
+#: Low bits of a phrase hash that give way to its place when the least one of a window is sought.
+_PLACE_BITS = 20
 #: Words whose hash a worker keeps.
 CACHE_WORDS = 500_000
 _M = (1 << 64) - 1
@@ -88,13 +90,30 @@ class Words:
     def hash(self) -> np.ndarray:
         return np.fromiter(map(_HASH.__getitem__, self.words), np.uint64, self.n)
 
-    def phrases(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase hash at each place, place of each window's phrase)."""
+    def phrases(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Phrase hash at each place; and the places that are some window's phrase, each with the first of
+        its windows and how many there are (windows of one phrase follow one another)."""
         grams = rolling(h, PHRASE, _FACTORS[0])
-        span, starts = _REACH + 1, np.arange(self.n - WINDOW + 1)
-        views = np.lib.stride_tricks.sliding_window_view(grams, span)
-        least = np.concatenate([views[i:i + 8192].argmin(axis=1) for i in range(0, len(views), 8192)])
-        return grams, starts + least
+        at = least_places(grams)
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        return grams, at[first], first, np.diff(np.append(first, len(at)))
+
+
+def least_places(grams: np.ndarray) -> np.ndarray:
+    """For each window, the first place of the least phrase hash (by its bits above ``_PLACE_BITS``).
+
+    Hash and place are one number, so the least of ``_REACH`` + 1 neighbours takes a few steps of doubled width.
+    """
+    span, low, out = _REACH + 1, np.uint64((1 << _PLACE_BITS) - 1), []
+    step = 1 << (_PLACE_BITS - 1)
+    for i in range(0, len(grams) - _REACH, step):
+        part = grams[i:i + step + _REACH]
+        key, width = (part & ~low) | np.arange(len(part), dtype=np.uint64), 1
+        while width < span:
+            more = min(width, span - width)
+            key, width = np.minimum(key[:-more], key[more:]), width + more
+        out.append((key & low).astype(np.int64) + i)
+    return np.concatenate(out)
 
 
 def _scan(batches):
@@ -110,8 +129,8 @@ def _scan(batches):
             k2.append(int.from_bytes(key[8:], "little", signed=True))
             sha.append(hashlib.sha256(joined).hexdigest())
             if w.n >= WINDOW:
-                grams, at = w.phrases(w.hash())
-                phrases.append(np.unique(grams[np.unique(at)]).view(np.int64))
+                grams, at, *_ = w.phrases(w.hash())
+                phrases.append(np.unique(grams[at]).view(np.int64))
             else:
                 phrases.append(np.zeros(0, np.int64))
         yield pa.record_batch({"id": b.column("id"), "tie": b.column("tie"), "n_words": pa.array(n, pa.int64()),
@@ -120,11 +139,11 @@ def _scan(batches):
 
 
 def _candidate_windows(w: Words, recurring: np.ndarray):
-    """Of the windows whose phrase recurs: start, place of the phrase, and two 64-bit hashes."""
+    """Phrase hashes; of the windows whose phrase recurs: start, place of the phrase, and two 64-bit hashes."""
     h = w.hash()
-    grams, at = w.phrases(h)
-    starts = np.flatnonzero(np.isin(grams[at], recurring))
-    return grams, at, starts, rolling(h, WINDOW, _FACTORS[1])[starts], rolling(h, WINDOW, _FACTORS[2])[starts]
+    grams, at, _, windows = w.phrases(h)
+    starts = np.flatnonzero(np.repeat(np.isin(grams[at], recurring), windows))
+    return grams, starts, np.repeat(at, windows)[starts], rolling(h, WINDOW, _FACTORS[1])[starts], rolling(h, WINDOW, _FACTORS[2])[starts]
 
 
 def _windows(batches):
@@ -153,11 +172,11 @@ def _passages(batches):
         for home, text, recurring, confirmed in zip(b.column("id").to_pylist(), b.column("text").to_pylist(),
                                                     b.column("phrases"), b.column("confirmed"), strict=True):
             w = Words(text)
-            grams, at, starts, h1, _ = _candidate_windows(w, recurring.values.to_numpy().view(np.uint64))
+            grams, starts, at, h1, _ = _candidate_windows(w, recurring.values.to_numpy().view(np.uint64))
             _, first = np.unique(h1, return_index=True)  # a window that repeats within its home is needed once
             first = np.sort(first[np.isin(h1[first], confirmed.values.to_numpy().view(np.uint64))])
             own = starts[first]
-            place = at[own]
+            place = at[first]
             breaks = np.flatnonzero((np.diff(own) != 1) | (np.diff(place) != 0)) + 1
             for run in np.split(np.arange(len(own)), breaks):
                 if len(run):
@@ -169,17 +188,16 @@ def _passages(batches):
 
 
 def _stretches(batches):
-    """(phrase, id, tie, place of the first word, words): what surrounds each recurring phrase of a document."""
+    """(phrase, id, tie, place of the first word, words): the windows of each recurring phrase of a document, as one text."""
     for b in batches:
         out = []
         for i, tie, text, recurring in zip(b.column("id").to_pylist(), b.column("tie").to_pylist(),
                                            b.column("text").to_pylist(), b.column("phrases"), strict=True):
             w = Words(text)
-            grams, at = w.phrases(w.hash())
-            at = np.unique(at)
-            for p in at[np.isin(grams[at], recurring.values.to_numpy().view(np.uint64))].tolist():
-                s = max(0, p - _REACH)
-                out.append((int(grams[p].view(np.int64)), i, tie, s, _text(w.words[s:p + WINDOW])))
+            grams, at, first, windows = w.phrases(w.hash())
+            hit = np.isin(grams[at], recurring.values.to_numpy().view(np.uint64))
+            for phrase, s, more in zip(grams[at[hit]].view(np.int64).tolist(), first[hit].tolist(), windows[hit].tolist(), strict=True):
+                out.append((phrase, i, tie, s, _text(w.words[s:s + more - 1 + WINDOW])))
                 if len(out) >= 5000:
                     yield _stretch_rows(out)
                     out = []
@@ -276,7 +294,7 @@ def _sharded(passages: DataFrame, stretches: DataFrame) -> DataFrame:
                           F.lit(0).cast("long").alias("tie"))
     met = stretches.select((base + F.pmod(F.xxhash64("id", "place"), spread).cast("int")).alias("task"), F.lit(1).alias("kind"),
                            "id", "place", "words", "tie")
-    return own.unionByName(met).repartition(n, "task").sortWithinPartitions("task", "kind")
+    return own.unionByName(met).repartitionById(first[-1], F.col("task")).sortWithinPartitions("task", "kind")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

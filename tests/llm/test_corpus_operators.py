@@ -436,3 +436,12 @@ def test_quality(spark, docs, empty, labels):
     assert quality_model.score_quality(quality_model.measure(empty), model).count() == 0
     curve = quality_model.isotonic(np.array([1, 0, 5, 5, 2.0]), np.array([1, 0, 1, 4, 2.0]))
     assert (np.diff(curve) >= 0).all()
+
+
+def test_least_places(monkeypatch):
+    monkeypatch.setattr(substrings, "_PLACE_BITS", 10)  # many chunks
+    rng = np.random.default_rng(4)
+    for n in (41, 42, 700, 3000):
+        grams = rng.integers(0, 1 << 13, n, dtype=np.uint64) << np.uint64(8)  # many ties
+        want = [min(range(i, i + 41), key=lambda j: (int(grams[j]) >> 10, j)) for i in range(n - 40)]
+        assert substrings.least_places(grams).tolist() == want
