@@ -1,7 +1,7 @@
 """Operator 7: hidden Markov language model over words.
 
-Words are emitted through classes (the end token; short words by themselves,
-longer ones by their last letters, hashed to ``CLASSES``): a latent state emits
+Words are emitted through classes (the end token; short words as a whole and
+longer ones by their last letters, both hashed to ``CLASSES``): a latent state emits
 a class, the class emits the word by its smoothed count in the training text.
 The model over states and classes is of bounded size; the word counts are as
 large as the corpus and never leave the executors.
@@ -13,8 +13,11 @@ large as the corpus and never leave the executors.
    the totals of its words, in the block's own order: one number per word and
    block, whatever the frequency of the word.
 3. Train. Baum-Welch: every partition computes expected transition and emission
-   counts of its training documents (in segments of ``SEGMENT`` tokens), which
-   are summed; every iteration reads all training documents.
+   counts of its training documents, which are summed; every iteration reads all
+   training documents. Documents are worked on in segments of ``SEGMENT`` tokens,
+   side by side. What a segment does to any state before it (a matrix of states by
+   states) carries the forward and backward messages over the cuts, so the counts
+   are those of whole documents, and memory is bounded for texts of any length.
 4. Score. The scaled forward recursion runs over whole documents and gives the
    exact log likelihood of the class sequence; to it come the words' shares of
    their classes, smoothed so that a class keeps a share for unseen words.
@@ -40,7 +43,9 @@ from pyspark.sql import functions as F
 
 from listingmart.llm.common import crc_mod, id_text, map_batches, partitions, query, scratch_path, table
 
-STATES, CLASSES, SEGMENT = 8, 1024, 64
+STATES, CLASSES, SEGMENT = 8, 1024, 512
+#: Tokens that are worked on at once in training.
+BATCH_TOKENS = 400_000
 #: Iterations at most, and the relative gain of the training likelihood below which they end.
 ITERATIONS, GAIN = 10, 2e-3
 #: A block ends at so many distinct words or bytes of text.
@@ -51,7 +56,7 @@ _BLOCKS = "kind int, block long, bucket int, doc_id long, held_out boolean, a bi
 
 
 def word_class(word: bytes) -> int:
-    """0: the end token; words of up to 4 bytes by themselves, longer ones by their last 3."""
+    """0: the end token; else a hash of words of up to 4 bytes or of the last 3 bytes of longer ones, which share the classes."""
     if not word:
         return 0
     return 1 + xxhash.xxh32_intdigest(word if len(word) <= 4 else b"~" + word[-3:]) % (CLASSES - 1)
@@ -177,72 +182,133 @@ def start_model(tokens: np.ndarray, states: int = STATES) -> Model:
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def segments(sequences: list[np.ndarray], length: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
-    """(length, segments) classes and how many of each column are real."""
-    cut = [s[i:i + length] for s in sequences for i in range(0, len(s), length)]
-    sizes = np.array([len(c) for c in cut], np.int64)
-    out = np.zeros((length, len(cut)), np.uint16)
-    flat = np.concatenate(cut) if cut else np.zeros(0, np.uint16)
-    col = np.repeat(np.arange(len(cut)), sizes)
-    row = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[row, col] = flat
-    return out, sizes
-
-
-def expected_counts(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Baum-Welch expectations of a batch of segments: start, move and emit counts in one vector."""
-    return expectation(model, classes, sizes)[:-1]
-
-
-def expectation(model: Model, classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``expected_counts`` and, last, the segments' log likelihood under ``model``."""
-    n, width = classes.shape
+def _by_time(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sequences side by side, longest first: their order, the classes of time 0, 1, ..., where each time
+    begins (and, last, the end), and the place of each sequence's last token."""
+    sizes = np.array([len(x) for x in parts], np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    sizes = sizes[order]
+    begins = np.concatenate([[0], np.cumsum(np.searchsorted(-sizes, -np.arange(sizes[0])))])
+    column = np.repeat(np.arange(len(parts)), sizes)
+    time = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    classes = np.empty(len(time), np.uint16)
+    classes[begins[time] + column] = np.concatenate([parts[i] for i in order])
+    return order, classes, begins, begins[sizes - 1] + np.arange(len(parts))
+
+
+def _chunks(parts: list[np.ndarray]):
+    """Index ranges of about ``BATCH_TOKENS`` tokens."""
+    first, size = 0, 0
+    for i, x in enumerate(parts):
+        size += len(x)
+        if size >= BATCH_TOKENS or i == len(parts) - 1:
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
+
+
+def _transfers(model: Model, parts: list[np.ndarray]) -> np.ndarray:
+    """For each sequence the matrix (state before its first token is emitted, state after its last), up to a factor."""
     states = len(model.start)
     move, emit = model.move.astype(np.float32), np.ascontiguousarray(model.emit.T.astype(np.float32))
-    real = np.arange(n)[:, None] < sizes
-    alpha = np.empty((n, width, states), np.float32)
-    seen = emit[classes]  # (n, width, states)
-    seen[~real] = 1.0
-    a = model.start.astype(np.float32) * seen[0]
-    first = a.sum(axis=1, keepdims=True)
-    alpha[0] = a / first
-    scale = np.ones((n, width, 1), np.float32)
-    for t in range(1, n):
-        a = (alpha[t - 1] @ move) * seen[t]
-        scale[t] = a.sum(axis=1, keepdims=True)
-        alpha[t] = a / scale[t]
-    likelihood = np.log(first, dtype=np.float64).sum() + np.log(scale[:, :, 0], dtype=np.float64).sum(where=real)
-    moves = np.zeros((states, states))
-    beta = np.ones((width, states), np.float32)
-    gamma = alpha  # overwritten from the end: alpha[t] is not needed after its own step
-    for t in range(n - 1, 0, -1):
-        ahead = seen[t] * beta / scale[t]
-        live = real[t]
-        moves += (alpha[t - 1][live].T @ ahead[live]) * model.move
-        gamma[t] = alpha[t] * beta
-        beta = ahead @ move.T
-    gamma[0] = alpha[0] * beta
-    flat, at = gamma.reshape(-1, states), classes.ravel()
-    flat = flat * real.ravel()[:, None]
-    flat /= np.maximum(flat.sum(axis=1, keepdims=True), 1e-30)
-    emits = np.stack([np.bincount(at, flat[:, k], CLASSES) for k in range(states)])
-    starts = flat.reshape(n, width, states)[0].sum(axis=0)
-    return np.concatenate([starts, moves.ravel(), emits.ravel(), [likelihood]])
+    out = np.empty((len(parts), states, states))
+    for chunk in _chunks(parts):
+        order, classes, begins, _ = _by_time(parts[chunk])
+        done = np.empty((len(order), states, states), np.float32)
+        log = np.zeros((len(order), states))
+        live = len(order)
+        x = np.broadcast_to(np.eye(states, dtype=np.float32), (live, states, states))
+        last = len(begins) - 2
+        for t in range(last + 1):
+            now = int(begins[t + 1] - begins[t])
+            if t:
+                done[now:live] = x[now:]
+                live, x = now, (x[:now].reshape(-1, states) @ move).reshape(now, states, states)
+            x = x * emit[classes[begins[t]:begins[t + 1]]][:, None, :]
+            if t % 4 == 3:
+                scale = x.sum(axis=2)
+                x /= scale[:, :, None]
+                log[:live] += np.log(scale)
+        done[:live] = x
+        out[np.arange(len(parts))[chunk][order]] = done * np.exp(log - log.max(axis=1, keepdims=True))[:, :, None]
+    return out
+
+
+def _normal(x: np.ndarray) -> np.ndarray:
+    return x / x.sum(axis=1, keepdims=True)
+
+
+def _messages(model: Model, parts: list[np.ndarray], level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each segment: the state's distribution at its first token and at the token before, given what came
+    before, and the weight of its last state by what follows. ``level`` numbers the segments of a document."""
+    enter = np.tile(model.start, (len(parts), 1))
+    before, leave = np.zeros_like(enter), np.ones_like(enter)
+    split = level > 0
+    split[:-1] |= split[1:]
+    at = np.cumsum(split) - 1
+    whole = _transfers(model, [x for x, k in zip(parts, split, strict=True) if k]) if split.any() else None
+    order = np.argsort(level, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(level[order])) + 1)[1:]
+    for now in levels:
+        before[now] = _normal(np.einsum("ni,nij->nj", enter[now - 1], whole[at[now - 1]]))
+        enter[now] = before[now] @ model.move
+    for now in reversed(levels):
+        leave[now - 1] = _normal(np.einsum("nij,nj->ni", whole[at[now]], leave[now]) @ model.move.T)
+    return enter, before, leave
+
+
+def expected_counts(model: Model, sequences: list[np.ndarray], length: int = SEGMENT) -> np.ndarray:
+    """Baum-Welch expectations of whole sequences (start, move and emit counts in one vector) and, last,
+    their log likelihood. The length of the segments does not change them."""
+    parts = [s[i:i + length] for s in sequences for i in range(0, len(s), length)]
+    level = np.concatenate([np.arange(-(-len(s) // length)) for s in sequences])
+    messages = _messages(model, parts, level)
+    return sum(_segment_counts(model, parts[c], level[c] == 0, *(m[c] for m in messages)) for c in _chunks(parts))
+
+
+def _segment_counts(model: Model, parts: list[np.ndarray], begin: np.ndarray, enter: np.ndarray, before: np.ndarray,
+                    leave: np.ndarray) -> np.ndarray:
+    """Forward and backward within segments, between the messages at their ends."""
+    order, classes, begins, lasts = _by_time(parts)
+    begin, enter, before, leave = (x[order].astype(x.dtype if x.dtype == bool else np.float32) for x in (begin, enter, before, leave))
+    move = model.move.astype(np.float32)
+    seen = np.ascontiguousarray(model.emit.T.astype(np.float32))[classes]
+    alpha, scale = np.empty_like(seen), np.empty((len(seen), 1), np.float32)
+    times, live = range(len(begins) - 1), np.diff(begins)
+    for t in times:
+        own = slice(begins[t], begins[t + 1])
+        a = (alpha[begins[t - 1]:begins[t - 1] + live[t]] @ move if t else enter) * seen[own]
+        scale[own] = a.sum(axis=1, keepdims=True)
+        np.divide(a, scale[own], out=alpha[own])
+    beta = np.empty_like(seen)
+    beta[lasts] = leave / (alpha[lasts] * leave).sum(axis=1, keepdims=True)
+    seen /= scale  # and, from the end on, times beta
+    for t in reversed(times):
+        own = slice(begins[t], begins[t + 1])
+        seen[own] *= beta[own]
+        if t:
+            beta[begins[t - 1]:begins[t - 1] + live[t]] = seen[own] @ move.T
+    width = live[0]
+    previous = np.arange(width, len(seen)) - np.repeat(live[:-1], live[1:])
+    moves = (alpha[previous].T @ seen[width:] + before[~begin].T @ seen[:width][~begin]) * model.move
+    alpha *= beta
+    alpha /= alpha.sum(axis=1, keepdims=True)
+    emits = np.stack([np.bincount(classes, alpha[:, k], CLASSES) for k in range(alpha.shape[1])])
+    return np.concatenate([alpha[:width][begin].sum(axis=0), moves.ravel(), emits.ravel(), [np.log(scale, dtype=np.float64).sum()]])
 
 
 def _expectations(model: Model):
     def run(batches):
         total = np.zeros(STATES + STATES * STATES + STATES * CLASSES + 1)
+        held, size = [], 0
         for b in batches:
-            held, size = [], 0
             for x in b.column("b").to_pylist():
                 held.append(np.frombuffer(x, np.uint16))
                 size += len(held[-1])
-                if size >= 100_000:
-                    total += expectation(model, *segments(held))
+                if size >= BATCH_TOKENS:
+                    total += expected_counts(model, held)
                     held, size = [], 0
-            if held:
-                total += expectation(model, *segments(held))
+        if held:
+            total += expected_counts(model, held)
         yield pa.record_batch({"k": pa.array(np.arange(len(total), dtype=np.int32)), "v": pa.array(total)})
     return run
 

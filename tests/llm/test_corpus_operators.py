@@ -315,7 +315,7 @@ def test_hmm(docs, empty, rows):
     assert hmm.score_corpus(empty, F.lit(False)).count() == 0
 
 
-def test_hmm_recursions():
+def test_hmm_recursions(monkeypatch):
     rng = np.random.default_rng(2)
     model = hmm.Model(rng.dirichlet(np.ones(hmm.STATES)), rng.dirichlet(np.ones(hmm.STATES), hmm.STATES),
                       rng.dirichlet(np.ones(hmm.CLASSES), hmm.STATES))
@@ -325,11 +325,25 @@ def test_hmm_recursions():
         for x in s[1:]:
             a = (a @ model.move) * model.emit[:, x] * 1.0
         assert math.isclose(got, math.log10(a.sum()) if a.sum() > 0 else got, rel_tol=1e-9)
-    total = hmm.expected_counts(model, *hmm.segments(seqs))
-    start, moves, emits = np.split(total, [hmm.STATES, hmm.STATES + hmm.STATES ** 2])
-    assert math.isclose(start.sum(), 5, rel_tol=1e-4)  # 64-token segments: 1 + 1 + 1 + 2
-    assert math.isclose(emits.sum(), sum(map(len, seqs)), rel_tol=1e-4)
-    assert math.isclose(moves.sum(), sum(map(len, seqs)) - 5, rel_tol=1e-3)
+    whole = np.zeros(hmm.STATES + hmm.STATES ** 2 + hmm.STATES * hmm.CLASSES + 1)
+    for s in seqs:  # forward and backward of one whole sequence, token by token
+        alpha = [model.start * model.emit[:, s[0]]]
+        for x in s[1:]:
+            alpha.append((alpha[-1] @ model.move) * model.emit[:, x])
+        beta, total = np.ones(hmm.STATES), alpha[-1].sum()
+        start, moves, emits, _ = np.split(whole, np.cumsum([hmm.STATES, hmm.STATES ** 2, hmm.STATES * hmm.CLASSES]))
+        for t in range(len(s) - 1, -1, -1):
+            emits.reshape(hmm.STATES, -1)[:, s[t]] += alpha[t] * beta / total
+            if t:
+                ahead = model.emit[:, s[t]] * beta
+                moves += (np.outer(alpha[t - 1], ahead) * model.move).ravel() / total
+                beta = model.move @ ahead
+        start += alpha[0] * beta / total
+        whole[-1] += math.log(total)
+    for length in (1, 7, 64, 1000):  # cuts change nothing
+        assert np.allclose(hmm.expected_counts(model, seqs, length), whole, rtol=2e-4, atol=2e-5)
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", 20)
+    assert np.allclose(hmm.expected_counts(model, seqs, 7), whole, rtol=2e-4, atol=2e-5)
 
 
 def test_hmm_iterations_read_all(docs, rows, monkeypatch):
