@@ -6,10 +6,9 @@ are compared with the references of every language by Jensen-Shannon distance
 so a document is never judged by a wrong language tag. Short texts have noisy
 histograms: below ``MIN_CHARS`` or ``MIN_WORDS`` a comparison is not made.
 
-References come from the corpus: a first pass finds the common words of each
-language (per partition by lossy counting, whose survivors include every word
-above the support), a second pass counts them and the character classes in
-every document, and the references are the sums over all documents of a
+References come from the corpus: a first pass counts the words of each language
+(exactly, so the common words do not depend on how rows are dealt to partitions),
+a second pass counts the common ones and the character classes in every document, and the references are the sums over all documents of a
 language. A language gives references from ``REFERENCE_DOCS`` documents and
 ``REFERENCE_CHARS`` characters on, whatever its share of the corpus (for words:
 from ``REFERENCE_WORDS`` words on). A document whose language has no reference
@@ -33,8 +32,8 @@ from pyspark.sql import functions as F
 from listingmart.llm.common import map_batches, query, stored, table
 
 COMMON_WORDS = 64
-#: A word is a candidate if it has this share of a partition's words of one language.
-SUPPORT = 0.002
+#: Distinct words that a task holds before it passes their counts on.
+HELD_WORDS = 200_000
 REFERENCE_DOCS, REFERENCE_CHARS, REFERENCE_WORDS = 20, 10_000, 1_000
 MIN_WORDS, MIN_CHARS = 50, 300
 MAX_WORD_DISTANCE, MAX_CLASS_DISTANCE = 0.50, 0.30
@@ -92,24 +91,23 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
             repeated_words(words))
 
 
-def _candidates(batches):
-    """Lossy counting: (lang, word, count) of the words above the support in this partition."""
+def _word_counts(batches):
+    """(lang, word, count) of every word; a word may come in several parts, which a partition then adds up."""
     counts: dict[str, Counter] = {}
-    seen: Counter = Counter()
+
+    def flush():
+        for lang, c in counts.items():
+            yield pa.record_batch({"lang": pa.array([lang] * len(c), pa.string()), "word": pa.array(list(c), pa.binary()),
+                                   "n": pa.array(list(c.values()), pa.int64())})
+        counts.clear()
+
     for b in batches:
         for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
             if text:
-                words = text.lower().encode().split()
-                counts.setdefault(lang, Counter()).update(words)
-                seen[lang] += len(words)
-        for lang, c in counts.items():
-            if len(c) > 200_000:
-                floor = SUPPORT / 4 * seen[lang]
-                counts[lang] = Counter({w: n for w, n in c.items() if n > floor})
-    rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items() if n >= SUPPORT / 2 * seen[lang]]
-    yield pa.record_batch({"lang": pa.array([r[0] for r in rows], pa.string()),
-                           "word": pa.array([r[1] for r in rows], pa.binary()),
-                           "n": pa.array([r[2] for r in rows], pa.int64())})
+                counts.setdefault(lang, Counter()).update(text.lower().encode().split())
+        if sum(map(len, counts.values())) > HELD_WORDS:
+            yield from flush()
+    yield from flush()
 
 
 def _described(vocabulary: dict[bytes, int]):
@@ -224,7 +222,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by_lang = rows.filter("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
     # one short row for each language of the corpus that has the evidence
     langs = sorted(r["lang"] for r in by_lang.filter(f"n >= {REFERENCE_DOCS} AND chars >= {REFERENCE_CHARS}").collect())
-    found = (map_batches(rows.filter(F.col("lang").isin(langs)), _candidates, "lang string, word binary, n long")
+    found = (map_batches(rows.filter(F.col("lang").isin(langs)), _word_counts, "lang string, word binary, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     from pyspark.sql import Window
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))

@@ -459,3 +459,21 @@ def test_least_places(monkeypatch):
         grams = rng.integers(0, 1 << 13, n, dtype=np.uint64) << np.uint64(8)  # many ties
         want = [min(range(i, i + 41), key=lambda j: (int(grams[j]) >> 10, j)) for i in range(n - 40)]
         assert substrings.least_places(grams).tolist() == want
+
+
+def test_divergence_whatever_the_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(300)])
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 120, p=np.arange(300, 0, -1) / 45150)), "ab"[i % 2])
+                                  for i in range(60)], "doc_id long, text string, lang string")
+    got = [[tuple(r) for r in divergence.quality_rules(docs.repartition(n, "doc_id")).orderBy("doc_id").collect()] for n in (2, 13)]
+    assert got[0] == got[1] and all(r[-1] > 0 for r in got[0])
+    monkeypatch.setattr(divergence, "HELD_WORDS", 50)  # counts come in many parts
+    batches = docs.select("text", "lang").toArrow().to_batches(max_chunksize=5)
+    parts = list(divergence._word_counts(batches))
+    total = Counter()
+    for b in parts:
+        for r in b.to_pylist():
+            total[r["lang"], r["word"].decode()] += r["n"]
+    want = Counter((r["lang"], w) for b in batches for r in b.to_pylist() for w in r["text"].split())
+    assert len(parts) > 2 and total == want
