@@ -76,10 +76,8 @@ def _encode(buckets: int):
             words = list(number)
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
             classes = np.array([word_class(w) for w in words], np.uint16)
-            train = np.zeros(len(words), np.int64)
-            for _, held, ids in docs:
-                if not held:
-                    train += np.bincount(ids, minlength=len(words))
+            learnt = [ids for _, held, ids in docs if not held]
+            train = np.bincount(np.concatenate(learnt) if learnt else np.zeros(0, np.uint32), minlength=len(words))
             bucket = (hashes % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(words), np.uint32)
