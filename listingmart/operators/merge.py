@@ -99,15 +99,16 @@ def _key_cond_named(keys: list[str]) -> Column:
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: list[str],
-                     null_safe: bool = False, max_broadcast_keys: int = 5_000_000) -> DataFrame:
+                     null_safe: bool = False, max_broadcast_keys: int = 5_000_000, distinct: bool = False) -> DataFrame:
     """Only the source rows whose key is not yet in the target (distinct).
 
     Returns the rows to append (ON CONFLICT DO NOTHING): a de-duplication of
     the source plus a left-anti join on the keys. When the batch's keys are
     proven bounded they are broadcast first, so the (growing) target is only
-    filtered map-side and just its matching rows meet the batch.
+    filtered map-side and just its matching rows meet the batch. ``distinct``: the
+    source is known to be distinct on ``keys``.
     """
-    src = source.dropDuplicates(keys)
+    src = source if distinct else source.dropDuplicates(keys)
     tk = target.select(*keys)
     if not null_safe:
         tk = tk.dropna()

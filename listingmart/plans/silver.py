@@ -16,7 +16,7 @@ from listingmart.operators.dedup import distinct_members, first_per_key
 from listingmart.operators.delta import counter_delta, counter_delta_interval, metrics_location_join
 from listingmart.operators.keys import assign_keys, seed_unknown
 from listingmart.operators.lookup import fits_many, small_side
-from listingmart.session import cut_lineage
+from listingmart.session import cut_lineage, stored_by
 from listingmart.operators.merge import insert_if_absent, upsert
 from listingmart.schemas import (BRIDGES, DIM_LOCATION, FCT_A_UPDATE, FCT_B_UPDATE, FCT_DAILY,
                                  FCT_DAILY_KEYS, FCT_JOBS, LABEL_DIMS, LOCATION_KEYS, UNKNOWN, UNKNOWN_ID,
@@ -155,36 +155,46 @@ def load_fact(store: TableStore, snap_a, snap_b, dims) -> DataFrame:
     return store.read("fct_jobs", FCT_JOBS)
 
 
-def bridge_pairs(snap: DataFrame, name: str, dims: dict[str, DataFrame]) -> DataFrame:
-    """Distinct (job_id, member id) pairs of a snapshot (inner join by label)."""
-    dim_name, id_col, snap_col = BRIDGES[name]
-    dim = _hinted(dims, dim_name)
-    if snap_col is None:
-        j = snap.join(dim.select("location_id", *LOCATION_KEYS), LOCATION_KEYS, "inner")
-    else:
-        label_col = LABEL_DIMS[dim_name][1]
-        j = snap.join(dim, snap[snap_col] == dim[label_col], "inner")
-    return j.select("job_id", id_col).distinct()
+def bridge_ids(snap: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Each row's job_id and its member id in every bridge's dimension, by label (NULL: no such member)."""
+    rows = snap.select("job_id", *LOCATION_KEYS, *[col for _, _, col in BRIDGES.values() if col])
+    for dim_name, id_col, snap_col in BRIDGES.values():
+        dim = _hinted(dims, dim_name)
+        if snap_col is None:
+            rows = rows.join(dim.select(id_col, *LOCATION_KEYS), LOCATION_KEYS, "left")
+        else:
+            label = dim.select(F.col(LABEL_DIMS[dim_name][1]).alias(snap_col), id_col)
+            rows = rows.join(label, snap_col, "left")
+    return rows.select("job_id", *[id_col for _, id_col, _ in BRIDGES.values()])
+
+
+def bridge_pairs(ids: DataFrame) -> DataFrame:
+    """Distinct (_br, job_id, _id) of the rows of ``bridge_ids``, all bridges in one pass.
+
+    Rows are dealt by job before they are spread out over the bridges: one narrow row
+    each crosses the network, and a job's pairs are already together.
+    """
+    each = F.array(*[F.struct(F.lit(name).alias("_br"), F.col(id_col).alias("_id")) for name, (_, id_col, _) in BRIDGES.items()])
+    return (ids.repartition("job_id").select("job_id", F.explode(each).alias("_p")).select("_p._br", "job_id", "_p._id")
+            .where(F.col("_id").isNotNull()).distinct())
 
 
 def load_bridges(store: TableStore, snap_a, snap_b, dims) -> None:
     """M2 x12: append the new pairs of each bridge.
 
-    All six bridges in one pass: today's pairs tagged by bridge, one
-    anti-join against the current pairs (filtered map-side to today's pairs),
-    materialised once, then one append per bridge.
+    Today's pairs of all bridges are computed once and written by bridge; each bridge
+    then reads its own, less those it has (its rows are filtered map-side to today's pairs).
     """
-    pairs, current = None, None
+    ids = None
+    for s in (snap_a, snap_b):
+        if s is not None:
+            ids = bridge_ids(s, dims) if ids is None else ids.unionByName(bridge_ids(s, dims))
+    pairs, current = stored_by(bridge_pairs(ids), "_br"), None
     for name, (_, id_col, _) in BRIDGES.items():
-        for s in (snap_a, snap_b):
-            if s is None:
-                continue
-            p = bridge_pairs(s, name, dims).select(F.lit(name).alias("_br"), "job_id", F.col(id_col).alias("_id"))
-            pairs = p if pairs is None else pairs.unionByName(p)
         c = store.read(name, bridge_schema(name)).select(F.lit(name).alias("_br"), "job_id",
                                                          F.col(id_col).alias("_id"))
         current = c if current is None else current.unionByName(c)
-    new = cut_lineage(insert_if_absent(current, pairs, ["_br", "job_id", "_id"]))
+    new = insert_if_absent(current, pairs, ["_br", "job_id", "_id"], distinct=True)
     for name, (_, id_col, _) in BRIDGES.items():
         store.append(name, new.where(F.col("_br") == name).select("job_id", F.col("_id").alias(id_col)))
 

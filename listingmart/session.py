@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,5 +71,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_by(df: DataFrame, col: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder, a folder for each value of ``col``, and read it back.
+
+    For frames that are read more than once, by ``col`` or in part: columns and folders are pruned.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.partitionBy(col).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

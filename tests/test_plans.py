@@ -8,7 +8,9 @@ from listingmart.functions import dates as D
 from listingmart.operators import dedup as DD
 from listingmart.operators import keys as KY
 from listingmart.operators import merge as MG
-from listingmart.schemas import STG_B
+from listingmart.plans import silver as SV
+from listingmart.plans import snapshot as SN
+from listingmart.schemas import BRIDGES, DIM_LOCATION, LABEL_DIMS, STG_B, bridge_schema, label_dim_schema
 from listingmart.sources.store import TableStore
 
 
@@ -75,3 +77,32 @@ def test_grouped_key_assignment(spark):
     cur = spark.createDataFrame([("d1", -1), ("d1", 4), ("d2", -1)], "_dim string, id long")
     got = {(r._dim, r.label): r.id for r in KY.assign_keys(new, ["label"], "id", start=cur, group="_dim").collect()}
     assert got == {("d1", "a"): 5, ("d1", "b"): 6, ("d2", "y"): 1, ("d2", "z"): 2, ("d3", "q"): 1}
+
+
+def test_bridges_compute_the_snapshot_once(spark, tmp_path):
+    rows, seen = 40, spark.sparkContext.accumulator(0)
+    read = F.udf(lambda i: seen.add(1) or f"job-{i % 30}")  # ten jobs have two rows, with the same labels but one
+    labels = {col: F.lit("l1") for _, _, col in LABEL_DIMS.values()}
+    labels["contract_type"] = F.when(F.col("id") < 30, "l1").otherwise("l2")
+    labels["job_level"] = F.when(F.col("id") % 30 < 5, "not a member").when(F.col("id") % 30 > 5, "l2")
+    snap = spark.range(rows).withColumns(labels | {"city": F.lit("c"), "state": F.lit("s"), "country": F.lit("x")})
+    snap = snap.repartition(2).withColumn("job_id", read("id"))
+    dims = {n: spark.createDataFrame([(-1, "Inconnu"), (1, "l1"), (2, "l2")], label_dim_schema(n)) for n in LABEL_DIMS}
+    dims["dim_location"] = spark.createDataFrame([(7, "c", "s", "r", "x"), (8, "c", "s", "r", "y")], DIM_LOCATION)
+    dims["_bounded"] = {n: True for n in dims}
+    store = TableStore(spark, str(tmp_path))
+    SV.load_bridges(store, None, snap, dims)
+    assert seen.value <= 2 * rows  # not once for each bridge and once more for the bound of its keys
+    want = {n: 30 for n in BRIDGES} | {"br_job_contract_type": 40, "br_job_job_level": 24}
+    got = {n: {tuple(r) for r in store.read(n, bridge_schema(n)).collect()} for n in BRIDGES}
+    assert {n: len(r) for n, r in got.items()} == want
+    assert {i for _, i in got["br_job_location"]} == {7} and {i for _, i in got["br_job_job_level"]} == {2}
+    SV.load_bridges(store, snap, snap, dims)  # nothing new
+    assert {n: store.read(n, bridge_schema(n)).count() for n in BRIDGES} == want
+
+
+def test_snapshot_of_one_file_is_dealt_out(spark):
+    day = spark.range(1).select(*[(F.col("id") if f.name == "job_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in STG_B.fields])
+    p = plan(SN.snapshot_b(day.coalesce(1)))
+    assert "hashpartitioning(job_id" in p
+    assert p.index("Generate") < p.index("hashpartitioning(job_id")  # below the explode
