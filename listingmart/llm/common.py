@@ -14,6 +14,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingmart.session import checkpoint_dir
 
@@ -44,7 +45,7 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
+                schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with batches small enough for a worker's memory.
 
     Workers started from another folder find this package by the driver's path

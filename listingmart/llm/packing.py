@@ -1,23 +1,19 @@
-"""Operator 6: bulk-synchronous best-fit packing of token sequences.
+"""Operator 6: best-fit packing of token sequences, by size classes.
 
-A document's ids are cut only if they are longer than a sequence; pieces that
-fill a sequence take one of their own. The others are packed in rounds:
+A document's ids are cut only if they are longer than a sequence. Pieces are packed
+by best fit decreasing:
 
-* documents (pieces) and gaps are range-sorted together by size;
-* each range partition sweeps upwards: a gap takes the largest document at
-  most its size that is still free, and again while something fits;
-* documents and gaps left over in different partitions are matched by rank:
-  the driver sees the counts of each partition (written by the sweep), pairs
-  them like brackets, and both sides find their partner by (partition, rank)
-  in a broadcast table of runs; a gap takes as many documents of a run as
-  surely fit;
-* documents larger than every gap that remains need new sequences, and so does
-  what all gaps together cannot hold: the largest documents open as many as the
-  total sizes require;
-* the gaps shrink, and the next round begins until nothing is left.
+* pieces are range-sorted by size and numbered, each range on its own; the driver
+  sees the rows of each range and of each size, never a piece;
+* sizes are at most a sequence, so it places whole classes of equal pieces, the
+  largest first: gaps of ascending size take as many of a class as fit, what is
+  left opens new sequences. This gives runs: so many pieces of a size from one number on, so
+  many to a sequence, sequences from one number on, all at one place. Their number depends on
+  the sizes alone, not on the pieces;
+* every piece finds its run by its number, where it lies.
 
-A sequence is named by the tag of the piece that opened it. Rounds are written
-to the shared folder, so a lost executor costs at most one round.
+So a table is sorted once and read once more, however many ranges it has. Tables
+are written to the shared folder, so a lost executor costs at most one step.
 
 Defined results: NULL or empty text: one piece of the end id alone. NULL
 doc_id: packed like any other. Repeated rows: each is a document. Equal sizes:
@@ -28,23 +24,21 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingmart.llm.common import id_text, map_batches, query, stored, table
 from listingmart.llm.encoding import default_vocabulary, encoder, release
 
 CAPACITY, END_ID = 2048, 0
-#: Documents and gaps of one range partition.
+#: Pieces of one range partition.
 SWEEP_ROWS = 200_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_SWEPT = "kind int, item long, size long, bin long, gap long, part int, rank long"
-MATCHED, ITEM, GAP, SIZES, WAITS = range(5)
 
 
 def _cut(path: str, end_id: int, capacity: int):
@@ -75,58 +69,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     return map_batches(id_text(docs, id_col, text_col), _cut(vocabulary or default_vocabulary(), end_id, capacity), _PIECES)
 
 
-def _sweep(batches):
-    """One range partition, sorted by (size, kind): fill gaps upwards with the largest free documents."""
-    release()
-    part = TaskContext.get().partitionId()
-    free: dict[int, list[int]] = {}
-    sizes, out = 0, []  # sizes: bit s is set while a document of size s is free
-    left, least = 0, None  # gaps that found nothing, the smallest of them
-
-    def emit():
-        cols = list(zip(*out, strict=True)) or [()] * 7
-        out.clear()
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                               names=["kind", "item", "size", "bin", "gap", "part", "rank"])
-    for b in batches:
-        for kind, key, size in zip(*(b.column(c).to_pylist() for c in ("kind", "id", "size")), strict=True):
-            if kind == ITEM:
-                free.setdefault(size, []).append(key)
-                sizes |= 1 << size
-                continue
-            gap, took = size, False
-            while fits := sizes & ((2 << gap) - 1):
-                s = fits.bit_length() - 1
-                out.append((MATCHED, free[s].pop(), s, key, gap, part, None))
-                if not free[s]:
-                    sizes ^= 1 << s
-                gap, took = gap - s, True
-            if took:
-                if gap:
-                    out.append((GAP, None, None, key, gap, part, None))  # shrunk: no partner in this round
-            else:
-                out.append((GAP, None, None, key, gap, part, left))
-                left, least = left + 1, least or gap
-        yield emit()
-    if left:
-        out.append((WAITS, None, None, left, least, part, None))
-    rank = 0
-    for s in sorted(free):
-        if free[s]:
-            out.append((SIZES, None, s, len(free[s]), None, part, None))
-        for key in free[s]:
-            out.append((ITEM, key, s, None, None, part, rank))
-            rank += 1
-    yield emit()
-
-
 def _bracket(counts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Match left-over gaps of a partition with the largest left-over documents of lower ones.
+    """Match gaps of a class with the largest documents of lower classes.
 
-    ``counts``: (partition, gaps, documents, least gap, largest document) in order; returns runs (gap partition,
-    first gap rank, document partition, last document rank, documents, documents a gap). A gap takes as many
-    documents of a run as surely fit, from the largest down, so that rounds don't multiply with short documents.
+    ``counts``: (class, gaps, documents, least gap, largest document) in order; returns runs (gap class,
+    first gap rank, document class, last document rank, documents, documents a gap). A gap takes as many
+    documents of a run as surely fit, from the largest down.
     """
     stack, runs = [], []
     for part, gaps, items, least, widest in counts:
@@ -145,110 +93,79 @@ def _bracket(counts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, in
     return runs
 
 
-def _pairing(spark, runs) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Runs as tables of gaps and documents (a gap and what it takes get the same number), last paired gap of each partition."""
-    gaps, items, base = [], [], 0
-    for gp, g0, ip, i1, n, each in runs:
-        used = -(-n // each)
-        gaps.append((gp, g0, g0 + used - 1, base))
-        items.append((ip, i1 - n + 1, i1, each, base))
-        base += used
-    last = {part: high for part, _, high, _ in gaps}  # the runs of a partition's gaps ascend and leave no holes
-    return (_small(spark, gaps, "part", "low", "high", "base"), _small(spark, items, "part", "low", "high", "each", "base"),
-            _small(spark, [*last.items()], "part", "last"))
-
-
-def _small(spark, rows: list[tuple], *names: str) -> DataFrame:
-    """A table of at most two rows a range partition, to be broadcast."""
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    return F.broadcast(spark.createDataFrame(pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})))
+def _plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """Best fit decreasing of ``counts`` (size -> pieces).
 
+    Returns runs (first piece, size, pieces a sequence, first sequence, offset) in order of their first piece, when
+    pieces are numbered by ascending size; within a run, sequences follow each other.
+    """
+    first = dict(zip(sorted(counts), accumulate((counts[s] for s in sorted(counts)), initial=0)))
+    gaps: dict[int, list[tuple[int, int]]] = {}  # gap -> (first sequence, sequences) that have it
+    runs, opened = [], 0
+
+    def fill(size: int, gap: int, held: list[tuple[int, int]], at: int, n: int) -> None:
+        """Pieces ``at`` to ``at + n`` go into sequences with one gap."""
+        each = gap // size
+        for sequence, m in held:
+            took = min(n, m * each)
+            used = -(-took // each)
+            if took:
+                runs.append((at, size, each, sequence, capacity - gap))
+            for start, k, rest in ((sequence, took // each, gap - each * size),  # full, partly filled and untouched ones
+                                   (sequence + used - 1, int(took % each > 0), gap - took % each * size),
+                                   (sequence + used, m - used, gap)):
+                if k and rest:
+                    gaps.setdefault(rest, []).append((start, k))
+            at, n = at + took, n - took
+
+    for size in sorted(counts, reverse=True):
+        at, end = first[size], first[size] + counts[size]
+        fitting = [(gap, sum(m for _, m in gaps[gap]), 0, gap, 0) for gap in sorted(gaps) if gap >= size]
+        for gap, _, _, _, n, _ in _bracket([(0, 0, end - at, 0, size), *fitting]):
+            fill(size, gap, gaps.pop(gap), at, n)
+            at += n
+        if at < end:
+            new = -(-(end - at) // (capacity // size))
+            fill(size, capacity, [(opened, new)], at, end - at)
+            opened += new
+    return sorted(runs)
+
+
+def _place(runs: list[tuple[int, int, int, int, int]]):
+    """Sequence and offset of pieces by ``_number``: a piece is of the last run that begins at its number or before."""
+    first, size, each, sequence, offset = np.array(runs, np.int64).reshape(-1, 5).T
 
-def _round(items: DataFrame, gaps: DataFrame, n: int, capacity: int):
-    """One bulk-synchronous round: (placements, documents left, gaps left, their counts); two tables are written."""
-    spark = items.sparkSession
-    rows = items.select(F.lit(ITEM).alias("kind"), F.col("item").alias("id"), "size").unionByName(
-        gaps.select(F.lit(GAP).alias("kind"), F.col("bin").alias("id"), F.col("gap").alias("size")))
-    dealt = (rows.repartitionByRange(max(1, -(-n // SWEEP_ROWS)), "size", "kind", "id")
-             .sortWithinPartitions("size", "kind", "id"))
-    swept = stored(map_batches(dealt, _sweep, _SWEPT), "packing-sweep")
-    # ranges hold ascending sizes: at most ``capacity`` rows and two for each range partition
-    free: dict[int, list[tuple[int, int]]] = {}
-    waits: dict[int, tuple[int, int]] = {}
-    for kind, part, size, count, gap in swept.filter(F.col("kind").isin(SIZES, WAITS)).select("kind", "part", "size", "bin", "gap").collect():
-        if kind == SIZES:
-            free.setdefault(part, []).append((size, count))
-        else:
-            waits[part] = (count, gap)
-    left = {p: sum(c for _, c in sizes) for p, sizes in free.items()}
-    runs = _bracket([(p, waits.get(p, (0, 0))[0], left.get(p, 0), waits.get(p, (0, 0))[1], max(free.get(p, [(0, 0)]))[0])
-                     for p in sorted(waits.keys() | free.keys())])
-    for _, _, part, _, taken, _ in runs:  # always the largest documents of a partition
-        left[part] -= taken
-    gap_runs, item_runs, last = _pairing(spark, runs)
-    within = F.col("rank").between(F.col("low"), F.col("high"))
-    waiting = swept.filter(F.col("kind") == GAP).select("bin", "gap", "part", "rank")
-    item_side = swept.filter(F.col("kind") == ITEM).select("item", "size", "part", "rank")
-    paired_gaps = waiting.join(gap_runs, "part").filter(within).select("bin", "gap", (F.col("base") + F.col("rank") - F.col("low")).alias("pair"))
-    paired_items = item_side.join(item_runs, "part").filter(within).select(
-        "item", "size", "rank", "part", (F.col("base") + F.expr("(high - rank) div each")).alias("pair"))
-    # the documents of one gap stand one after the other; the last one leaves the gap that remains
-    of_gap = Window.partitionBy("pair")
-    until = F.sum("size").over(of_gap.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    crossed = stored(paired_items.join(paired_gaps, "pair")
-                     .withColumns({"until": until, "all": F.sum("size").over(of_gap)})
-                     .select("item", "size", "bin", (F.col("gap") - F.col("until") + F.col("size")).alias("gap"),
-                             F.when(F.col("until") == F.col("all"), F.col("gap") - F.col("all")).alias("left")), "packing-cross")
-    matched = swept.filter(F.col("kind") == MATCHED).select("item", "size", "bin", "gap").unionByName(crossed.drop("left"))
-    open_gaps = (waiting.join(last, "part", "left").filter("rank IS NULL OR last IS NULL OR rank > last").select("bin", "gap")
-                 .unionByName(crossed.filter("left IS NOT NULL").select("bin", F.col("left").alias("gap"))))
-    by_size = Counter()
-    for part, sizes in free.items():
-        rest = left[part]
-        for size, count in sorted(sizes):
-            by_size[size] += min(count, rest)
-            rest -= min(count, rest)
-    least = min(+by_size, default=capacity)
-    useful = open_gaps.filter(F.col("gap") >= least)
-    widest, room, n_gaps = useful.agg(F.max("gap"), F.sum("gap"), F.count("*")).first()
-    need = sum(s * c for s, c in by_size.items() if s > (widest or 0))
-    # those larger than every gap need new sequences; so does what all gaps together cannot hold
-    over = sum(s * c for s, c in by_size.items()) - (room or 0)
-    total = sum(by_size.values())
-    n_opened = opened = min(total, max(0, -(-need // capacity), -(-over // capacity)))
-    cuts = []
-    for part in sorted(left, reverse=True):  # documents of higher partitions are larger
-        opens = min(left[part], opened)
-        cuts.append((part, left[part] - opens, left[part]))
-        opened -= opens
-    unpaired = item_side.join(_small(spark, cuts, "part", "stays", "unpaired"), "part")
-    opening = unpaired.filter("rank >= stays AND rank < unpaired").select("item", "size")
-    placed = matched.select("item", F.col("bin").alias("sequence_id"), (F.lit(capacity) - F.col("gap")).alias("offset")).unionByName(
-        opening.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    next_gaps = useful.unionByName(opening.select(F.col("item").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap")))
-    return placed, unpaired.filter("rank < stays").select("item", "size"), next_gaps, total - n_opened, n_gaps + n_opened
+    def run(batches):
+        release()
+        for b in batches:
+            number = b.column("_number").to_numpy()
+            r = np.searchsorted(first, number, "right") - 1
+            k = number - first[r]
+            out = b.drop_columns(["_number"])
+            yield (out.append_column("sequence_id", pa.array(sequence[r] + k // each[r], pa.int64()))
+                   .append_column("offset", pa.array(offset[r] + k % each[r] * size[r], pa.int64())))
+    return run
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``cut`` (rows with a length up to ``capacity``) with sequence_id and offset."""
-    tag = "tag"
-    tagged = stored(cut.withColumn(tag, F.monotonically_increasing_id()), "packing-pieces")
-    whole = F.col("length") == capacity
-    placed = [tagged.filter(whole).select(F.col(tag).alias("item"), F.col(tag).alias("sequence_id"),
-                                          F.lit(0).cast("long").alias("offset"))]
-    items = tagged.filter(~whole).select(F.col(tag).alias("item"), F.col("length").alias("size"))
-    n_items = items.count()
-    # documents over half a sequence never share one: they open theirs at once
-    big = items.filter(2 * F.col("size") > capacity)
-    placed.append(big.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    gaps = big.select(F.col("item").alias("bin"), (F.lit(capacity) - F.col("size")).alias("gap"))
-    n_gaps = gaps.count()
-    items, n_items = items.filter(2 * F.col("size") <= capacity), n_items - n_gaps
-    while n_items:
-        done, items, gaps, n_items, n_gaps = _round(items, gaps, n_items + n_gaps, capacity)
-        placed.append(done)
-    everything = reduce(DataFrame.unionByName, placed)
-    return tagged.join(everything, tagged[tag] == everything["item"]).drop(tag, "item")
+    """``cut`` (rows with a length from 1 to ``capacity``) with sequence_id and offset."""
+    tagged = stored(cut.withColumn("_tag", F.monotonically_increasing_id()), "packing-pieces")
+    by = ["length", "_tag"]
+    dealt = tagged.repartitionByRange(max(1, -(-tagged.count() // SWEEP_ROWS)), *by).sortWithinPartitions(*by).drop("_tag")
+    place = F.monotonically_increasing_id()  # of range and row
+    dealt = stored(dealt.withColumns({"_range": F.shiftright(place, 33), "_row": place.bitwiseAND((1 << 33) - 1)}), "packing-sorted")
+    # ranges hold ascending sizes: at most ``capacity`` rows and one for each range partition
+    rows, counts = Counter(), Counter()
+    for part, size, n in dealt.groupBy("_range", "length").count().collect():
+        rows[part] += n
+        counts[size] += n
+    parts = sorted(rows)
+    bases = pa.table({"_range": pa.array(parts, pa.int64()),
+                      "_base": pa.array([*accumulate((rows[p] for p in parts), initial=0)][:-1], pa.int64())})
+    numbered = dealt.join(F.broadcast(cut.sparkSession.createDataFrame(bases)), "_range")
+    numbered = numbered.select(*cut.columns, (F.col("_base") + F.col("_row")).alias("_number"))
+    placed = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return map_batches(numbered, _place(_plan(counts, capacity)), placed)
 
 
 @query("op6_best_fit_packing")

@@ -296,6 +296,26 @@ def test_packing_many_ranges(spark, monkeypatch):
     assert (by.groupby("sequence_id")["length"].cumsum() - by["length"] == by["offset"]).all()
 
 
+def test_packing_sorts_once_however_many_ranges(spark, monkeypatch):
+    written, real = [], packing.stored
+    monkeypatch.setattr(packing, "SWEEP_ROWS", 40)
+    monkeypatch.setattr(packing, "stored", lambda df, name: written.append(name) or real(df, name))
+    size = F.when(F.col("id") % 3 == 0, 90).otherwise(1 + F.col("id") * F.col("id") % 230)  # a third of one size, over ranges
+    got = packing.pack(spark.range(900).select(F.col("id").alias("doc_id"), size.cast("int").alias("length")), capacity=256).toPandas()
+    assert len(written) <= 2  # before, two tables for each round
+    assert got["doc_id"].sort_values().tolist() == list(range(900))
+    by = got.sort_values(["sequence_id", "offset"])
+    assert (by.groupby("sequence_id")["length"].cumsum() - by["length"] == by["offset"]).all()
+    assert by.groupby("sequence_id")["length"].sum().max() <= 256
+    gaps = []
+    for n in sorted(got["length"], reverse=True):  # best fit decreasing, a piece at a time
+        fit = min((g for g in gaps if g >= n), default=None)
+        if fit is not None:
+            gaps.remove(fit)
+        gaps.append((256 if fit is None else fit) - n)
+    assert got["sequence_id"].nunique() == len(gaps)
+
+
 def test_bracket():
     assert packing._bracket([(0, 2, 3, 3, 5), (1, 2, 1, 7, 6), (2, 5, 0, 9, 0)]) == [
         (1, 0, 0, 2, 2, 1), (2, 0, 1, 0, 1, 1), (2, 1, 0, 0, 1, 1)]
