@@ -18,6 +18,8 @@ from listingmart.operators.merge import upsert
 from listingmart.schemas import (STG_A, STG_A_KEYS, STG_A_UPDATE, STG_B, STG_B_KEYS, STG_B_UPDATE)
 from listingmart.sources.store import TableStore
 
+#: Staging rows of one partition of a snapshot.
+DEALT_ROWS = 50_000
 A_ARRAYS = ["location", "job_level", "function", "contract_type", "education_level", "experience_years"]
 B_SCALARS = ["company", "function", "city", "state", "region", "country", "job_level", "sector",
              "education_level", "experience_years", "work_mode", "job_source"]
@@ -65,9 +67,10 @@ def _py_date(ds) -> dt.date:
 def _dealt(stg_day: DataFrame) -> DataFrame:
     """A day's rows dealt out by job before they are exploded: a day is few and small files of many rows.
 
-    What is grouped by job afterwards finds its rows together (staging's job_id is never NULL).
+    What is grouped by job afterwards finds its rows together (staging's job_id is never NULL). As many
+    partitions as the rows need, since those of a cached frame are not merged later.
     """
-    return stg_day.repartition("job_id")
+    return stg_day.repartition(max(1, -(-stg_day.count() // DEALT_ROWS)), "job_id")
 
 
 def snapshot_a(stg_day: DataFrame, empty_too: bool = False) -> DataFrame:
