@@ -5,6 +5,11 @@ single space between two non-space characters is always a token boundary:
 the ids of a text are the ids of the pieces cut there. Pieces repeat, so a
 worker keeps their ids; a full cache drops its younger half (frequent pieces
 were met first).
+
+``encode_all`` takes many texts at once. Arrow cuts them and numbers the distinct
+pieces, so a piece is looked up once, however often it occurs, and a word that
+differs from another by the marks after it is merged once. A line feed between two
+non-space characters is a boundary, too.
 """
 
 from __future__ import annotations
@@ -12,13 +17,23 @@ from __future__ import annotations
 import gc
 import os
 import re
+from collections.abc import Iterable, Iterator
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Marks that the split pattern cuts off the letters before them.
 _ENDS = frozenset(".,;:!?")
+#: Latin letters, and marks of which the split pattern takes a run after them as one pre-token.
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+_MARKS = ".,;:!?#*$%&"
 #: Pieces whose ids a worker keeps at most.
 CACHE_ENTRIES = 500_000
+#: Bytes of text from which on batches are encoded together.
+POOL_BYTES = 8 * 1024 * 1024
 
 
 class _Irregular(Exception):
@@ -117,6 +132,56 @@ class TextEncoder:
             head, *rest = _CUT.split(text)
             return self.plain(head) + b"".join([self.plain(" " + p) for p in rest])
 
+    def _rest_ids(self, pieces: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of pieces with a space before them, or a line feed that is theirs; which are irregular (no ids)."""
+        ids = [*map(self.rest.get, pieces := pieces.to_numpy(zero_copy_only=False))]
+        irregular = np.zeros(len(ids), bool)
+        for i in [i for i, known in enumerate(ids) if known is None]:
+            piece = pieces[i]
+            try:
+                if piece[:1] == "\n" and not piece[1:2].isspace():
+                    ids[i] = self.words["\n"] + self.first[piece[1:]]
+                else:
+                    ids[i] = self.rest[piece]
+            except _Irregular:
+                ids[i], irregular[i] = b"", True
+        return ids, irregular
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (unsigned 32-bit), and where those of each text begin, with the end of the last."""
+        texts = texts.fill_null("")
+        lines = pc.replace_substring(pc.replace_substring(texts, "\n", " \n"), " \n \n", "\n\n")  # two in a row stay within a piece
+        lists = pc.split_pattern(lines, " ")
+        at = lists.offsets.to_numpy()  # every text has a piece, if only an empty one
+        numbered = lists.flatten().dictionary_encode()
+        pieces, codes, n = numbered.dictionary, numbered.indices.to_numpy().copy(), len(numbered.dictionary)
+
+        marks = pc.utf8_ltrim(pieces, characters=_LETTERS)
+        marked = pc.and_(pc.equal(pc.ascii_rtrim(marks, characters=_MARKS), ""), pc.not_equal(marks, pieces))
+        words = pc.if_else(marked, pc.ascii_rtrim(pieces, characters=_MARKS), pieces).dictionary_encode()
+        marks = pc.if_else(marked, marks, "").dictionary_encode()
+        word_ids, irregular = self._rest_ids(words.dictionary)
+        mark_ids = [self.words[m] if m else b"" for m in marks.dictionary.to_pylist()]
+        ids = pc.binary_join_element_wise(pa.array(word_ids, pa.large_binary()).take(words.indices),
+                                          pa.array(mark_ids, pa.large_binary()).take(marks.indices), pa.scalar(b"", pa.large_binary()))
+        irregular = irregular[words.indices.to_numpy()]
+
+        heads = []  # a text's first piece has no space before it
+        for row, piece in enumerate(pieces.take(pa.array(codes[at[:-1]])).to_pylist()):
+            codes[at[row]] = n + row
+            try:
+                heads.append(self.first[piece])
+            except _Irregular:
+                heads.append(None)
+        odd = np.concatenate([irregular, [h is None for h in heads]]).astype(bool)
+        for row in np.unique(np.searchsorted(at, np.flatnonzero(odd[codes]), "right") - 1):
+            heads[row] = self.encode(texts[row].as_py())  # the whole text in its first piece's place
+            codes[at[row] + 1:at[row + 1]] = len(odd)
+        taken = pa.concat_arrays([ids, pa.array([*heads, b""], pa.large_binary())]).take(pa.array(codes))
+        _, ends, values = taken.buffers()
+        ends = np.frombuffer(ends, np.int64, len(codes) + 1) // 4
+        return np.frombuffer(values or b"", "<u4", ends[-1]), ends[at]
+
 
 _ENCODERS: dict[str, TextEncoder] = {}
 
@@ -135,6 +200,19 @@ def release() -> None:
         gc.collect()  # an encoder and its caches refer to each other
 
 
+def pooled(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[list[pa.RecordBatch]]:
+    """Batches, so many at once that their texts reach ``POOL_BYTES``."""
+    pool, size = [], 0
+    for b in batches:
+        pool.append(b)
+        size += b.column(column).nbytes
+        if size >= POOL_BYTES:
+            yield pool
+            pool, size = [], 0
+    if pool:
+        yield pool
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")

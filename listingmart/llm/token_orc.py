@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingmart.llm.common import id_text, map_batches, offsets_by, query, scratch_path, table
-from listingmart.llm.encoding import default_vocabulary, encoder
+from listingmart.llm.encoding import default_vocabulary, encoder, pooled
 
 #: Rows of one row group of the index.
 ROW_INDEX = 1000
@@ -37,21 +37,20 @@ SCHEMA = "shard int, shard_start long, doc_id long, n_tokens int, ids array<int>
 def _encode(path: str, end_id: int):
     def run(batches):
         enc, shard, at = encoder(path), TaskContext.get().partitionId(), 0
-        tail = np.uint32(end_id).tobytes()
-        for b in batches:
-            ids, lengths = [], []
-            for text in b.column("text").to_pylist():
-                ids.append(enc.encode(text) + tail)
-                lengths.append(len(ids[-1]) // 4)
-            n = np.array(lengths, np.int64)
-            ends = at + np.cumsum(n)
-            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(ids))])
-            yield pa.record_batch({
-                "shard": pa.array(np.full(len(n), shard, np.int32)), "shard_start": pa.array(ends - n),
-                "doc_id": b.column("doc_id"), "n_tokens": pa.array(n.astype(np.int32)),
-                "ids": pa.ListArray.from_arrays(pa.array(offsets), values)})
-            at = int(ends[-1]) if len(ends) else at
+        for pool in pooled(batches):
+            ids, begin = enc.encode_all(pa.concat_arrays([b.column("text") for b in pool]))
+            row = 0
+            for b in pool:
+                bounds = begin[row:row + b.num_rows + 1]
+                row += b.num_rows
+                offsets = bounds - bounds[0] + np.arange(len(bounds))  # the end ids of the rows before
+                n = np.diff(offsets)
+                values = np.insert(ids[bounds[0]:bounds[-1]], bounds[1:] - bounds[0], end_id).view(np.int32)
+                yield pa.record_batch({
+                    "shard": pa.array(np.full(len(n), shard, np.int32)), "shard_start": pa.array(at + offsets[:-1]),
+                    "doc_id": b.column("doc_id"), "n_tokens": pa.array(n.astype(np.int32)),
+                    "ids": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))})
+                at += int(offsets[-1])
     return run
 
 

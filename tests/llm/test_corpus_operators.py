@@ -5,13 +5,16 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from listingmart.llm import (decontaminate, divergence, hmm, packing, quality_model, simhash, substrings, token_orc, toxicity,
+from listingmart.llm import (decontaminate, divergence, encoding, hmm, packing, quality_model, simhash, substrings, token_orc, toxicity,
                              url_rules)
 from listingmart.llm.common import crc_mod, scratch_path
 from listingmart.llm.encoding import default_vocabulary, encoder
@@ -76,6 +79,49 @@ def test_encoder_equals_library(rows):
         assert enc.encode(text) + np.uint32(2).tobytes() == _ids(text, 2).tobytes()
 
 
+def test_encode_all_equals_library(rows):
+    rng = np.random.default_rng(4)
+    parts = ["a", "Word", "é", "語", "1", " ", "\n", "  ", "\n\n", ".", "!#", "'s", "'", "\t", "\r", "<|endoftext|>", "|>", "\x1c", "\u0085"]
+    texts = [t for _, t, _ in rows[0]] + ["", "a\n" * 30000, "word." * 3000]
+    texts += ["".join(rng.choice(parts, rng.integers(12)).tolist()) for _ in range(5000)]
+    enc, library = encoder(default_vocabulary()), Tokenizer.from_file(default_vocabulary())
+    for some in (texts, [], [None], ["", None], [" a", "b"]):
+        ids, at = enc.encode_all(pa.array(some, pa.string()))
+        assert len(at) == len(some) + 1
+        for i, text in enumerate(some):
+            assert ids[at[i]:at[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_token_orc_merges_and_looks_up_a_word_once(monkeypatch):
+    words = [f"{a}{b}zq" for a in "bcdfg" for b in "aeiou"]
+    texts = [f"{a}. {b}!\n{a}; {b},\n{b}? {a}##\n{a} {b}" for a in words for b in words]
+    merged, looked = [], []
+    for name in ("ids", "letters"):
+        real = getattr(encoding._Words, name)
+        monkeypatch.setattr(encoding._Words, name, lambda self, w, real=real: merged.append(w) or real(self, w))
+    for name in ("get", "__getitem__"):
+        monkeypatch.setattr(encoding._Pieces, name, lambda self, p, name=name: looked.append(p) or getattr(dict, name)(self, p), raising=False)
+    monkeypatch.setattr(encoding, "_ENCODERS", {})
+    monkeypatch.setattr(token_orc, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batches = [pa.record_batch({"doc_id": pa.array(range(i, i + 25)), "text": pa.array(texts[i:i + 25])}) for i in range(0, len(texts), 25)]
+    want = Tokenizer.from_file(default_vocabulary()).encode_batch(texts, add_special_tokens=False)
+    out = list(token_orc._encode(default_vocabulary(), 2)(iter(batches)))
+    assert [b.num_rows for b in out] == [25] * 25 and [x for b in out for x in b["ids"].to_pylist()] == [[*w.ids, 2] for w in want]
+    n = [x for b in out for x in b["n_tokens"].to_pylist()]
+    assert [x for b in out for x in b["shard_start"].to_pylist()] == np.cumsum([0, *n[:-1]]).tolist()
+    spelled = [w for w in merged if w.strip(" Ġ") in words]
+    assert len(spelled) == len(set(spelled)) <= 2 * len(words)  # with and without the space before it
+    assert len(looked) < 4 * len(texts)  # of eight pieces each
+
+
+def test_token_orc_pools_batches(monkeypatch):
+    batches = [pa.record_batch({"text": pa.array(["x" * 100] * 3)}) for _ in range(7)]
+    monkeypatch.setattr(encoding, "POOL_BYTES", 900)
+    pools = list(encoding.pooled(iter(batches)))
+    assert [b for p in pools for b in p] == batches and [len(p) for p in pools] == [3, 3, 1]
+    assert list(encoding.pooled(iter([]))) == []
+
+
 def test_token_orc(spark, docs, empty, rows):
     path = scratch_path(spark, "test-tokens")
     token_orc.write_tokens(docs, path)
