@@ -33,7 +33,7 @@ _MARKS = ".,;:!?#*$%&"
 #: Pieces whose ids a worker keeps at most.
 CACHE_ENTRIES = 500_000
 #: Bytes of text from which on batches are encoded together.
-POOL_BYTES = 8 * 1024 * 1024
+POOL_BYTES = 2 * 1024 * 1024
 
 
 class _Irregular(Exception):
